@@ -73,7 +73,7 @@ def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     # per map task, not all its orders.
     w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
     first2 = o.withColumn("rn", F.row_number().over(w)).where("rn <= 2")
-    summary = first2.groupBy("o_custkey").agg(
+    summary = first2.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.max(F.when(F.col("rn") == 1, F.col("o_orderpriority"))).alias("loan_purpose"),
         F.max(F.when(F.col("rn") == 1, F.col("o_orderdate"))).alias("origination_date"),
         F.max(F.when(F.col("rn") == 2, F.col("o_orderdate"))).alias("first_payment_date"),
@@ -86,13 +86,12 @@ def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
              .join(o.select("o_orderkey", "o_custkey", "o_orderdate"),
                    F.col("l_orderkey") == F.col("o_orderkey"))
              .select("o_custkey", part.alias("part")))
-    counts = marks.groupBy("o_custkey").agg(*[
+    counts = marks.groupBy(F.col("o_custkey").alias("c_custkey")).agg(*[
         F.count_if(F.col("part") == k).alias(f"m{k}") for k in range(1, N_PERIODS + 1)])
 
     base = (c.join(n, c.c_nationkey == n.n_nationkey)
             .join(r, n.n_regionkey == r.r_regionkey))
-    out = (base.join(summary, base.c_custkey == summary.o_custkey, "left")
-           .join(counts, base.c_custkey == counts.o_custkey, "left"))
+    out = base.join(summary, "c_custkey", "left").join(counts, "c_custkey", "left")
     return out.select(
         F.col("c_custkey").alias("loan_id"),
         F.col("c_mktsegment").alias("source"),
