@@ -84,7 +84,7 @@ loans AS (
     "points": """points AS (SELECT vec_id, embedding AS features, label FROM embeddings)""",
     "review_tokens": """review_tokens AS (
   SELECT doc_id, label, list_filter(string_split(translate(lower(review), '{f}', '{s}'), ' '),
-                                    x -> x <> '') AS tokens
+                                    lambda x: x <> '') AS tokens
   FROM reviews)""".replace("{f}", _FILTERS_SQL.replace("'", "''")).replace("{s}", " " * len(_FILTERS_SQL)),
     "vocab": """vocab AS (
   SELECT word, count(*) AS word_count,
