@@ -25,4 +25,4 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from tessera.plans import queries_core, queries_aggs, queries_stats, queries_text, queries_features  # noqa: F401
+    from tessera.plans import queries_core, queries_aggs, queries_stats, queries_text, queries_features, queries_models  # noqa: F401
