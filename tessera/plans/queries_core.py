@@ -253,7 +253,8 @@ def j7(spark, d):
 
 
 @register("J8_grid_cross_join", W("""
-SELECT round(-5 + i * 0.1, 10) AS w, round(sum(x1 * round(-5 + i * 0.1, 10)), 6) AS total,
+SELECT CAST(round(-5 + i * 0.1, 10) AS DOUBLE) AS w,
+       round(sum(x1 * CAST(round(-5 + i * 0.1, 10) AS DOUBLE)), 6) AS total,
        count(*) AS n
 FROM binary_pts, range(101) AS g(i) GROUP BY i""", "binary"))
 def j8(spark, d):

@@ -73,7 +73,8 @@ def l3(spark, d):
 def l4(spark, d):
     lo = _loan_frame(spark, d)
     scores, _ = ML.grid_search(lo, LOAN_FEATURES, "delinquent", "loan_id",
-                               {"depth": [3, 6], "rounds": [20], "pos_weight": [5.0, 20.0]}, folds=5)
+                               {"depth": [3, 6], "rounds": [10], "pos_weight": [5.0, 20.0]}, folds=3,
+                               parallelism=8)
     return r6(scores)
 
 
