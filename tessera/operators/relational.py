@@ -59,6 +59,7 @@ def non_finite_to_null(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def drop_nan(df: DataFrame, col: str) -> DataFrame:
+    """Drop NaN scores (P9). NULL is not NaN and is kept (``isnan(NULL)`` is false)."""
     return df.where(~F.isnan(F.col(col)))
 
 
