@@ -174,3 +174,27 @@ def q7(spark, d):
                  entity_type="stock_code", ranks=(10, 25), regs=(0.1, 0.01), k=100)
     return IO.scan_csv(spark, f"{out}/recs", schema="user_id string, entity_type string, item_id string, affinity double",
                        header=False)
+
+
+@register("L17_adf_test")
+def l17(spark, d):
+    from tessera.operators.timeseries import adf_test
+    return r6(adf_test(FX.hourly_series(spark, d), "ts", "count"))
+
+
+@register("L17_adf_lag0", W("""
+SELECT round(regr_slope(dx, xl) / sqrt((regr_syy(dx, xl) - regr_slope(dx, xl) * regr_sxy(dx, xl))
+             / (regr_count(dx, xl) - 2) / regr_sxx(dx, xl)), 6) AS statistic,
+       0 AS used_lag, regr_count(dx, xl) AS nobs
+FROM (SELECT count - lag(count) OVER (ORDER BY ts) AS dx, CAST(lag(count) OVER (ORDER BY ts) AS DOUBLE) AS xl
+      FROM hourly)""", "hourly"))
+def l17z(spark, d):
+    from tessera.operators.timeseries import adf_test
+    return r6(adf_test(FX.hourly_series(spark, d), "ts", "count", maxlag=0)
+              .select("statistic", "used_lag", "nobs"))
+
+
+@register("Q8_stationarity_report")
+def q8(spark, d):
+    from tessera.operators.timeseries import stationarity_report
+    return r6(stationarity_report(FX.hourly_series(spark, d, by_type=True), "ts", "count", "series_id"))
