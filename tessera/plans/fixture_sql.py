@@ -104,11 +104,12 @@ DEPS = {
 }
 
 
-def with_fixtures(sql: str, *names: str) -> str:
-    """Prefix ``sql`` with the CTEs it uses (dependencies first)."""
+def with_fixtures(sql: str, *names: str, ctes: list[str] = ()) -> str:
+    """Prefix ``sql`` with the CTEs it uses (dependencies first), then any
+    query-specific ``ctes``."""
     order: list[str] = []
     for n in names:
         for d in DEPS.get(n, []) + [n]:
             if d not in order:
                 order.append(d)
-    return "WITH " + ",\n".join(CTE[n] for n in order) + "\n" + sql
+    return "WITH " + ",\n".join([CTE[n] for n in order] + list(ctes)) + "\n" + sql

@@ -198,3 +198,56 @@ def l17z(spark, d):
 def q8(spark, d):
     from tessera.operators.timeseries import stationarity_report
     return r6(stationarity_report(FX.hourly_series(spark, d, by_type=True), "ts", "count", "series_id"))
+
+
+_LOF_CTES = [
+    """pairs AS (SELECT a.vec_id AS x, b.vec_id AS y,
+        sqrt(list_sum(list_transform(list_zip(a.features, b.features),
+             lambda t: (CAST(t[1] AS DOUBLE) - CAST(t[2] AS DOUBLE)) * (CAST(t[1] AS DOUBLE) - CAST(t[2] AS DOUBLE))))) AS d
+      FROM points a JOIN points b ON a.vec_id <> b.vec_id)""",
+    """knn AS (SELECT * FROM (SELECT x, y, d, row_number() OVER (PARTITION BY x ORDER BY d, y) AS rk FROM pairs)
+      WHERE rk <= 20)""",
+    """kd AS (SELECT x, d AS kdist FROM knn WHERE rk = 20)""",
+    """lrd AS (SELECT k.x, 1.0 / (avg(greatest(kd.kdist, k.d)) + 1e-10) AS lrd FROM knn k JOIN kd ON kd.x = k.y GROUP BY k.x)""",
+]
+
+
+@register("L8_local_outlier_factor", W("""
+SELECT k.x AS vec_id, round(kd.kdist, 6) AS k_distance, round(l.lrd, 6) AS lrd, round(avg(ln.lrd) / l.lrd, 6) AS lof
+FROM knn k JOIN lrd ln ON ln.x = k.y JOIN lrd l ON l.x = k.x JOIN kd ON kd.x = k.x
+GROUP BY k.x, kd.kdist, l.lrd""", "points", ctes=_LOF_CTES))
+def l8(spark, d):
+    from tessera.operators.anomaly import local_outlier_factor
+    return r6(local_outlier_factor(FX.points(spark, d), "features", "vec_id", k=20))
+
+
+@register("L8_knn", W("SELECT x AS vec_id, y AS neighbor, round(d, 6) AS distance, rk AS rank FROM knn",
+                      "points", ctes=_LOF_CTES[:2]))
+def l8k(spark, d):
+    from tessera.operators.anomaly import exact_knn
+    return r6(exact_knn(FX.points(spark, d), "features", "vec_id", k=20)).withColumn("rank", F.col("rank").cast("long"))
+
+
+@register("L7_isolation_forest")
+def l7(spark, d):
+    from tessera.operators.anomaly import isolation_forest
+    lo = FX.loans(spark, d)
+    return r6(isolation_forest(lo, ["unpaid_principal_bal"] + [f"m{i}" for i in range(1, 13)], "loan_id",
+                               trees=100, max_samples=256, contamination=0.05))
+
+
+@register("L9_one_class_boundary")
+def l9(spark, d):
+    from tessera.operators.anomaly import one_class_boundary
+    from tessera.operators.features import standardize
+    lo = _loan_frame(spark, d)
+    feats = ["unpaid_principal_bal", "m10", "m11", "m12", "total_delinquencies"]
+    normal = lo.where(F.col("delinquent") == 0)
+    train, allrows = standardize(normal, [lo], feats)
+    out = None
+    for g in (0.01, 0.1, 1.0):
+        v = one_class_boundary(train, allrows.select("loan_id", "delinquent", *feats), feats, nu=0.05,
+                               gamma=g, steps=20, id_col="loan_id")
+        v = v.select("loan_id", "delinquent", F.lit(g).alias("gamma"), "verdict")
+        out = v if out is None else out.unionByName(v)
+    return out
