@@ -53,22 +53,38 @@ def loss_surface(df: DataFrame, x_cols: list[str], label: str,
     point of a weight grid (L2); grid points where any row's loss is not
     finite (probability at exactly 0 or 1) are dropped, as the notebook does.
 
-    Rows and grid points meet through ``grid_cross_join`` (generated, no
-    join); the sum per grid point is partially aggregated before the shuffle.
+    Each row is paired with every grid index by a generator (no join); the
+    weights are ``start + i * step`` (as ``numpy.arange`` makes them) and the
+    sums are grouped by the integer grid index, partially aggregated before
+    the shuffle; the weight columns are attached after the aggregation.
     """
     if len(axes) != len(x_cols):
         raise ValueError("one grid axis per feature")
-    g = P.grid_cross_join(df.select(*x_cols, label), axes)
+    specs = list(axes.items())
+    sizes = [int(round((hi - lo) / st)) + 1 for _, (lo, hi, st) in specs]
+    strides, acc = [], 1
+    for n in reversed(sizes):
+        strides.append(acc)
+        acc *= n
+    strides = strides[::-1]
+    idx = F.col("_g")
+
+    def weight(k):
+        lo, _, st = specs[k][1]
+        return F.lit(float(lo)) + ((idx / strides[k]).cast("long") % sizes[k]) * F.lit(float(st))
+
+    g = df.select(*x_cols, F.col(label).cast("double").alias("_y"),
+                  F.explode(F.sequence(F.lit(0), F.lit(acc - 1))).alias("_g"))
     z = None
-    for w, x in zip(axes, x_cols):
-        term = F.col(w) * F.col(x)
+    for k, x in enumerate(x_cols):
+        term = weight(k) * F.col(x)
         z = term if z is None else z + term
     p = S.sigmoid(z)
-    y = F.col(label).cast("double")
     finite = (p > 0) & (p < 1)
-    loss = F.when(finite, S.cross_entropy(y, p))
-    out = g.groupBy(*axes).agg(F.sum(loss).alias("loss"), F.count_if(~finite).alias("_bad"))
-    return out.where(F.col("_bad") == 0).drop("_bad")
+    loss = F.when(finite, S.cross_entropy(F.col("_y"), p))
+    out = g.groupBy("_g").agg(F.sum(loss).alias("loss"), F.count_if(~finite).alias("_bad"))
+    out = out.where(F.col("_bad") == 0)
+    return out.select(*[F.round(weight(k), 10).alias(name) for k, (name, _) in enumerate(specs)], "loss")
 
 
 # --- L3-L5 ------------------------------------------------------------------

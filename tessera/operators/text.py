@@ -89,17 +89,24 @@ def tf_idf(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     (id, term, tf, df, weight) (M14).
 
     idf = ln((1 + n) / (1 + df)) + 1; weight = tf * idf / ||tf * idf||.
+
+    The (document, term, count) table is written once as parquet to the
+    checkpoint folder, so the text is tokenised once although the table feeds both the
+    document frequencies and the weights. Document frequency is a partial
+    aggregation joined back (a term found in every document costs one row per
+    map task before the shuffle); the norm is a window per document, whose
+    partitioning the top-k step reuses.
     """
+    from tessera.session import materialize
     terms = df.select(id_col, F.explode(F.regexp_extract_all(F.lower(F.col(text_col)),
                                                              F.lit(TFIDF_TOKEN), 0)).alias("term"))
-    tf = terms.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+    tf = materialize(terms.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")), "tf")
     dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     n_docs = df.select(F.count(F.lit(1))).scalar()
-    w = (tf.join(dfreq, "term")
-         .withColumn("_raw", F.col("tf") * (F.ln((F.lit(1) + n_docs) / (F.col("df") + 1)) + 1)))
-    norms = w.groupBy(id_col).agg(F.sqrt(F.sum(F.col("_raw") * F.col("_raw"))).alias("_norm"))
-    return (w.join(norms, id_col)
-            .select(id_col, "term", "tf", "df", (F.col("_raw") / F.col("_norm")).alias("weight")))
+    raw = F.col("tf") * (F.ln((F.lit(1) + n_docs) / (F.col("df") + 1)) + 1)
+    w = tf.join(dfreq, "term").withColumn("_raw", raw)
+    norm = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(Window.partitionBy(id_col)))
+    return w.select(id_col, "term", "tf", "df", (F.col("_raw") / norm).alias("weight"))
 
 
 def top_keywords(df: DataFrame, id_col: str, text_col: str, k: int = 20) -> DataFrame:

@@ -61,3 +61,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     loss, unlike a local checkpoint)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a parquet table under the shared checkpoint folder and
+    read it back: cuts the lineage like ``checkpoint`` but stores columnar,
+    compressed files, and the re-read table carries size statistics for AQE."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
