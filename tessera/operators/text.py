@@ -117,6 +117,6 @@ def top_keywords(df: DataFrame, id_col: str, text_col: str, k: int = 20) -> Data
     """
     w = tf_idf(df, id_col, text_col)
     win = Window.partitionBy(id_col).orderBy(F.col("weight").desc(), F.col("term"))
-    return (w.withColumn("keyword_rank", F.row_number().over(win))
+    return (w.withColumn("keyword_rank", F.row_number().over(win).cast("long"))
             .where(F.col("keyword_rank") <= k)
             .select(id_col, "keyword_rank", "term", "weight"))

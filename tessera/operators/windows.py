@@ -62,4 +62,4 @@ def top_k_by(df: DataFrame, key: str, score: str, k: int, tiebreak: list[str] =
              out: str = "rank") -> DataFrame:
     """The k best rows per key, best first."""
     win = Window.partitionBy(key).orderBy(F.col(score).desc(), *tiebreak)
-    return df.withColumn(out, F.row_number().over(win)).where(F.col(out) <= k)
+    return df.withColumn(out, F.row_number().over(win).cast("long")).where(F.col(out) <= k)

@@ -97,7 +97,7 @@ def a7(spark, d):
 
 
 @register("A8_describe_categorical", W("""
-SELECT column_name, sum(freq) AS count, count(*) AS unique,
+SELECT column_name, CAST(sum(freq) AS BIGINT) AS count, count(*) AS unique,
        arg_min(value, (-freq, value)) AS top, max(freq) AS freq
 FROM (SELECT column_name, value, count(*) AS freq
       FROM (SELECT 'country' AS column_name, country AS value FROM tx
@@ -108,7 +108,7 @@ def a8(spark, d):
 
 
 @register("A9_describe_timestamp", W("""
-SELECT sum(freq) AS count, count(*) AS unique, min(invoice_ts) AS first, max(invoice_ts) AS last,
+SELECT CAST(sum(freq) AS BIGINT) AS count, count(*) AS unique, min(invoice_ts) AS first, max(invoice_ts) AS last,
        arg_min(invoice_ts, (-freq, invoice_ts)) AS top, max(freq) AS freq
 FROM (SELECT invoice_ts, count(*) AS freq FROM tx GROUP BY 1)""", "tx"))
 def a9(spark, d):

@@ -185,7 +185,7 @@ def l17(spark, d):
 @register("L17_adf_lag0", W("""
 SELECT round(regr_slope(dx, xl) / sqrt((regr_syy(dx, xl) - regr_slope(dx, xl) * regr_sxy(dx, xl))
              / (regr_count(dx, xl) - 2) / regr_sxx(dx, xl)), 6) AS statistic,
-       0 AS used_lag, regr_count(dx, xl) AS nobs
+       0 AS used_lag, CAST(regr_count(dx, xl) AS BIGINT) AS nobs
 FROM (SELECT count - lag(count) OVER (ORDER BY ts) AS dx, CAST(lag(count) OVER (ORDER BY ts) AS DOUBLE) AS xl
       FROM hourly)""", "hourly"))
 def l17z(spark, d):

@@ -105,7 +105,7 @@ def a28(spark, d):
 
 
 @register("A29_linear_trend", W("""
-SELECT cyl, regr_count(mpg, wt) AS n, round(regr_slope(mpg, wt), 6) AS slope,
+SELECT cyl, CAST(regr_count(mpg, wt) AS BIGINT) AS n, round(regr_slope(mpg, wt), 6) AS slope,
        round(regr_intercept(mpg, wt), 6) AS intercept, round(regr_r2(mpg, wt), 6) AS r2,
        round(sqrt((regr_syy(mpg, wt) - regr_slope(mpg, wt) * regr_sxy(mpg, wt))
                   / (regr_count(mpg, wt) - 2) / regr_sxx(mpg, wt)), 6) AS slope_se
@@ -246,7 +246,7 @@ def c6(spark, d):
 
 
 @register("C7_date_gap", W("""
-SELECT loan_id, date_diff('day', CAST(origination_date AS DATE), CAST(first_payment_date AS DATE)) AS gap_days,
+SELECT loan_id, CAST(date_diff('day', CAST(origination_date AS DATE), CAST(first_payment_date AS DATE)) AS INTEGER) AS gap_days,
   round((year(first_payment_date) - year(origination_date)) * 12 + month(first_payment_date) - month(origination_date)
    + CASE WHEN day(first_payment_date) = day(origination_date)
                OR (day(first_payment_date) = day(last_day(first_payment_date))
@@ -260,14 +260,14 @@ def c7(spark, d):
 
 
 @register("C8_word_count", W("""
-SELECT doc_id, len(string_split(review, ' ')) AS n_words FROM reviews""", "reviews"))
+SELECT doc_id, CAST(len(string_split(review, ' ')) AS INTEGER) AS n_words FROM reviews""", "reviews"))
 def c8(spark, d):
     r = FX.reviews(spark, d)
     return r.select("doc_id", T.word_count("review").alias("n_words"))
 
 
 @register("C9_tokenize", W("""
-SELECT doc_id, len(tokens) AS n_tokens, array_to_string(tokens, ' ') AS tokens_text FROM review_tokens""",
+SELECT doc_id, CAST(len(tokens) AS INTEGER) AS n_tokens, array_to_string(tokens, ' ') AS tokens_text FROM review_tokens""",
                            "review_tokens"))
 def c9(spark, d):
     r = FX.reviews(spark, d).select("doc_id", T.tokenize("review").alias("t"))

@@ -153,7 +153,7 @@ _SEQ_SQL = """(SELECT t.doc_id, list(v.word_index ORDER BY t.pos) AS seq
 
 
 @register("M12_texts_to_sequences", W(f"""
-SELECT r.doc_id, coalesce(len(s.seq), 0) AS n_ids, coalesce(array_to_string(s.seq, ' '), '') AS ids
+SELECT r.doc_id, CAST(coalesce(len(s.seq), 0) AS INTEGER) AS n_ids, coalesce(array_to_string(s.seq, ' '), '') AS ids
 FROM reviews r LEFT JOIN {_SEQ_SQL} s USING (doc_id)""", "vocab"))
 def m12(spark, d):
     r = FX.reviews(spark, d)
@@ -188,7 +188,7 @@ def c10(spark, d):
 @register("M13_embedding_table", W("""
 SELECT v.word_index, v.word, w.vector IS NOT NULL AS known,
        round(coalesce(list_sum(list_transform(w.vector, lambda x: CAST(x AS DOUBLE))), 0.0), 4) AS vector_sum,
-       coalesce(len(w.vector), 64) AS dim
+       CAST(coalesce(len(w.vector), 64) AS INTEGER) AS dim
 FROM vocab v LEFT JOIN word_vectors w ON w.word = v.word""", "word_vectors"))
 def m13(spark, d):
     r = FX.reviews(spark, d)
@@ -269,7 +269,7 @@ def s4(spark, d):
 
 
 @register("S5_scan_word_vectors", W("""
-SELECT word, len(vector) AS dim, round(list_sum(list_transform(vector, lambda x: CAST(x AS DOUBLE))), 4) AS vector_sum
+SELECT word, CAST(len(vector) AS INTEGER) AS dim, round(list_sum(list_transform(vector, lambda x: CAST(x AS DOUBLE))), 4) AS vector_sum
 FROM word_vectors""", "word_vectors"))
 def s5(spark, d):
     path = scratch_path(spark, "s5")
