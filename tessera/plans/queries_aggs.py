@@ -295,3 +295,16 @@ def q6(spark, d):
     frame = lo.select(*_Q6_COLS, F.when(is_train, "train").otherwise("test").alias("part"),
                       F.when(is_train, F.col("m13")).alias("m13"))
     return r6(R.categorical_risk_report(frame, _Q6_COLS, "m13"))
+
+
+@register("P14_columns_of_type", W("""
+SELECT column_name, CAST(sum(freq) AS BIGINT) AS count, count(*) AS unique,
+       arg_min(value, (-freq, value)) AS top, max(freq) AS freq
+FROM (SELECT column_name, value, count(*) AS freq FROM (""" + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, {c} AS value FROM loans"
+    for c in ["source", "financial_institution", "loan_purpose", "insurance_type"]) + """)
+      WHERE value IS NOT NULL GROUP BY 1, 2) GROUP BY column_name""", "loans"))
+def p14(spark, d):
+    from tessera.operators.relational import columns_of_type
+    lo = FX.loans(spark, d)
+    return A.describe_categorical(lo, columns_of_type(lo, "string"))

@@ -215,3 +215,24 @@ def test_overlap_report(spark):
     b = spark.createDataFrame([(3,), (4,)], "k int")
     r = P.overlap_report(a, b, "k").first()
     assert (r["left_count"], r["right_count"], r["common"], r["only_left"], r["only_right"]) == (3, 2, 1, 2, 1)
+
+
+def test_param_grid_every_combination(spark):
+    from tessera.sources.files import param_grid
+    g = param_grid(spark, {"rank": [25, 50, 100], "reg": [0.1, 0.01, 0.001]}).collect()
+    assert len(g) == 9 and len({(r["rank"], r["reg"]) for r in g}) == 9
+    w = param_grid(spark, {"w1": (-5.0, 5.0, 0.1), "w2": (-5.0, 5.0, 0.1)})
+    assert w.count() == 101 * 101
+    assert w.agg(F.min("w1"), F.max("w2")).first() == (-5.0, 5.0)
+
+
+def test_columns_of_type(spark):
+    df = spark.createDataFrame([("a", 1, 2.0)], "s string, i int, d double")
+    assert P.columns_of_type(df, "string") == ["s"]
+
+
+def test_mpr_evaluator_drives_tuning(spark):
+    df = spark.createDataFrame([("u", 1.0, 0.9), ("u", 0.0, 0.1), ("v", 2.0, 0.5)],
+                               "user string, rating double, prediction double")
+    ev = E.mpr_evaluator("user", "rating")
+    assert ev.evaluate(df) == 0.0 and not ev.isLargerBetter()
