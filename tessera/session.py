@@ -30,6 +30,10 @@ def get_spark(master: str | None = None, app: str = "tessera",
     )
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if master.startswith("local"):
+        # local mode: the driver JVM is the only executor; 1 GB default heap
+        # turns long runs into garbage collection
+        builder = builder.config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "16g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
