@@ -26,13 +26,15 @@ def _drop_null_keys(df: DataFrame, keys: list[str], dropna: bool) -> DataFrame:
     return df.where(cond)
 
 
-def value_counts(df: DataFrame, col: str, dropna: bool = True) -> DataFrame:
-    """Count and share per value (A1). Partial aggregation first, so a value
-    holding a third of the rows costs one row per map task."""
+def value_counts(df: DataFrame, col: str, dropna: bool = True, sort: bool = True) -> DataFrame:
+    """Count and share per value, most frequent first (ties by value) (A1).
+    Partial aggregation first, so a value holding a third of the rows costs
+    one row per map task; the sort runs on the small counted table."""
     base = _drop_null_keys(df.select(col), [col], dropna)
     counts = base.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
     total = base.select(F.count(F.lit(1))).scalar()
-    return counts.withColumn("share", F.col("count") / total)
+    out = counts.withColumn("share", F.col("count") / total)
+    return out.orderBy(F.col("count").desc(), F.col(col)) if sort else out
 
 
 def count_by(df: DataFrame, col: str, hue: str, dropna: bool = True) -> DataFrame:

@@ -216,16 +216,18 @@ def _centre(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def gram_matrix(df: DataFrame, vec_col: str, d: int) -> np.ndarray:
-    """X^T X of an array column in one aggregation pass (d(d+1)/2 sums);
-    only the d x d result reaches the driver."""
-    x = [F.col(vec_col)[i].cast("double") for i in range(d)]
-    sums = [F.sum(x[i] * x[j]).alias(f"g_{i}_{j}") for i in range(d) for j in range(i, d)]
-    row = df.agg(*sums).first()
-    g = np.zeros((d, d))
-    for i in range(d):
-        for j in range(i, d):
-            g[i, j] = g[j, i] = row[f"g_{i}_{j}"]
-    return g
+    """X^T X of an array column, rebuilt from the JVM-side column statistics
+    (Pearson correlation, mean and sample variance, two distributed passes):
+    X^T X = (n - 1) Cov + n mu mu^T. Only d x d numbers reach the driver."""
+    from pyspark.ml.stat import Correlation, Summarizer
+    v = df.select(array_to_vector(F.transform(vec_col, lambda x: x.cast("double"))).alias("_v"))
+    corr = Correlation.corr(v, "_v").first()[0].toArray()
+    st = v.select(Summarizer.metrics("mean", "variance", "count").summary(F.col("_v")).alias("s")).first()["s"]
+    mu = np.asarray(st["mean"].toArray())
+    sd = np.sqrt(np.asarray(st["variance"].toArray()))
+    n = float(st["count"])
+    cov = np.nan_to_num(corr) * np.outer(sd, sd)
+    return (n - 1.0) * cov + n * np.outer(mu, mu)
 
 
 def svd_project(df: DataFrame, vec_col: str, k: int = 2, id_col: str | None = None) -> DataFrame:
