@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tessera.session import cut_lineage
 
@@ -124,35 +125,76 @@ def _attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.withColumns({c: one_row.select(c).scalar() for c in one_row.columns})
 
 
+def _with_one_row(df: DataFrame, one: DataFrame) -> DataFrame:
+    """Attach a one-row table to every row (an equi-join on a constant, so
+    a one-row broadcast hash join); used where scalar subqueries cannot go
+    (inside higher-order functions)."""
+    return df.withColumn("_one", F.lit(1)).join(one.withColumn("_one", F.lit(1)), "_one").drop("_one")
+
+
+def weighted_positions(df: DataFrame, order: list[Column | str], weight: str,
+                       out: str = "_cum") -> DataFrame:
+    """Global inclusive running total of ``weight`` in ``order`` (a weighted
+    row number), without a single-partition window: a range sort, a running
+    sum inside each partition (vectorised, in partition order, no shuffle),
+    then per-partition offsets (one row per partition)."""
+    import numpy as np
+    import pandas as pd
+
+    ordered = df.orderBy(*order).withColumn("_gpid", F.spark_partition_id())
+    schema = StructType(ordered.schema.fields + [StructField("_pcum", LongType(), False)])
+
+    def running(it):
+        acc = 0
+        for pdf in it:
+            c = np.cumsum(pdf[weight].to_numpy(dtype=np.int64)) + acc
+            if len(c):
+                acc = int(c[-1])
+            yield pdf.assign(_pcum=pd.Series(c, index=pdf.index, dtype="int64"))
+
+    pinned = cut_lineage(ordered.mapInPandas(running, schema))
+    totals = pinned.groupBy("_gpid").agg(F.max("_pcum").alias("_ptot"))
+    before = Window.orderBy("_gpid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_gpid", F.coalesce(F.sum("_ptot").over(before), F.lit(0)).alias("_goff"))
+    return (pinned.join(F.broadcast(offsets), "_gpid")
+            .withColumn(out, F.col("_pcum") + F.col("_goff")).drop("_gpid", "_pcum", "_goff"))
+
+
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[str] = (),
                     out: str = "value") -> DataFrame:
     """Linear-interpolated quantiles (pandas / numpy default, SQL
-    ``percentile``) from one distributed sort.
+    ``percentile``), exact, from one distributed sort of the distinct
+    (keys, value) pairs.
 
     Spark's ``percentile`` keeps every distinct value of a group in one
-    aggregation buffer; here the values are range-sorted, numbered, and only
-    the two neighbours of each wanted position are picked out. Returns one row
-    per (keys, prob).
+    aggregation buffer. Here equal values are first counted (partial
+    aggregation: a value holding a third of the rows becomes one weighted
+    row), the distinct pairs are range-sorted and given global running
+    counts, and each pair checks whether its count interval holds one of its
+    group's target positions (a short array per group, attached by an
+    equi-join on the keys). Returns one row per (keys, prob).
     """
     keys = list(keys)
     base = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    base = base.withColumn("_tb", _hash_tiebreak(base))
-    numbered = global_row_number(base, [*keys, "_v", "_tb"], out="_rn")
-    stats = numbered.groupBy(*keys).agg(F.min("_rn").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    counts = base.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_w"))
+    cum = weighted_positions(counts, [*[F.col(k) for k in keys], F.col("_v")], "_w")
+    cum = cum.withColumn("_start", F.col("_cum") - F.col("_w") + 1)
+    stats = cum.groupBy(*keys).agg(F.min("_start").alias("_first"), F.sum("_w").alias("_n"))
     p_arr = F.array(*[F.lit(float(p)) for p in probs])
-    wanted = stats.select(*keys, "_first", "_n", F.posexplode(p_arr).alias("_pi", "_p"))
-    wanted = wanted.withColumn("_pos", (F.col("_n") - 1) * F.col("_p"))
-    wanted = wanted.withColumns({"_lo": F.floor("_pos"), "_hi": F.ceil("_pos")})
-    picks = wanted.select(*keys, "_pi", "_p", "_pos", "_lo", "_hi",
-                          F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_off"),
-                          "_first")
-    picks = picks.withColumn("_rn", F.col("_first") + F.col("_off"))
-    # picks is small: (groups x probs x 2) rows.
-    joined = numbered.select("_rn", "_v").join(picks, "_rn")
-    agg = joined.groupBy(*keys, "_pi", "_p").agg(
-        F.max(F.when(F.col("_off") == F.col("_lo"), F.col("_v"))).alias("_vlo"),
-        F.max(F.when(F.col("_off") == F.col("_hi"), F.col("_v"))).alias("_vhi"),
-        F.first("_pos").alias("_pos"), F.first("_lo").alias("_lo"))
+    tg = stats.select(*keys, "_first", F.posexplode(p_arr).alias("_pi", "_p"), "_n")
+    tg = tg.withColumn("_pos", (F.col("_n") - 1) * F.col("_p"))
+    tg = tg.withColumns({"_lo": F.floor("_pos"), "_hi": F.ceil("_pos")})
+    tg = tg.withColumns({"_glo": F.col("_first") + F.col("_lo"), "_ghi": F.col("_first") + F.col("_hi")})
+    targets = tg.groupBy(*keys).agg(F.collect_list(F.struct("_pi", "_p", "_pos", "_lo", "_glo", "_ghi"))
+                                    .alias("_tg"))  # at most len(probs) entries per group
+    joined = join_keys(cum, targets, keys) if keys else _with_one_row(cum, targets)
+    inside = lambda g: (g >= F.col("_start")) & (g <= F.col("_cum"))
+    hits = joined.select(*keys, "_v", "_start", "_cum", F.explode(F.filter(
+        "_tg", lambda t: inside(t["_glo"]) | inside(t["_ghi"]))).alias("_t"))
+    agg = hits.groupBy(*keys, F.col("_t._pi").alias("_pi")).agg(
+        F.first("_t._p").alias("_p"), F.first("_t._pos").alias("_pos"), F.first("_t._lo").alias("_lo"),
+        F.max(F.when(inside(F.col("_t._glo")), F.col("_v"))).alias("_vlo"),
+        F.max(F.when(inside(F.col("_t._ghi")), F.col("_v"))).alias("_vhi"))
     frac = F.col("_pos") - F.col("_lo")
     return agg.select(*keys, F.col("_p").alias("prob"),
                       (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * frac).alias(out))
