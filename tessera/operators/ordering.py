@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from tessera.session import cut_lineage
 
@@ -135,29 +134,21 @@ def _with_one_row(df: DataFrame, one: DataFrame) -> DataFrame:
 def weighted_positions(df: DataFrame, order: list[Column | str], weight: str,
                        out: str = "_cum") -> DataFrame:
     """Global inclusive running total of ``weight`` in ``order`` (a weighted
-    row number), without a single-partition window: a range sort, a running
-    sum inside each partition (vectorised, in partition order, no shuffle),
-    then per-partition offsets (one row per partition)."""
-    import numpy as np
-    import pandas as pd
-
-    ordered = df.orderBy(*order).withColumn("_gpid", F.spark_partition_id())
-    schema = StructType(ordered.schema.fields + [StructField("_pcum", LongType(), False)])
-
-    def running(it):
-        acc = 0
-        for pdf in it:
-            c = np.cumsum(pdf[weight].to_numpy(dtype=np.int64)) + acc
-            if len(c):
-                acc = int(c[-1])
-            yield pdf.assign(_pcum=pd.Series(c, index=pdf.index, dtype="int64"))
-
-    pinned = cut_lineage(ordered.mapInPandas(running, schema))
-    totals = pinned.groupBy("_gpid").agg(F.max("_pcum").alias("_ptot"))
+    row number), without a single-partition window: a range sort (pinned in
+    the checkpoint folder), a running sum inside each range partition (a
+    window per partition id: each holds one range partition's rows), then
+    per-partition offsets (one row per partition)."""
+    ordered = (df.orderBy(*order)
+               .withColumn("_gpid", F.spark_partition_id())
+               .withColumn("_gmid", F.monotonically_increasing_id()))
+    pinned = cut_lineage(ordered)
+    inside = Window.partitionBy("_gpid").orderBy("_gmid").rowsBetween(Window.unboundedPreceding, 0)
+    running = pinned.withColumn("_pcum", F.sum(weight).over(inside))
+    totals = pinned.groupBy("_gpid").agg(F.sum(weight).alias("_ptot"))
     before = Window.orderBy("_gpid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_gpid", F.coalesce(F.sum("_ptot").over(before), F.lit(0)).alias("_goff"))
-    return (pinned.join(F.broadcast(offsets), "_gpid")
-            .withColumn(out, F.col("_pcum") + F.col("_goff")).drop("_gpid", "_pcum", "_goff"))
+    return (running.join(F.broadcast(offsets), "_gpid")
+            .withColumn(out, F.col("_pcum") + F.col("_goff")).drop("_gpid", "_gmid", "_pcum", "_goff"))
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[str] = (),
