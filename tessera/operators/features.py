@@ -146,12 +146,24 @@ def fold_column(df: DataFrame, label: str, folds: int, seed: int, id_col: str,
 
 def undersample(df: DataFrame, label: str, ratio: float, seed: int, id_col: str) -> DataFrame:
     """All positive rows and ``ratio`` times as many negatives, chosen by a
-    seeded hash, in a seeded shuffled order (M8). Whole rows are sampled."""
+    seeded hash, in a seeded shuffled order (M8). Whole rows are sampled.
+
+    The kept negatives are exactly those with the smallest hashes. Only
+    candidates under a hash threshold sized for the need (with a margin of
+    about six standard deviations) are sorted; if too few pass, all
+    negatives are sorted instead, which selects the same rows.
+    """
     pos = df.where(F.col(label) == 1)
-    neg = df.where(F.col(label) == 0).withColumn("_h", F.xxhash64(F.col(id_col), F.lit(seed)))
-    n_pos = pos.select(F.count(F.lit(1))).scalar()
-    keep = global_row_number(neg, [F.col("_h"), F.col(id_col)], out="_rn")
-    keep = keep.where(F.col("_rn") <= F.floor(n_pos * ratio)).drop("_rn", "_h")
+    neg = df.where(F.col(label) == 0).withColumn("_h", uniform_hash(id_col, seed))
+    sizes = df.agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n")).first()
+    n_pos, n_neg = int(sizes["p"]), int(sizes["n"])
+    need = int(math.floor(n_pos * ratio))
+    p = min(1.0, (need + 6 * math.sqrt(need) + 20) / max(n_neg, 1))
+    cand = neg.where(F.col("_h") < F.lit(p)) if p < 1.0 else neg
+    if p < 1.0 and cand.count() < need:
+        cand = neg
+    keep = global_row_number(cand, [F.col("_h"), F.col(id_col)], out="_rn")
+    keep = keep.where(F.col("_rn") <= need).drop("_rn", "_h")
     both = pos.unionByName(keep)
     return both.orderBy(F.xxhash64(F.col(id_col), F.lit(seed + 1)), F.col(id_col))
 
