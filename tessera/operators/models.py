@@ -152,10 +152,14 @@ def undersampled_ensemble(df: DataFrame, features: list[str], label: str, id_col
                           rounds: int = 100, eta: float = 0.05, seed: int = 1337):
     """n boosted models, each on all positives plus a seeded draw of
     ``ratio`` x as many negatives (L5). Returns the fitted models."""
-    models = []
-    for i in range(n_models):
-        sample = FE.undersample(df, label, ratio, seed + i, id_col)
-        models.append(boosted_trees(sample, features, label, depth, rounds, eta, 1.0, seed + i))
+    base = df.persist()  # read n_models times
+    try:
+        models = []
+        for i in range(n_models):
+            sample = FE.undersample(base, label, ratio, seed + i, id_col)
+            models.append(boosted_trees(sample, features, label, depth, rounds, eta, 1.0, seed + i))
+    finally:
+        base.unpersist()
     return models
 
 
@@ -294,7 +298,8 @@ def als_tune(indexed: DataFrame, ranks=(25, 50, 100), regs=(0.1, 0.01, 0.001), s
     model = als_fit(train, best[1], best[2], max_iter, seed)
     scores = spark.createDataFrame(rows)
     valid.unpersist()
-    return scores, model, test
+    train.unpersist()
+    return scores, model, test  # test stays cached for the caller's final scoring
 
 
 def recommend_top(model, uidx: DataFrame, iidx: DataFrame, k: int = 100,
