@@ -353,3 +353,30 @@ def classify_text(model, labels: list, df: DataFrame) -> DataFrame:
     names = F.array(*[F.lit(v) for v in labels])
     return (out.withColumn("predicted", F.element_at(names, (F.col("prediction") + 1).cast("int")))
             .drop("_tok", "_tf", "features", "rawPrediction", "probability", "prediction"))
+
+
+def mean_word_vectors(df: DataFrame, id_col: str, text_col: str, vectors: DataFrame,
+                      out: str = "features") -> DataFrame:
+    """Mean word vector per text (the embedding-layer re-aim of L16): tokens
+    joined to the (word, vector) table, averaged per text with the grouped
+    ``Summarizer.mean`` aggregate. Texts with no known word get no row."""
+    from pyspark.ml.stat import Summarizer
+    from tessera.operators.text import token_rows
+    toks = token_rows(df, id_col, text_col).select(id_col, "word")
+    vec = vectors.select("word", array_to_vector(F.transform("vector", lambda x: x.cast("double")))
+                         .alias("_v"))
+    return toks.join(vec, "word").groupBy(id_col).agg(Summarizer.mean(F.col("_v")).alias(out))
+
+
+def vector_classifier(train: DataFrame, features: str, label: str, hidden: tuple[int, ...] = (32,),
+                      max_iter: int = 100, seed: int = 0):
+    """Dense layers on mean word vectors (L16): a multilayer perceptron with
+    softmax output; labels indexed alphabetically. Returns (model, labels)."""
+    from pyspark.ml.classification import MultilayerPerceptronClassifier
+    labels = FE.category_values(train, label)
+    dim = len(train.select(features).first()[0])
+    data = train.withColumn("_y", F.array_position(F.array(*[F.lit(v) for v in labels]),
+                                                   F.col(label)).cast("double") - 1)
+    mlp = MultilayerPerceptronClassifier(featuresCol=features, labelCol="_y",
+                                         layers=[dim, *hidden, len(labels)], maxIter=max_iter, seed=seed)
+    return mlp.fit(data), labels

@@ -251,3 +251,15 @@ def l9(spark, d):
         v = v.select("loan_id", "delinquent", F.lit(g).alias("gamma"), "verdict")
         out = v if out is None else out.unionByName(v)
     return out
+
+
+@register("L16_mean_vector_classifier")
+def l16v(spark, d):
+    r = FX.reviews(spark, d)
+    feats = ML.mean_word_vectors(r, "doc_id", "review", FX.word_vectors(spark, d))
+    data = FE.random_split(feats.join(r.select("doc_id", "label"), "doc_id"), [0.8, 0.2], 42, "doc_id")
+    train, test = data.where("split_part = 0"), data.where("split_part = 1")
+    model, labels = ML.vector_classifier(train, "features", "label", hidden=(32,), max_iter=100)
+    names = F.array(*[F.lit(v) for v in labels])
+    pred = model.transform(test).withColumn("predicted", F.element_at(names, (F.col("prediction") + 1).cast("int")))
+    return r6(E.classification_report(pred, "label", "predicted"))
