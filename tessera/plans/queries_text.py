@@ -260,11 +260,17 @@ def s3(spark, d):
 
 
 @register("S4_scan_ratings", W("""
-SELECT user_id, item_id, round(rating, 6) AS rating FROM ratings""", "ratings"))
+SELECT user_id, item_id,
+       CASE WHEN (CAST(user_id AS BIGINT) + CAST(item_id AS BIGINT)) % 13 = 0 THEN NULL ELSE round(rating, 6) END AS rating
+FROM ratings""", "ratings"))
 def s4(spark, d):
+    """Ratings rendered as text lines, a rule-chosen few with an unparsable
+    rating ("n/a"), read back: those ratings are NULL."""
     path = scratch_path(spark, "s4")
     r = FX.ratings(spark, d)
-    IO.write_text_lines(r.select(F.concat_ws(",", "user_id", "item_id", F.col("rating").cast("string"))), path)
+    bad = (F.col("user_id").cast("long") + F.col("item_id").cast("long")) % 13 == 0
+    text = F.when(bad, F.lit("n/a")).otherwise(F.col("rating").cast("string"))
+    IO.write_text_lines(r.select(F.concat_ws(",", "user_id", "item_id", text)), path)
     return r6(IO.scan_ratings(spark, path))
 
 
