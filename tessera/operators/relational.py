@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import scalars as S
-from tessera.functions.text import word_count
 
 
 # --- P1-P17 ---------------------------------------------------------------
@@ -246,5 +245,3 @@ def overlap_report(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
         F.count_if((F.col("_l") == 1) & (F.col("_r") == 0)).alias("only_left"),
         F.count_if((F.col("_l") == 0) & (F.col("_r") == 1)).alias("only_right"))
 
-
-__all__ = [n for n in dir() if not n.startswith("_")] + ["word_count"]

@@ -255,9 +255,6 @@ def q3(spark, d):
     return R.history_recommendation(FX.test_part(FX.transactions(spark, d)))
 
 
-_RULES_SQL_UNION = None
-
-
 def _q5_sql():
     from tessera.plans.queries_core import _RULE_SQL
     sel = " UNION ALL ".join(

@@ -152,7 +152,6 @@ def l16(spark, d):
 
 @register("S8_save_load_model")
 def s8(spark, d):
-    pred, _, _ = None, None, None
     a = FX.binary_points(spark, d)
     model = ML.boosted_trees(a, ["x1", "x2", "x3", "x4"], "y", depth=3, rounds=10)
     path = scratch_path(spark, "model")

@@ -184,10 +184,6 @@ def c1(spark, d):
                        S.log1p_transform("monthly_income").alias("log1p_income")))
 
 
-def _skew_sql(expr):
-    return f"""avg(pow({expr} - m, 3)) / pow(avg(pow({expr} - m, 2)), 1.5)"""
-
-
 @register("C2_skew_report", W("""
 SELECT transform, round(avg(pow(v - m, 3)) / pow(avg(pow(v - m, 2)), 1.5), 6) AS skewness, count(v) AS n
 FROM (SELECT transform, v, avg(v) OVER (PARTITION BY transform) AS m FROM (
