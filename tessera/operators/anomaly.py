@@ -140,57 +140,64 @@ def _distance(a, b):
         F.lit(0.0), lambda acc, v: acc + v))
 
 
-def _top_direction(df: DataFrame, vec_col: str) -> list[float]:
-    """Unit direction of largest spread (first principal component); any
-    unit vector keeps the neighbour search exact, this one prunes best."""
-    from pyspark.ml.feature import PCA
-    from pyspark.ml.functions import array_to_vector
-    v = df.select(array_to_vector(F.transform(vec_col, lambda x: x.cast("double"))).alias("_v"))
-    pc = PCA(k=1, inputCol="_v", outputCol="_o").fit(v).pc.toArray()[:, 0]
-    return [float(x) for x in pc / (np.linalg.norm(pc) or 1.0)]
-
-
-def exact_knn(df: DataFrame, vec_col: str, id_col: str, k: int = 20) -> DataFrame:
-    """Exact k nearest neighbours (Euclidean, ties by id) without a cross join.
-
-    1. Project every point on one unit direction and sort by it (distributed).
-    2. The k points on either side in that order give each point an upper
-       bound r(x) on its k-distance.
-    3. Any true neighbour y satisfies |proj(y) - proj(x)| <= d(x, y) <= r(x),
-       so only points inside that band are compared: the projection is cut
-       into buckets, each point probes the buckets its band covers, and the
-       candidate pairs meet in an equi-join on the bucket.
-    4. The k closest candidates per point are kept (window group limit).
+def exact_knn(df: DataFrame, vec_col: str, id_col: str, k: int = 20,
+              block_size: int = 1024) -> DataFrame:
+    """Exact k nearest neighbours (Euclidean, ties by neighbour id) without a
+    cross join and without emitting point pairs as rows.
+
+    Exact neighbours in many dimensions need every distance (on the 64-wide
+    embeddings a projection bound prunes nothing: distances concentrate), so
+    the work is quadratic; the data movement need not be. Points are numbered
+    into blocks of ``block_size``; every point is sent once as a query to
+    each (its block, reference block) group and once as a reference to each
+    (query block, its block) group, generated with ``explode`` (B copies per
+    point, B = number of blocks). Each group holds two blocks, computes their
+    distances in NumPy inside the task and emits only its k best per query
+    point; a final top-k per point (window group limit) merges the B lists.
     Returns (id, neighbor, distance, rank).
     """
+    import math as _m
+    from pyspark.sql.types import DoubleType, LongType, StructField, StructType
     from tessera.operators.ordering import global_row_number
-    pts = df.select(F.col(id_col).alias("_id"), F.col(vec_col).alias("_v"))
-    w = _top_direction(pts, "_v")
-    proj = F.aggregate(F.zip_with("_v", F.array(*[F.lit(x) for x in w]),
-                                  lambda a, b: a.cast("double") * b), F.lit(0.0), lambda acc, v: acc + v)
-    numbered = global_row_number(pts.withColumn("_p", proj), [F.col("_p"), F.col("_id")], out="_rn")
-    offs = [o for o in range(-k, k + 1) if o != 0]
-    probe = numbered.select("_id", "_v", "_rn", F.explode(F.array(*[F.lit(o) for o in offs])).alias("_o"))
-    other = numbered.select((F.col("_rn")).alias("_rn2"), F.col("_id").alias("_nb"), F.col("_v").alias("_nv"))
-    near = (probe.withColumn("_rn2", F.col("_rn") + F.col("_o")).join(other, "_rn2")
-            .withColumn("_d", _distance(F.col("_v"), F.col("_nv"))))
-    win = Window.partitionBy("_id").orderBy("_d", "_nb")
-    bound = (near.withColumn("_i", F.row_number().over(win)).where(F.col("_i") == k)
-             .select("_id", F.col("_d").alias("_r")))
-    width = bound.select(F.percentile_approx("_r", 0.5)).first()[0] or 0.0
-    width = float(width) if width > 0 else 1.0
-    xs = (numbered.join(bound, "_id")
-          .withColumn("_b", F.explode(F.sequence(F.floor((F.col("_p") - F.col("_r")) / width),
-                                                 F.floor((F.col("_p") + F.col("_r")) / width)))))
-    ys = numbered.select(F.col("_id").alias("_nb"), F.col("_v").alias("_nv"), F.col("_p").alias("_np"),
-                         F.floor(F.col("_p") / width).alias("_b"))
-    cand = (xs.join(ys, "_b")
-            .where((F.col("_nb") != F.col("_id")) & (F.abs(F.col("_np") - F.col("_p")) <= F.col("_r")))
-            .withColumn("_d", _distance(F.col("_v"), F.col("_nv")))
-            .where(F.col("_d") <= F.col("_r")))
-    ranked = cand.withColumn("rank", F.row_number().over(win)).where(F.col("rank") <= k)
-    return ranked.select(F.col("_id").alias(id_col), F.col("_nb").alias("neighbor"),
-                         F.col("_d").alias("distance"), "rank")
+    pts = df.select(F.col(id_col).cast("long").alias("_id"),
+                    F.transform(vec_col, lambda x: x.cast("double")).alias("_v"))
+    n = pts.count()
+    blocks = max(1, int(_m.ceil(n / block_size)))
+    numbered = global_row_number(pts, [F.col("_id")], out="_rn")
+    numbered = numbered.withColumn("_blk", F.floor((F.col("_rn") - 1) / block_size).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    q = numbered.select("_id", "_v", F.col("_blk").alias("_qb"), every.alias("_rb"), F.lit(True).alias("_isq"))
+    r = numbered.select("_id", "_v", every.alias("_qb"), F.col("_blk").alias("_rb"), F.lit(False).alias("_isq"))
+
+    def block_pair(pdf: pd.DataFrame) -> pd.DataFrame:
+        qs, rs = pdf[pdf["_isq"]], pdf[~pdf["_isq"]]
+        if qs.empty or rs.empty:
+            return pd.DataFrame({"_id": [], "neighbor": [], "distance": []})
+        a = np.stack(qs["_v"].to_numpy())
+        b = np.stack(rs["_v"].to_numpy())
+        d2 = np.zeros((len(a), len(b)))
+        for c in range(a.shape[1]):  # sum squared differences coordinate by coordinate
+            diff = a[:, c][:, None] - b[:, c][None, :]
+            d2 += diff * diff
+        dist = np.sqrt(d2)
+        qid, rid = qs["_id"].to_numpy(), rs["_id"].to_numpy()
+        dist[qid[:, None] == rid[None, :]] = np.inf
+        out_q, out_n, out_d = [], [], []
+        for row in range(len(a)):
+            order = np.lexsort((rid, dist[row]))[:k]
+            order = order[np.isfinite(dist[row, order])]
+            out_q.append(np.full(len(order), qid[row]))
+            out_n.append(rid[order])
+            out_d.append(dist[row, order])
+        return pd.DataFrame({"_id": np.concatenate(out_q), "neighbor": np.concatenate(out_n),
+                             "distance": np.concatenate(out_d)})
+
+    schema = StructType([StructField("_id", LongType()), StructField("neighbor", LongType()),
+                         StructField("distance", DoubleType())])
+    partial = q.unionByName(r).groupBy("_qb", "_rb").applyInPandas(block_pair, schema)
+    win = Window.partitionBy("_id").orderBy("distance", "neighbor")
+    ranked = partial.withColumn("rank", F.row_number().over(win)).where(F.col("rank") <= k)
+    return ranked.select(F.col("_id").alias(id_col), "neighbor", "distance", "rank")
 
 
 def local_outlier_factor(df: DataFrame, vec_col: str, id_col: str, k: int = 20,

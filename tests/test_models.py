@@ -117,3 +117,20 @@ def test_als_recommendations_use_original_ids(spark):
     model = ML.als_fit(indexed, rank=3, reg=0.1, max_iter=5)
     recs = ML.recommend_top(model, uidx, iidx, k=3, entity_type="item").collect()
     assert len(recs) == 12 * 3 and all(x["user_id"].startswith("u") and x["item_id"].startswith("i") for x in recs)
+
+
+def test_exact_knn_across_many_blocks_with_ties(spark):
+    rng = np.random.default_rng(9)
+    x = np.vstack([rng.integers(0, 4, size=(40, 3)).astype(float), [[1.0, 1.0, 1.0]] * 6])
+    df = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)],
+                               "id long, v array<double>")
+    k = 4
+    got = {}
+    for r in AN.exact_knn(df, "v", "id", k=k, block_size=7).collect():
+        got.setdefault(r["id"], []).append((r["rank"], r["neighbor"], r["distance"]))
+    d = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(-1))
+    np.fill_diagonal(d, np.inf)
+    for i in range(len(x)):
+        want = np.lexsort((np.arange(len(x)), d[i]))[:k]
+        have = [nb for _, nb, _ in sorted(got[i])]
+        assert have == list(want), (i, have, list(want))
