@@ -257,23 +257,27 @@ def one_class_boundary(train: DataFrame, score: DataFrame, features: list[str],
     # margins (at the optimum a share nu of the training rows lies outside)
     first = z.select(Summarizer.metrics("mean").summary(array_to_vector("_z")).alias("s")).first()["s"]
     w = np.asarray(first["mean"].toArray()) / nu
-    rho = 0.0
+
+    def margin_of(wv):
+        return F.aggregate(F.zip_with("_z", F.array(*[F.lit(float(x)) for x in wv]), lambda a, c: a * c),
+                           F.lit(0.0), lambda acc, v: acc + v)
+
+    rho = float(z.select(F.percentile_approx(margin_of(w), nu, 10000)).first()[0])
     for step in range(steps):
-        margin = F.aggregate(F.zip_with("_z", F.array(*[F.lit(float(x)) for x in w]), lambda a, c: a * c),
-                             F.lit(0.0), lambda acc, v: acc + v)
-        m = z.withColumn("_m", margin)
-        rho = float(m.select(F.percentile_approx("_m", nu, 10000)).first()[0])
-        viol = m.withColumn("_viol", (F.col("_m") < rho).cast("double"))
+        # one pass per step: the violators under the current rho give the
+        # subgradient for w, and the same pass yields the next rho
+        m = z.withColumn("_m", margin_of(w)).withColumn("_viol", (F.col("_m") < rho).cast("double"))
         masked = array_to_vector(F.transform("_z", lambda x: x * F.col("_viol")))
-        s = viol.select(Summarizer.metrics("sum").summary(masked).alias("s"),
-                        F.sum("_viol").alias("n_viol")).first()
+        s = m.select(Summarizer.metrics("sum").summary(masked).alias("s"),
+                     F.sum("_viol").alias("n_viol"),
+                     F.percentile_approx("_m", nu, 10000).alias("rho")).first()
         n_viol = float(s["n_viol"] or 0.0)
         sum_z = np.asarray(s["s"]["sum"].toArray()) if n_viol > 0 else np.zeros(n_components)
         eta = lr / math.sqrt(step + 1)
         w = w - eta * (w - sum_z / (nu * n))
-    margin = F.aggregate(F.zip_with("_z", F.array(*[F.lit(float(x)) for x in w]), lambda a, c: a * c),
-                         F.lit(0.0), lambda acc, v: acc + v)
-    rho = float(z.select(F.percentile_approx(margin, nu, 10000)).first()[0])
+        rho = float(s["rho"])
+    rho = float(z.select(F.percentile_approx(margin_of(w), nu, 10000)).first()[0])
+    margin = margin_of(w)
     scored = rff(score)
     margin = F.aggregate(F.zip_with("_z", F.array(*[F.lit(float(x)) for x in w]), lambda a, c: a * c),
                          F.lit(0.0), lambda acc, v: acc + v)
