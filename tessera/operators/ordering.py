@@ -124,13 +124,6 @@ def _attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.withColumns({c: one_row.select(c).scalar() for c in one_row.columns})
 
 
-def _with_one_row(df: DataFrame, one: DataFrame) -> DataFrame:
-    """Attach a one-row table to every row (an equi-join on a constant, so
-    a one-row broadcast hash join); used where scalar subqueries cannot go
-    (inside higher-order functions)."""
-    return df.withColumn("_one", F.lit(1)).join(one.withColumn("_one", F.lit(1)), "_one").drop("_one")
-
-
 def weighted_positions(df: DataFrame, order: list[Column | str], weight: str,
                        out: str = "_cum") -> DataFrame:
     """Global inclusive running total of ``weight`` in ``order`` (a weighted
@@ -162,8 +155,10 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[st
     aggregation: a value holding a third of the rows becomes one weighted
     row), the distinct pairs are range-sorted and given global running
     counts, and each pair checks whether its count interval holds one of its
-    group's target positions (a short array per group, attached by an
-    equi-join on the keys). Returns one row per (keys, prob).
+    group's target positions (plain columns per group, attached by an equi-join
+    on the keys, or as scalar subqueries without keys); the values at those
+    positions are picked with conditional maxima in one partial
+    aggregation. Returns one row per (keys, prob).
     """
     keys = list(keys)
     base = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
@@ -171,21 +166,27 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[st
     cum = weighted_positions(counts, [*[F.col(k) for k in keys], F.col("_v")], "_w")
     cum = cum.withColumn("_start", F.col("_cum") - F.col("_w") + 1)
     stats = cum.groupBy(*keys).agg(F.min("_start").alias("_first"), F.sum("_w").alias("_n"))
-    p_arr = F.array(*[F.lit(float(p)) for p in probs])
-    tg = stats.select(*keys, "_first", F.posexplode(p_arr).alias("_pi", "_p"), "_n")
-    tg = tg.withColumn("_pos", (F.col("_n") - 1) * F.col("_p"))
-    tg = tg.withColumns({"_lo": F.floor("_pos"), "_hi": F.ceil("_pos")})
-    tg = tg.withColumns({"_glo": F.col("_first") + F.col("_lo"), "_ghi": F.col("_first") + F.col("_hi")})
-    targets = tg.groupBy(*keys).agg(F.collect_list(F.struct("_pi", "_p", "_pos", "_lo", "_glo", "_ghi"))
-                                    .alias("_tg"))  # at most len(probs) entries per group
-    joined = join_keys(cum, targets, keys) if keys else _with_one_row(cum, targets)
-    inside = lambda g: (g >= F.col("_start")) & (g <= F.col("_cum"))
-    hits = joined.select(*keys, "_v", "_start", "_cum", F.explode(F.filter(
-        "_tg", lambda t: inside(t["_glo"]) | inside(t["_ghi"]))).alias("_t"))
-    agg = hits.groupBy(*keys, F.col("_t._pi").alias("_pi")).agg(
-        F.first("_t._p").alias("_p"), F.first("_t._pos").alias("_pos"), F.first("_t._lo").alias("_lo"),
-        F.max(F.when(inside(F.col("_t._glo")), F.col("_v"))).alias("_vlo"),
-        F.max(F.when(inside(F.col("_t._ghi")), F.col("_v"))).alias("_vhi"))
-    frac = F.col("_pos") - F.col("_lo")
-    return agg.select(*keys, F.col("_p").alias("prob"),
-                      (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * frac).alias(out))
+    # per group and probability: position, its floor and the two global
+    # positions to look up, pivoted into plain columns (one row per group)
+    cols = {}
+    for i, p in enumerate(probs):
+        pos = (F.col("_n") - 1) * F.lit(float(p))
+        cols[f"_pos{i}"] = pos
+        cols[f"_lo{i}"] = F.floor(pos)
+        cols[f"_glo{i}"] = F.col("_first") + F.floor(pos)
+        cols[f"_ghi{i}"] = F.col("_first") + F.ceil(pos)
+    targets = stats.select(*keys, *[e.alias(c) for c, e in cols.items()])
+    attached = join_keys(cum, targets, keys) if keys else _attach_scalars(cum, targets)
+    inside = lambda g: (F.col(g) >= F.col("_start")) & (F.col(g) <= F.col("_cum"))
+    aggs = []
+    for i in range(len(probs)):
+        aggs += [F.max(F.when(inside(f"_glo{i}"), F.col("_v"))).alias(f"_vlo{i}"),
+                 F.max(F.when(inside(f"_ghi{i}"), F.col("_v"))).alias(f"_vhi{i}"),
+                 F.first(f"_pos{i}").alias(f"_pos{i}"), F.first(f"_lo{i}").alias(f"_lo{i}")]
+    # a global aggregation returns one row even over no input: keep groups with rows
+    picked = attached.groupBy(*keys).agg(*aggs, F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > 0)
+    rows = [F.struct(F.lit(float(p)).alias("prob"),
+                     (F.col(f"_vlo{i}") + (F.col(f"_vhi{i}") - F.col(f"_vlo{i}"))
+                      * (F.col(f"_pos{i}") - F.col(f"_lo{i}"))).alias(out))
+            for i, p in enumerate(probs)]
+    return picked.select(*keys, F.inline(F.array(*rows)))

@@ -110,8 +110,10 @@ def chi2_contingency(df: DataFrame, a: str, b: str, correction: bool = True) ->
                     F.count_distinct(b).alias("kb"),
                     F.min("_ra").alias("rmin"), F.max("_ra").alias("rmax"),
                     F.min("_cb").alias("cmin"), F.max("_cb").alias("cmax"))
-    cells = _with_one_row(cells, tot)
-    n, dof = F.col("n"), (F.col("ka") - 1) * (F.col("kb") - 1)
+    # one-row results as scalar subqueries (Spark merges them into one)
+    sc = {c: tot.select(c).scalar() for c in tot.columns}
+    n = sc["n"]
+    dof = (sc["ka"] - 1) * (sc["kb"] - 1)
     use_y = (dof == 1) & F.lit(bool(correction))
 
     def g(o: Column, e: Column) -> Column:
@@ -121,22 +123,15 @@ def chi2_contingency(df: DataFrame, a: str, b: str, correction: bool = True) ->
 
     e = F.col("_ra") * F.col("_cb") / n
     zero = F.lit(0.0)
-    all_absent = F.when(use_y, g(zero, F.col("rmin") * F.col("cmin") / n)
-                        + g(zero, F.col("rmin") * F.col("cmax") / n)
-                        + g(zero, F.col("rmax") * F.col("cmin") / n)
-                        + g(zero, F.col("rmax") * F.col("cmax") / n)).otherwise(n)
-    present = cells.groupBy("n", "ka", "kb", "rmin", "rmax", "cmin", "cmax").agg(
-        F.sum(g(F.col("o"), e) - g(zero, e)).alias("_s"))
-    out = present.select((F.col("_s") + all_absent).alias("statistic"), dof.cast("long").alias("dof"))
+    all_absent = F.when(use_y, g(zero, sc["rmin"] * sc["cmin"] / n) + g(zero, sc["rmin"] * sc["cmax"] / n)
+                        + g(zero, sc["rmax"] * sc["cmin"] / n) + g(zero, sc["rmax"] * sc["cmax"] / n)).otherwise(n)
+    # the statistic and dof leave the aggregation as plain columns, so the
+    # p-value's higher-order functions see attributes, not subqueries
+    out = cells.agg((F.sum(g(F.col("o"), e) - g(zero, e)) + F.first(all_absent)).alias("statistic"),
+                    F.first(dof).cast("long").alias("dof"))
     return out.withColumn("p_value", chi2_sf(F.col("statistic"), F.col("dof")))
 
 
-def _with_one_row(df: DataFrame, one: DataFrame) -> DataFrame:
-    """Attach a one-row aggregate to every row by an equi-join on a constant
-    (planned as a broadcast hash join of one row)."""
-    return df.withColumn("_one", F.lit(1)).join(one.withColumn("_one", F.lit(1)), "_one").drop("_one")
-
-
 def chi2_feature_scores(df: DataFrame, features: list[str], label: str) -> DataFrame:
     """Chi-square score of non-negative features against a class label
     (M17): per feature, observed = per-class sums, expected = class share *
