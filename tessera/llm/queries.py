@@ -7,8 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import load
+from .chat import conversation_digests, format_conversations
+from .common import crc_mod, load
+from .decontaminate import decontaminate
+from .embedding_dedup import embedding_dedup
+from .language import identify, train
+from .ngram_join import ngram_join
 from .packing import pack_documents
+from .sharding import shard_rows
+from .toxicity import learn_lexicon, score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -23,7 +30,91 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+# Components below are the transitive closure of the links.
+_CLOSURE = """reach(a, b) AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)"""
+
+
+@register("op1_spherical_cap_dedup", f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links(a, b) AS (
+  SELECT p.vec_id, q.vec_id FROM v p JOIN v q ON p.vec_id <> q.vec_id AND len(p.e) = len(q.e)
+  WHERE list_cosine_similarity(p.e, q.e) >= 0.95),
+{_CLOSURE}
+SELECT e.vec_id,
+  (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links,
+  coalesce((SELECT min(b) FROM reach r WHERE r.a = e.vec_id), e.vec_id) AS component_id,
+  e.vec_id = coalesce((SELECT min(b) FROM reach r WHERE r.a = e.vec_id), e.vec_id) AS kept
+FROM embeddings e""")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup(load(spark, sf_dir, "embeddings"))
+
+
+@register("op2_greedy_string_tiling")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
+@register("op3_language_svm")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    found = identify(docs, train(docs, crc_mod("doc_id", 3) != 1))
+    return found.select("doc_id", F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)).alias("held_out"),
+                        "lang_pred", "score")
+
+
+@register("op4_chat_windows")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", told), (-7, 1, "assistant", told)],
+                                  "conv_id long, turn long, role string, text string")
+    turns = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return conversation_digests(format_conversations(turns)).withColumnRenamed("conv", "conv_id")
+
+
+@register("op5_hypergeometric_shards")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sharded = shard_rows(load(spark, sf_dir, "documents"), shards=16)
+    text = F.coalesce("text", F.lit(""))
+    return sharded.select("doc_id", (F.octet_length(text).cast("long") + 1).alias("size"),
+                          F.crc32(text).alias("text_crc32"), F.lit("rows").alias("law"),
+                          F.col("shard").cast("int").alias("shard"), "slot",
+                          F.lit(None).cast("int").alias("grown_shard"))
+
+
 @register("op6_best_fit_packing")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = pack_documents(load(spark, sf_dir, "documents"))
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@register("op7_ngram_jaccard_join", f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda w: w <> '') AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM words),
+grams AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+links(a, b) AS (
+  SELECT p.doc_id, q.doc_id FROM grams p JOIN grams q ON p.g = q.g AND p.doc_id <> q.doc_id
+  GROUP BY p.doc_id, q.doc_id, p.n, q.n HAVING count(*) >= 0.8 * (p.n + q.n - count(*)) - 1e-9),
+{_CLOSURE}
+SELECT d.doc_id,
+  coalesce((SELECT min(o.doc_id) FROM sets o WHERE len(o.s) > 0 AND list_sort(o.s) = list_sort(d.s)), d.doc_id) AS class_id,
+  (SELECT count(*) FROM links l WHERE l.a = d.doc_id) AS n_links,
+  coalesce((SELECT min(b) FROM reach r WHERE r.a = d.doc_id), d.doc_id) AS component_id
+FROM sets d""")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(load(spark, sf_dir, "documents"))
+
+
+@register("op8_toxicity_lexicon")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
+    scored = score_toxicity(docs, learn_lexicon(docs, labels, crc_mod("doc_id", 5) != 0))
+    return scored.select("doc_id", F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
+                         "score", "predicted")
