@@ -12,6 +12,7 @@ from .common import crc_mod, load
 from .decontaminate import decontaminate
 from .embedding_dedup import embedding_dedup
 from .language import identify, train
+from .line_dedup import dedup_lines
 from .ngram_join import ngram_join
 from .packing import pack_documents
 from .sharding import shard_rows
@@ -118,3 +119,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score_toxicity(docs, learn_lexicon(docs, labels, crc_mod("doc_id", 5) != 0))
     return scored.select("doc_id", F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
                          "score", "predicted")
+
+
+@register("op9_fuzzy_line_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(docs).select("doc_id", "text", F.size(F.split("text", "\n")).alias("n_lines"))
