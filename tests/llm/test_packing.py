@@ -14,8 +14,12 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 TOK = Tokenizer.from_file(default_path())
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.text(max_size=60) | st.text("ab's ll\n\t  é١<|endoftext|>\x1c　ΣΏ9_-", max_size=80))
+def test_the_fast_merger_is_in_use():
+    assert encoder(default_path()).core is not None
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text(max_size=60) | st.text("ab,. \n", max_size=40) | st.text("añ'\"(-1 \n", max_size=40) | st.text("ab's ll\n\t  é١<|endoftext|>\x1c　ΣΏ9_-", max_size=80))
 def test_cached_ids_equal_the_library(text):
     got = np.frombuffer(encoder(default_path()).ids(text), "<u4").tolist()
     assert got == TOK.encode(text, add_special_tokens=False).ids
