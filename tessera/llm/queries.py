@@ -16,6 +16,7 @@ from .line_dedup import dedup_lines
 from .ngram_join import ngram_join
 from .packing import pack_documents
 from .sharding import shard_rows
+from .suffix_dedup import remove_repeats
 from .toxicity import learn_lexicon, score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +126,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup_lines(docs).select("doc_id", "text", F.size(F.split("text", "\n")).alias("n_lines"))
+
+
+@register("op10_suffix_array_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(load(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
