@@ -67,7 +67,7 @@ def crosstab(df: DataFrame, a: str, b: str, normalize: str | None = None,
     elif normalize == "columns":
         denom = F.sum(measure).over(Window.partitionBy(b))
     elif normalize == "all":
-        denom = base.select(F.count(F.lit(1))).scalar()
+        denom = g.select(F.sum(measure)).scalar()
     else:
         raise ValueError(normalize)
     return g.withColumn("share", F.col(measure) / denom)

@@ -68,11 +68,11 @@ def kde(df: DataFrame, x: str, group: list[str] = (), grid: int = 200,
     j = _attach(distinct_vals, stats.select(*keys, "_n", "_h", "_g0", "_step"), keys)
     j = j.withColumn("grid_index", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
     gx = F.col("_g0") + F.col("grid_index") * F.col("_step")
-    z = (gx - F.col("_x")) / F.col("_h")
+    z = F.try_divide(gx - F.col("_x"), F.col("_h"))  # no spread: no bandwidth, NULL density
     j = j.withColumn("_k", F.col("_w") * F.exp(-0.5 * z * z))
     out = j.groupBy(*keys, "grid_index").agg(
         F.first(gx).alias("x"),
-        (F.sum("_k") / (F.first("_n") * F.first("_h") * math.sqrt(2 * math.pi))).alias("density"))
+        F.try_divide(F.sum("_k"), F.first("_n") * F.first("_h") * math.sqrt(2 * math.pi)).alias("density"))
     return out
 
 
@@ -80,8 +80,10 @@ def histogram(df: DataFrame, x: str, bins: int, density: bool = False) -> DataFr
     """Equal-width bins from min to max, last bin closed (numpy rule), every
     bin listed even when empty (A25)."""
     base = df.select(F.col(x).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    mn = base.select(F.min("_x")).scalar()
-    mx = base.select(F.max("_x")).scalar()
+    # a constant column gets a range of width 1 around it (numpy rule)
+    pad = F.when(F.min("_x") == F.max("_x"), F.lit(0.5)).otherwise(F.lit(0.0))
+    mn = base.select(F.min("_x") - pad).scalar()
+    mx = base.select(F.max("_x") + pad).scalar()
     n = base.select(F.count(F.lit(1))).scalar()
     width = (mx - mn) / bins
     idx = F.least(F.floor((F.col("_x") - mn) / width), F.lit(bins - 1)).cast("int")

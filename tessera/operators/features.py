@@ -26,26 +26,30 @@ def uniform_hash(id_col: str | Column, seed: int, salt: int | Column = 0) -> Col
 
 
 # --- M1-M4 encoders ---------------------------------------------------------
-def category_values(df: DataFrame, col: str) -> list:
-    """Distinct non-null values of a categorical column, sorted (a short
-    list: used to fix the output schema of ``one_hot_wide``)."""
-    return [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct()
-            .orderBy(col).collect()]
+def category_values(df: DataFrame, col: str, most: int = 1000) -> list:
+    """Distinct non-null values of a categorical column, sorted (used to fix
+    the output schema of ``one_hot_wide``). More than ``most`` values are an
+    error: such a column does not fit a column per value."""
+    values = [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct()
+              .orderBy(col).limit(most + 1).collect()]
+    if len(values) > most:
+        raise ValueError(f"{col} has more than {most} values")
+    return values
 
 
 def one_hot_wide(df: DataFrame, cols: list[str], categories: dict[str, list] | None = None,
                  drop_first: bool = True, keep_original: bool = False) -> DataFrame:
     """0/1 column ``{col}_{value}`` per category in lexical order, first one
     dropped, null -> all zeros (M1). Pass ``categories`` to fix the schema
-    without a distinct pass."""
+    without a distinct pass; a value outside them then fails the query."""
     categories = dict(categories or {})
     out = {}
     for c in cols:
-        values = sorted(categories.get(c) or category_values(df, c))
-        if drop_first:
-            values = values[1:]
-        for v in values:
-            out[f"{c}_{v}"] = F.coalesce((F.col(c) == F.lit(v)).cast("int"), F.lit(0))
+        known = sorted(categories.get(c) or category_values(df, c))
+        unknown = F.lit(False) if c not in categories else F.col(c).isNotNull() & ~F.col(c).isin(known)
+        for v in known[1:] if drop_first else known:
+            out[f"{c}_{v}"] = F.when(unknown, F.raise_error(F.lit(f"unknown value of {c}")).cast("int")).otherwise(
+                F.coalesce((F.col(c) == F.lit(v)).cast("int"), F.lit(0)))
     res = df.withColumns(out)
     return res if keep_original else res.drop(*cols)
 
@@ -64,9 +68,11 @@ def label_binarize(df: DataFrame, col: str, classes: list, out: str = "onehot")
 
 
 def label_inverse(df: DataFrame, arr: str, classes: list, out: str = "label") -> DataFrame:
-    """Back from a score array to the class with the largest entry (first on ties) (M3)."""
+    """Back from a score array to the class with the largest entry (first on
+    ties) (M3); an array without a positive entry stands for no class: NULL."""
     pos = F.array_position(F.col(arr), F.array_max(F.col(arr)))
-    return df.withColumn(out, F.element_at(F.array(*[F.lit(c) for c in classes]), pos.cast("int")))
+    name = F.element_at(F.array(*[F.lit(c) for c in classes]), pos.cast("int"))
+    return df.withColumn(out, F.when(F.array_max(F.col(arr)) > 0, name))
 
 
 def id_index(df: DataFrame, col: str, out: str | None = None) -> tuple[DataFrame, DataFrame]:
@@ -83,13 +89,15 @@ def id_index(df: DataFrame, col: str, out: str | None = None) -> tuple[DataFrame
 def standardize(train: DataFrame, others: list[DataFrame], cols: list[str],
                 suffix: str = "") -> list[DataFrame]:
     """Fit mean and population deviation on ``train`` and apply them to
-    ``train`` and every frame in ``others`` (M5)."""
+    ``train`` and every frame in ``others`` (M5). A constant column is only
+    centred (scale 1)."""
     stats = train.agg(*[F.avg(c).alias(f"_m_{c}") for c in cols],
                       *[F.stddev_pop(c).alias(f"_s_{c}") for c in cols])
     res = []
     for f in [train, *others]:
         g = _attach_scalars(f, stats)
-        g = g.withColumns({f"{c}{suffix}": F.try_divide(F.col(c) - F.col(f"_m_{c}"), F.col(f"_s_{c}"))
+        g = g.withColumns({f"{c}{suffix}": (F.col(c) - F.col(f"_m_{c}"))
+                           / F.when(F.col(f"_s_{c}") == 0, F.lit(1.0)).otherwise(F.col(f"_s_{c}"))
                            for c in cols})
         res.append(g.drop(*[f"_m_{c}" for c in cols], *[f"_s_{c}" for c in cols]))
     return res
@@ -182,8 +190,10 @@ def sample_rows(df: DataFrame, n: int, replace: bool, seed: int, id_col: str) ->
     return numbered.join(draws, "_rn").drop("_rn")
 
 
-def poisson_weight(u: Column, lam: float, kmax: int = 30) -> Column:
-    """Inverse-CDF Poisson(lam) draw from a uniform u (bootstrap weight)."""
+def poisson_weight(u: Column, lam: float) -> Column:
+    """Inverse-CDF Poisson(lam) draw from a uniform u (bootstrap weight). The
+    table reaches to where the tail is below 1e-15, so its length follows from lam."""
+    kmax = math.ceil(lam + 10 * math.sqrt(lam) + 20)
     expr = F.lit(kmax)
     cdf, p = [], math.exp(-lam)
     acc = 0.0

@@ -294,6 +294,8 @@ def als_tune(indexed: DataFrame, ranks=(25, 50, 100), regs=(0.1, 0.01, 0.001), s
             rows.append({"rank": rank, "reg": reg, "mpr": m, "rmse": e})
             if m is not None and (best is None or m < best[0]):
                 best = (m, rank, reg)
+    if best is None:
+        raise ValueError("no setting could be scored: the validation part has no user with a rated item")
     model = als_fit(train, best[1], best[2], max_iter, seed)
     scores = spark.createDataFrame(rows)
     valid.unpersist()

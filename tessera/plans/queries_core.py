@@ -176,10 +176,9 @@ def p16t(spark, d):
     return P.preview(FX.hourly_series(spark, d).select("ts", "count"), 5, ["ts"], tail=True)
 
 
-@register("P16_shape", W("SELECT count(*) AS n_rows, 15 AS n_cols FROM loans", "loans"))
+@register("P16_shape", W("SELECT count(*) AS n_rows, 22 AS n_cols FROM loans", "loans"))
 def p16s(spark, d):
-    lo = FX.loans(spark, d)
-    return P.shape(lo.select(*lo.columns[:15]))
+    return P.shape(FX.loans(spark, d))
 
 
 @register("P17_map_values", W("""

@@ -11,10 +11,14 @@ from tessera.plans.fixture_sql import with_fixtures as W
 from tessera.plans.registry import register
 from tessera.sources import fixtures as FX
 
-# The market segments and region names of the driver's
-# customer and region tables (used to fix the one-hot schema).
+# The market segments, region and nation names and order
+# priorities of the driver's tables (used to fix the one-hot schema).
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+NATIONS = ["ALGERIA", "ARGENTINA", "BRAZIL", "CANADA", "CHINA", "EGYPT", "ETHIOPIA", "FRANCE", "GERMANY", "INDIA",
+           "INDONESIA", "IRAN", "IRAQ", "JAPAN", "JORDAN", "KENYA", "MOROCCO", "MOZAMBIQUE", "PERU", "ROMANIA",
+           "RUSSIA", "SAUDI ARABIA", "UNITED KINGDOM", "UNITED STATES", "VIETNAM"]
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 LANGS = ["de", "en", "es", "fr"]
 
 
@@ -110,20 +114,21 @@ def m10(spark, d):
     return FE.bootstrap_metric(b, cross_entropy(F.col("y").cast("double"), p), 10, 0.8, 42, "vec_id")
 
 
+# all four categorical columns of the loan table
+_CATEGORICAL = {"source": SEGMENTS, "financial_institution": NATIONS, "loan_purpose": PRIORITIES, "insurance_type": REGIONS}
 _M11_SQL = " + ".join(f"m{i}" for i in range(1, 12))
 
 
 @register("Q4_delinquency_features", W(f"""
-SELECT loan_id, is_train, m13, {_onehot_sql('source', SEGMENTS)}, {_onehot_sql('insurance_type', REGIONS)},
+SELECT loan_id, is_train, m13, {', '.join(_onehot_sql(c, v) for c, v in _CATEGORICAL.items())},
        {_M11_SQL} AS total_delinquencies, greatest({', '.join(f'm{i}' for i in range(1, 12))}) AS max_delinquencies,
        {' + '.join(f'CAST(m{i} <> 0 AS INTEGER)' for i in range(1, 12))} AS delinquency_cnt
 FROM (SELECT *, 1 AS is_train FROM loans WHERE loan_id % 2 = 0
       UNION ALL SELECT * REPLACE (NULL AS m13), 0 AS is_train FROM loans WHERE loan_id % 2 = 1)""", "loans"))
 def q4(spark, d):
-    lo = FX.loans(spark, d).select("loan_id", "source", "insurance_type", *FX.M_COLS)
+    lo = FX.loans(spark, d).select("loan_id", *_CATEGORICAL, *FX.M_COLS)
     out = R.delinquency_features(lo.where(F.col("loan_id") % 2 == 0), lo.where(F.col("loan_id") % 2 == 1),
-                                 ["source", "insurance_type"],
-                                 {"source": SEGMENTS, "insurance_type": REGIONS})
-    keep = ["loan_id", "is_train", "m13"] + [c for c in out.columns if c.startswith(("source_", "insurance_type_"))] \
+                                 list(_CATEGORICAL), _CATEGORICAL)
+    keep = ["loan_id", "is_train", "m13"] + [c for c in out.columns if c.startswith(tuple(f"{k}_" for k in _CATEGORICAL))] \
         + ["total_delinquencies", "max_delinquencies", "delinquency_cnt"]
     return out.select(*keep)

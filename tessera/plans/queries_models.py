@@ -134,7 +134,7 @@ def l14(spark, d):
 @register("L15_export_factors")
 def l15(spark, d):
     r, uidx, iidx = _indexed_ratings(spark, d)
-    model = ML.als_fit(r, rank=10, reg=0.1)
+    model = ML.als_fit(r, rank=25, reg=0.1)
     users, items = ML.export_factors(model, uidx, iidx)
     return users.select(F.lit("user").alias("entity"), F.col("user_id").alias("id"), "features_string") \
         .unionByName(items.select(F.lit("item").alias("entity"), F.col("item_id").alias("id"), "features_string"))
@@ -145,7 +145,7 @@ def l16(spark, d):
     r = FX.reviews(spark, d)
     r = FE.random_split(r, [0.8, 0.2], 42, "doc_id")
     train, test = r.where("split_part = 0"), r.where("split_part = 1")
-    model, labels = ML.text_classifier(train, "review", "label", num_features=1 << 16, max_iter=50)
+    model, labels = ML.text_classifier(train, "review", "label", num_features=1 << 18, max_iter=100)
     pred = ML.classify_text(model, labels, test)
     return r6(E.classification_report(pred, "label", "predicted"))
 
@@ -170,7 +170,7 @@ def q7(spark, d):
     IO.write_text_lines(r.select(F.concat_ws(",", "user_id", "item_id", F.col("rating").cast("string"))), src)
     out = scratch_path(spark, "q7-out")
     affinity_job(spark, src, f"{out}/recs", f"{out}/users", f"{out}/items", cutoff=5,
-                 entity_type="stock_code", ranks=(10, 25), regs=(0.1, 0.01), k=100)
+                 entity_type="stock_code", k=100)
     return IO.scan_csv(spark, f"{out}/recs", schema="user_id string, entity_type string, item_id string, affinity double",
                        header=False)
 
@@ -246,7 +246,7 @@ def l9(spark, d):
     out = None
     for g in (0.01, 0.1, 1.0):
         v = one_class_boundary(train, allrows.select("loan_id", "delinquent", *feats), feats, nu=0.05,
-                               gamma=g, steps=20, id_col="loan_id")
+                               gamma=g, steps=100, id_col="loan_id")
         v = v.select("loan_id", "delinquent", F.lit(g).alias("gamma"), "verdict")
         out = v if out is None else out.unionByName(v)
     return out

@@ -298,12 +298,19 @@ def explode_pairs(df, key, col):
     return df.select(key, F.inline(col))
 
 
-@register("C13_array_to_columns", W("""
-SELECT vec_id, round(CAST(features[1] AS DOUBLE), 6) AS f0, round(CAST(features[2] AS DOUBLE), 6) AS f1,
-       round(CAST(features[3] AS DOUBLE), 6) AS f2 FROM points""", "points"))
+_POSITIONS = ", ".join(f"round(CAST(features[{i + 1}] AS DOUBLE), 6) AS f{i}" for i in range(64))
+
+
+@register("C13_array_to_columns", W(f"SELECT vec_id, {_POSITIONS} FROM points", "points"))
 def c13(spark, d):
-    p = FX.points(spark, d)
-    return r6(p.select("vec_id", *[F.get("features", i).cast("double").alias(f"f{i}") for i in range(3)]))
+    return r6(array_to_columns(FX.points(spark, d).select("vec_id", "features"), "features", 64, "f"))
+
+
+def array_to_columns(df, col, size, prefix):
+    """One double column per position of an array column (C13); positions
+    beyond a shorter array are NULL."""
+    return df.select(*[c for c in df.columns if c != col],
+                     *[F.get(col, i).cast("double").alias(f"{prefix}{i}") for i in range(size)])
 
 
 # ---------------------------------------------------------------- chi-square

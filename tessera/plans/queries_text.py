@@ -174,15 +174,20 @@ def m12b(spark, d):
     return TX.sequences_to_text(s, "doc_id", "sequence", vocab)
 
 
+def _padded_sql(n):
+    return f"""array_to_string(CASE WHEN len(coalesce(s.seq, [])) >= {n} THEN s.seq[len(s.seq) - {n - 1}:]
+       ELSE list_concat(list_transform(range({n} - len(coalesce(s.seq, []))), lambda x: 0), coalesce(s.seq, [])) END, ' ')"""
+
+
+# the notebooks pad to 150 (messages) and 300 (reviews)
 @register("C10_pad_sequence", W(f"""
-SELECT r.doc_id, array_to_string(CASE WHEN len(coalesce(s.seq, [])) >= 50 THEN s.seq[len(s.seq) - 49:]
-       ELSE list_concat(list_transform(range(50 - len(coalesce(s.seq, []))), lambda x: 0), coalesce(s.seq, [])) END, ' ') AS padded
+SELECT r.doc_id, {_padded_sql(150)} AS padded_150, {_padded_sql(300)} AS padded_300
 FROM reviews r LEFT JOIN {_SEQ_SQL} s USING (doc_id)""", "vocab"))
 def c10(spark, d):
     r = FX.reviews(spark, d)
     vocab = TX.vocabulary(r, "review", num_words=1000)
     s = TX.texts_to_sequences(r, "doc_id", "review", vocab)
-    return s.select("doc_id", F.array_join(T.pad_sequence("sequence", 50), " ").alias("padded"))
+    return s.select("doc_id", *[F.array_join(T.pad_sequence("sequence", n), " ").alias(f"padded_{n}") for n in (150, 300)])
 
 
 @register("M13_embedding_table", W("""
@@ -248,7 +253,7 @@ def s1(spark, d):
 def s2(spark, d):
     path = scratch_path(spark, "s2")
     IO.write_csv(FX.reviews(spark, d), path, sep="\t")
-    return IO.scan_csv(spark, path, schema="doc_id long, review string, label string", sep="\t")
+    return IO.scan_csv(spark, path, schema="doc_id long, review string, label string", sep="\t", multiline=True)
 
 
 @register("S3_scan_latin1")
@@ -256,7 +261,7 @@ def s3(spark, d):
     path = scratch_path(spark, "s3")
     m = FX.messages(spark, d)
     IO.write_csv(m, path, encoding="ISO-8859-1")
-    return IO.scan_csv(spark, path, schema="doc_id long, v1 string, v2 string", encoding="ISO-8859-1")
+    return IO.scan_csv(spark, path, schema="doc_id long, v1 string, v2 string", encoding="ISO-8859-1", multiline=True)
 
 
 @register("S4_scan_ratings", W("""

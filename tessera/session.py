@@ -4,8 +4,10 @@ checkpoint folder the cluster names in ``spark.checkpoint.dir``."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,19 +44,42 @@ def get_spark(master: str | None = None, app: str = "tessera",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only when the
-    session has none (tests, laptops)."""
+    """Return the shared checkpoint folder. A folder of this machine is set only
+    in local mode (tests, laptops) when the session has none: on a cluster the
+    executors would each write to their own disk, so there it is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors (once per context): functions that
+    run in Arrow batches import it there, whatever folder the driver started in."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tessera_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    with tempfile.TemporaryDirectory() as folder:
+        target = os.path.join(folder, "tessera_package.zip")
+        with zipfile.ZipFile(target, "w") as z:
+            for at, _, names in os.walk(root):
+                for name in names:
+                    if name.endswith(".py"):
+                        path = os.path.join(at, name)
+                        z.write(path, os.path.join("tessera", os.path.relpath(path, root)))
+        # Spark copies the file before the folder goes
+        sc.addPyFile(target)
+    sc._tessera_shipped = True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
