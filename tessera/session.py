@@ -3,8 +3,10 @@ checkpoint folder the cluster names in ``spark.checkpoint.dir``."""
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -67,16 +69,16 @@ def ship_package(spark: SparkSession) -> None:
     if getattr(sc, "_tessera_shipped", False):
         return
     root = os.path.dirname(os.path.abspath(__file__))
-    with tempfile.TemporaryDirectory() as folder:
-        target = os.path.join(folder, "tessera_package.zip")
-        with zipfile.ZipFile(target, "w") as z:
-            for at, _, names in os.walk(root):
-                for name in names:
-                    if name.endswith(".py"):
-                        path = os.path.join(at, name)
-                        z.write(path, os.path.join("tessera", os.path.relpath(path, root)))
-        # Spark copies the file before the folder goes
-        sc.addPyFile(target)
+    folder = tempfile.mkdtemp(prefix="tessera-package-")  # served to the executors until the driver ends
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    target = os.path.join(folder, "tessera_package.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for at, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(at, name)
+                    z.write(path, os.path.join("tessera", os.path.relpath(path, root)))
+    sc.addPyFile(target)
     sc._tessera_shipped = True
 
 
