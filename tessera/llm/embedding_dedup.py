@@ -29,31 +29,51 @@ def cap_share(height: float, dim: int) -> float:
 
 @dataclass(frozen=True)
 class CapFilters:
-    """Directions of a random product code: the coordinates, after a random
-    rotation, are cut into ``blocks`` parts, each with ``words`` random
-    directions; a filter takes one word per part. A vector belongs to every
-    filter whose inner product with it is at least ``height``."""
+    """Directions of random product codes. In each of ``tables`` codes the
+    coordinates, after a random rotation, are cut into ``blocks`` parts, each
+    with ``words`` random directions; a filter takes one word per part. A
+    vector belongs to every filter whose inner product with it is at least
+    ``height``. Several independent codes even out how many filters a vector gets."""
 
     dim: int
+    tables: int
     blocks: int
     words: int
     height: float
     seed: int
 
-    def code(self) -> tuple[np.ndarray, list[np.ndarray]]:
+    def codes(self) -> list[tuple[np.ndarray, list[np.ndarray]]]:
         rng = np.random.default_rng(self.seed)
-        turn, _ = np.linalg.qr(rng.standard_normal((self.dim, self.dim)))
-        parts = np.array_split(np.arange(self.dim), self.blocks)
-        books = []
-        for p in parts:
-            c = rng.standard_normal((self.words, len(p)))
-            books.append(c / np.linalg.norm(c, axis=1, keepdims=True) * math.sqrt(len(p) / self.dim))
-        return turn, books
+        parts, out = np.array_split(np.arange(self.dim), self.blocks), []
+        for _ in range(self.tables):
+            turn, _ = np.linalg.qr(rng.standard_normal((self.dim, self.dim)))
+            books = []
+            for p in parts:
+                c = rng.standard_normal((self.words, len(p)))
+                books.append(c / np.linalg.norm(c, axis=1, keepdims=True) * math.sqrt(len(p) / self.dim))
+            out.append((turn, books))
+        return out
+
+    def filters(self, units: np.ndarray, codes) -> list[np.ndarray]:
+        """Per unit vector the numbers of its filters in all codes; a vector
+        that reaches none gets its best filter of the first code."""
+        size = self.words ** self.blocks
+        each = [list(self.decode(units, code)) for code in codes]
+        out = [np.concatenate([t * size + e[v] for t, e in enumerate(each)]) for v in range(len(units))]
+        for v, f in enumerate(out):
+            if not len(f):
+                turn, books = codes[0]
+                x, at, number = units[v] @ turn, 0, 0
+                for b in books:
+                    number = number * self.words + int((b @ x[at:at + b.shape[1]]).argmax())
+                    at += b.shape[1]
+                out[v] = np.array([number])
+        return out
 
     def decode(self, units: np.ndarray, code) -> Iterator[np.ndarray]:
-        """Per unit vector the numbers of its filters: list decoding, part by
-        part, dropping prefixes that cannot reach the height any more. A
-        vector that reaches none gets its best filter."""
+        """Per unit vector the numbers of its filters in one code: list
+        decoding, part by part, dropping prefixes that cannot reach the height
+        any more."""
         turn, books = code
         x = units @ turn
         ends = np.cumsum([b.shape[1] for b in books])
@@ -70,10 +90,6 @@ class CapFilters:
                 codes = codes[ok // self.words] * self.words + ok % self.words
                 if not len(ok):
                     break
-            if not len(codes):
-                codes = np.zeros(1, np.int64)
-                for d in dots:
-                    codes = codes * self.words + int(d[v].argmax())
             yield codes
 
 
@@ -81,7 +97,7 @@ def choose_filters(dim: int, rows: int, similarity: float, shared: float = 10.0,
     """Filters for ``rows`` vectors: a cap holds about four unrelated vectors,
     and a pair at exactly ``similarity`` is expected to share ``shared``
     filters (so that it misses all of them with a probability near e^-shared,
-    somewhat more for the structure of the code)."""
+    somewhat more for the structure of the codes)."""
     share = min(0.02, 4.0 / max(rows, 1))
     low, high = 0.0, 1.0
     for _ in range(60):
@@ -97,8 +113,10 @@ def choose_filters(dim: int, rows: int, similarity: float, shared: float = 10.0,
     side = g[:, 0] / np.linalg.norm(g, axis=1)
     both = similarity * a + math.sqrt(1 - similarity ** 2) * np.sqrt(1 - a * a) * side >= height
     filters = shared / (share * max(both.mean(), 1e-3))
-    blocks = min(dim, 2 if filters < 4e3 else 4 if filters < 1e7 else 8)
-    return CapFilters(dim, blocks, max(2, math.ceil(filters ** (1 / blocks))), height, seed)
+    # two parts spread the filters more evenly than four, whose lists are cheaper for many words
+    tables, blocks = (12, 2) if filters < 12 * 4096 ** 2 else (24, 4)
+    blocks = min(dim, blocks)
+    return CapFilters(dim, tables, blocks, max(2, math.ceil((filters / tables) ** (1 / blocks))), height, seed)
 
 
 def _usable(values: np.ndarray | None) -> np.ndarray | None:
@@ -153,8 +171,8 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
                 some = [i for i, v in enumerate(vs) if len(v) == d]
                 x = np.stack([vs[i] for i in some])
                 if d in plans:
-                    codes.setdefault(d, plans[d].code())
-                    found = plans[d].decode(x / np.linalg.norm(x, axis=1, keepdims=True), codes[d])
+                    codes.setdefault(d, plans[d].codes())
+                    found = plans[d].filters(x / np.linalg.norm(x, axis=1, keepdims=True), codes[d])
                 else:  # one or two dimensions: one bucket per quadrant is of no use, all meet
                     found = [np.zeros(1, np.int64)] * len(some)
                 for i, f in zip(some, found):

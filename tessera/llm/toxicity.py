@@ -46,7 +46,8 @@ def fold(text: str | None) -> str:
         text = unicodedata.normalize("NFKC", text).lower()
     if _SIGN.search(text):
         text = _LONE.sub(" ", text)
-    return " " + " ".join(text.translate(_TABLE).split()) + " "
+    words = text.translate(_TABLE).split()
+    return f" {' '.join(words)} " if words else " "
 
 
 def stems(words: set[str], shortest: int = 4, longest: int = 10) -> set[str]:
