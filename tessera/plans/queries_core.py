@@ -278,7 +278,7 @@ def o2(spark, d):
                    tiebreak=["customer_id"])
 
 
-@register("O3_shuffle_rows")
+@register("O3_shuffle_rows", W("SELECT loan_id, m13 FROM loans", "loans"))  # a result set has no order
 def o3(spark, d):
     return P.shuffle_rows(FX.loans(spark, d).select("loan_id", "m13"), 7, "loan_id")
 

@@ -79,37 +79,65 @@ def m5(spark, d):
     return r6(both.select("loan_id", "is_train", "unpaid_principal_bal_z", "m12_z"))
 
 
-@register("M6_random_split")
+# Seeded hashes have no SQL form: these return what a right sample must satisfy.
+@register("M6_random_split", W("""
+SELECT CAST(unnest(range(3)) AS INTEGER) AS split_part, (SELECT count(*) FROM ratings) AS n_rows, true AS near_share""", "ratings"))
 def m6(spark, d):
+    """Parts of 60, 20 and 20 %: rows of all parts, each part's size within
+    five standard deviations of its share."""
     r = FX.ratings(spark, d).withColumn("row_key", F.concat_ws(":", "user_id", "item_id"))
-    return FE.random_split(r, [0.6, 0.2, 0.2], 42, "row_key").groupBy("split_part").count()
+    parts = FE.random_split(r, [0.6, 0.2, 0.2], 42, "row_key").groupBy("split_part").agg(F.count("*").alias("k"))
+    n = parts.select(F.sum("k")).scalar()
+    share = F.when(F.col("split_part") == 0, 0.6).otherwise(0.2)
+    return parts.select("split_part", n.alias("n_rows"),
+                        (F.abs(F.col("k") - n * share) <= 5 * F.sqrt(n * share * (1 - share))).alias("near_share"))
 
 
-@register("M7_stratified_split")
+@register("M7_stratified_split", W("""
+SELECT delinquent, is_train, count FROM (
+  SELECT delinquent, unnest([true, false]) AS is_train, unnest([CAST(round(0.75 * n) AS BIGINT), n - CAST(round(0.75 * n) AS BIGINT)]) AS count
+  FROM (SELECT CAST(m13 > 0 AS INTEGER) AS delinquent, count(*) AS n FROM loans GROUP BY 1)) WHERE count > 0""", "loans"))
 def m7(spark, d):
     lo = FX.loans(spark, d).withColumn("delinquent", (F.col("m13") > 0).cast("int"))
     s = FE.stratified_split(lo, "delinquent", 0.75, 42, "loan_id")
     return s.groupBy("delinquent", "is_train").count()
 
 
-@register("M8_undersample")
+@register("M8_undersample", W("""
+SELECT delinquent, n AS n_rows, n AS n_loans FROM (
+  SELECT 1 AS delinquent, count(*) FILTER (m13 > 0) AS n FROM loans
+  UNION ALL SELECT 0, least(10 * count(*) FILTER (m13 > 0), count(*) FILTER (m13 = 0)) FROM loans) WHERE n > 0""", "loans"))
 def m8(spark, d):
     lo = FX.loans(spark, d).withColumn("delinquent", (F.col("m13") > 0).cast("int"))
-    return FE.undersample(lo, "delinquent", 10.0, 42, "loan_id").select("loan_id", "delinquent")
+    s = FE.undersample(lo, "delinquent", 10.0, 42, "loan_id")
+    return s.groupBy("delinquent").agg(F.count("*").alias("n_rows"), F.count_distinct("loan_id").alias("n_loans"))
 
 
-@register("M9_sample_rows")
+@register("M9_sample_rows", "SELECT replaced, 100 AS n_rows, 100 AS n_known FROM (VALUES (true), (false)) t(replaced)")
 def m9(spark, d):
-    b = FX.binary_points(spark, d)
-    return FE.sample_rows(b, 100, True, 42, "vec_id").select("draw", "vec_id", "x1")
-
-
-@register("M10_bootstrap_metric")
+    """100 draws with and without replacement, each of them a row of the table."""
+    b = FX.binary_points(spark, d).select("vec_id", "x1")
+    out = None
+    for replaced in (True, False):
+        s = FE.sample_rows(b, 100, replaced, 42, "vec_id").select("vec_id", F.col("x1").alias("drawn"))
+        j = s.join(b, "vec_id").agg(F.count("*").alias("n_rows"), F.count_if(F.col("drawn") == F.col("x1")).alias("n_known"))
+        j = j.select(F.lit(replaced).alias("replaced"), F.col("n_rows").cast("int"), F.col("n_known").cast("int"))
+        out = j if out is None else out.unionByName(j)
+    return out
+
+
+@register("M10_bootstrap_metric", "SELECT CAST(unnest(range(10)) AS INTEGER) AS round, true AS right_size, true AS mean_inside")
 def m10(spark, d):
+    """Ten rounds: size within five standard deviations of 0.8 n, mean between the extremes."""
     from tessera.functions.scalars import cross_entropy, sigmoid
     b = FX.binary_points(spark, d)
     p = sigmoid(F.col("x1") * -1.0 + F.col("x2") * -0.2)
-    return FE.bootstrap_metric(b, cross_entropy(F.col("y").cast("double"), p), 10, 0.8, 42, "vec_id")
+    loss = cross_entropy(F.col("y").cast("double"), p)
+    whole = b.agg(F.count("*").alias("n"), F.min(loss).alias("low"), F.max(loss).alias("high"))
+    n, low, high = (whole.select(c).scalar() for c in ("n", "low", "high"))
+    rounds = FE.bootstrap_metric(b, loss, 10, 0.8, 42, "vec_id")
+    return rounds.select("round", (F.abs(F.col("n") - 0.8 * n) <= 5 * F.sqrt(0.8 * n)).alias("right_size"),
+                         F.col("mean").between(low, high).alias("mean_inside"))
 
 
 # all four categorical columns of the loan table

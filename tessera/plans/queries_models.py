@@ -150,7 +150,7 @@ def l16(spark, d):
     return r6(E.classification_report(pred, "label", "predicted"))
 
 
-@register("S8_save_load_model")
+@register("S8_save_load_model", W("SELECT count(*) AS n_rows, 0.0::DOUBLE AS max_difference FROM binary_pts", "binary"))
 def s8(spark, d):
     a = FX.binary_points(spark, d)
     model = ML.boosted_trees(a, ["x1", "x2", "x3", "x4"], "y", depth=3, rounds=10)
@@ -159,7 +159,8 @@ def s8(spark, d):
     back = IO.load_model(path)
     p1 = ML.predict(model, a).select("vec_id", F.col("probability").alias("p_before"))
     p2 = ML.predict(back, a).select("vec_id", F.col("probability").alias("p_after"))
-    return r6(p1.join(p2, "vec_id"))
+    return p1.join(p2, "vec_id").agg(F.count("*").alias("n_rows"),
+                                     F.max(F.abs(F.col("p_before") - F.col("p_after"))).alias("max_difference"))
 
 
 @register("Q7_affinity_job")

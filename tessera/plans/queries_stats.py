@@ -314,8 +314,8 @@ def array_to_columns(df, col, size, prefix):
 
 
 # ---------------------------------------------------------------- chi-square
-@register("M16_chi2_contingency", W("""
-SELECT round(sum(pow(abs(o - e) - CASE WHEN dof = 1 THEN least(0.5, abs(o - e)) ELSE 0 END, 2) / e), 6) AS statistic,
+# statistic and dof over all cells, absent pairs included
+_CHI2_SQL = """SELECT sum(pow(abs(o - e) - CASE WHEN dof = 1 THEN least(0.5, abs(o - e)) ELSE 0 END, 2) / e) AS statistic,
        max(dof) AS dof
 FROM (SELECT a.education, b.attrition, coalesce(c.o, 0) AS o, ra.m * cb.m / n.n AS e,
              (nra.k - 1) * (ncb.k - 1) AS dof
@@ -330,14 +330,20 @@ FROM (SELECT a.education, b.attrition, coalesce(c.o, 0) AS o, ra.m * cb.m / n.n
         ON cb.attrition = b.attrition,
       (SELECT count(*) AS n FROM attrition WHERE education IS NOT NULL AND attrition IS NOT NULL) n,
       (SELECT count(DISTINCT education) AS k FROM attrition WHERE education IS NOT NULL AND attrition IS NOT NULL) nra,
-      (SELECT count(DISTINCT attrition) AS k FROM attrition WHERE education IS NOT NULL AND attrition IS NOT NULL) ncb)""",
-                                    "attrition"))
+      (SELECT count(DISTINCT attrition) AS k FROM attrition WHERE education IS NOT NULL AND attrition IS NOT NULL) ncb)"""
+
+
+@register("M16_chi2_contingency", W(f"SELECT round(statistic, 6) AS statistic, dof FROM ({_CHI2_SQL})", "attrition"))
 def m16(spark, d):
     return r6(ST.chi2_contingency(FX.attrition(spark, d), "education", "attrition")
               .select("statistic", "dof"))
 
 
-@register("M16_chi2_contingency_p")
+# five education levels: dof 4, whose tail has a closed form
+@register("M16_chi2_contingency_p", W(f"""
+SELECT round(statistic, 6) AS statistic, dof,
+       round(CASE WHEN dof = 4 THEN exp(-statistic / 2) * (1 + statistic / 2) END, 6) AS p_value
+FROM ({_CHI2_SQL})""", "attrition"))
 def m16p(spark, d):
     return r6(ST.chi2_contingency(FX.attrition(spark, d), "education", "attrition"))
 
@@ -358,7 +364,15 @@ def m17(spark, d):
               .select("feature", "chi2", "dof"))
 
 
-@register("M18_select_features")
+# 6.6348966: the point that a chi-square variable with dof 1 exceeds with probability 0.01
+@register("M18_select_features", W("""
+SELECT feature, round(sum(pow(o - e, 2) / e), 6) AS chi2, max(k) - 1 AS dof, sum(pow(o - e, 2) / e) > 6.6348966010212145 AS selected
+FROM (SELECT feature, y, o, ny * 1.0 / n * sum(o) OVER (PARTITION BY feature) AS e, k, n
+      FROM (SELECT feature, y, sum(x) AS o, count(*) AS ny FROM (""" + " UNION ALL ".join(
+    f"SELECT '{f}' AS feature, attrition AS y, CAST({f} AS DOUBLE) AS x FROM attrition" for f in _CHI_FEATS) + """)
+            GROUP BY feature, y),
+           (SELECT count(*) AS n, count(DISTINCT attrition) AS k FROM attrition))
+GROUP BY feature""", "attrition"))
 def m18(spark, d):
     s = ST.chi2_feature_scores(FX.attrition(spark, d), _CHI_FEATS, "attrition")
-    return r6(ST.select_features(s, 0.01))
+    return r6(ST.select_features(s, 0.01).drop("p_value"))

@@ -256,7 +256,9 @@ def s2(spark, d):
     return IO.scan_csv(spark, path, schema="doc_id long, review string, label string", sep="\t", multiline=True)
 
 
-@register("S3_scan_latin1")
+# Latin-1 has no sign for other characters: they are written as question marks
+@register("S3_scan_latin1", W("""
+SELECT doc_id, v1, regexp_replace(v2, '[^\\x{00}-\\x{FF}]', '?', 'g') AS v2 FROM messages""", "messages"))
 def s3(spark, d):
     path = scratch_path(spark, "s3")
     m = FX.messages(spark, d)
