@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tessera.session import materialize
 
-from .common import small_batches
+from .common import discard, small_batches
 from .components import connected_components
 
 
@@ -179,6 +179,7 @@ def bucket_links(members: DataFrame, rows: DataFrame, linked: Callable[[list, li
     with small_batches(spark, 256):
         found = materialize(spread.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
                             .mapInArrow(compare, "k binary, links long, root binary"), "links")
+    discard(members, kept, held)
     comps = connected_components(found.where("k <> root"), "k", "root")
     return (found.groupBy("k").agg(F.sum("links").alias("links"))
             .join(comps.withColumnRenamed("node", "k"), "k"))

@@ -45,6 +45,17 @@ def small_batches(spark: SparkSession, rows: int):
     return session_conf(spark, spark__sql__execution__arrow__maxRecordsPerBatch=str(rows))
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of tables written by ``materialize`` that no later
+    job reads, so that the shared folder holds only what is still needed."""
+    for df in tables:
+        files = df.inputFiles()
+        if files:
+            jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+            path = jvm.org.apache.hadoop.fs.Path(files[0].rsplit("/", 1)[0])
+            path.getFileSystem(conf).delete(path, True)
+
+
 class WordHashes(dict):
     """word -> 64-bit hash, remembered up to ``limit`` words per worker
     (beyond it words are hashed each time: memory stays bounded)."""

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tessera.session import materialize
 
+from .common import discard
 from .components import connected_components
 
 # A line's shingles: windows of up to 10 characters, one at the start of every
@@ -79,6 +80,7 @@ def line_components(docs: DataFrame, id_col: str, text_col: str, similarity: flo
     key = F.struct("h1", "h2")
     held = materialize(members.join(sets, ["h1", "h2"]).select(
         "bucket", key.alias("a"), (F.col("h1") == F.col("low")).alias("first"), F.size("grams").alias("n"), "grams"), "held")
+    discard(members, wanted)
 
     def similar_pairs(left: DataFrame, right: DataFrame, *more: Column) -> DataFrame:
         """Pairs (a, b) of lines in one bucket that are similar enough; the
@@ -99,11 +101,13 @@ def line_components(docs: DataFrame, id_col: str, text_col: str, similarity: flo
     several = (placed.select("bucket", "root").distinct().groupBy("bucket").agg(F.count("*").alias("n_roots"))
                .where("n_roots > 1").select("bucket"))
     open_ = materialize(placed.join(several, "bucket"), "open")
+    discard(held)
     # the smallest lines are compared already
     cross = similar_pairs(open_.where("not first"), open_.where("not first"), F.col("a") < F.col("b"),
                           F.col("root") != F.col("root_b"))
-    edges = star.unionByName(materialize(cross.distinct(), "cross"))
-    comps = connected_components(edges)
+    cross = materialize(cross.distinct(), "cross")
+    discard(open_)
+    comps = connected_components(star.unionByName(cross))
     marked = (keys.select(key.alias("node"), "copies", "first_id").join(comps, "node", "left")
               .where(F.col("root").isNotNull() | (F.col("copies") > 1)).withColumn("root", F.coalesce("root", "node")))
     first = marked.groupBy("root").agg(F.min("first_id").alias("first_id"))
