@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from tessera.session import materialize
 
+from .common import discard
+
 # Families of common language codes; any other code is a family of its own.
 FAMILIES = {
     "en": "germanic", "de": "germanic", "nl": "germanic", "sv": "germanic", "da": "germanic", "no": "germanic",
@@ -121,7 +123,10 @@ def train(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str
 
     sample = materialize(rows.where(chosen).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
                          .mapInArrow(profiles, "lang string, f array<double>"), "langs")
-    sample = sample.select("lang", array_to_vector("f").alias("features")).persist()
+    written = sample
+    # every step of a fit is a job over the sample: few partitions for a few thousand rows
+    parts = max(1, -(-len(counts) * sample_per_language // 1000))
+    sample = sample.select("lang", array_to_vector("f").alias("features")).coalesce(parts).persist()
     present = {r[0] for r in sample.select("lang").distinct().collect()}
     model.families = {f: [g for g in langs if g in present] for f, langs in families.items()
                       if any(g in present for g in langs)}
@@ -138,6 +143,7 @@ def train(docs: DataFrame, learn: Column, text_col: str = "text", lang_col: str
         for a, b in combinations(langs, 2):
             model.duels[fam, a, b] = duel([a], [b])
     sample.unpersist()
+    discard(written)
     return model
 
 
