@@ -14,7 +14,11 @@ MODEL_FITS = {"L3_boosted_trees", "L4_grid_search", "L5_undersampled_ensemble",
 QUERIES = E.queries()
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - MODEL_FITS))
+# the training-data queries run jobs over whole texts when they are built; their own tests cover them
+PLANNED = {k for k in QUERIES if k not in MODEL_FITS and not k.startswith(("op", "pipeline"))}
+
+
+@pytest.mark.parametrize("name", sorted(PLANNED))
 def test_no_cross_join_in_plan(spark, name):
     plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
