@@ -19,10 +19,13 @@ from tessera.session import materialize
 from .common import discard
 from .components import connected_components
 
-# A line's shingles: windows of up to 10 characters, one at the start of every
-# word (of every character in scripts without spaces, and of every 16th
-# character of longer words).
-SHINGLES = r"(?s)(?=(.{1,10}))(?:[⺀-鿿가-힣]|[^ ⺀-鿿가-힣]{1,16}) *"
+# A line's shingles: all its windows of 5 characters; a shorter line is its
+# only one. The same set as a pattern (first group) and, below, as hashes.
+SIZE = 5
+SHINGLES = rf"(?s)(?=(.{{{SIZE}}}|^.{{1,{SIZE - 1}}}(?!.)))."
+# Windows of up to 10 characters at word starts (every character in scripts
+# without spaces, every 16th character of longer words): candidates only.
+_WINDOWS = r"(?s)(?=(.{1,10}))(?:[⺀-鿿가-힣]|[^ ⺀-鿿가-힣]{1,16}) *"
 _LINE = "\n"
 
 
@@ -30,8 +33,20 @@ def _norm(line: Column) -> Column:
     return F.trim(F.lower(line))
 
 
+def _places(wide: Column) -> Column:
+    """Where the shingles of a line begin; ``wide`` has 4 bytes a character."""
+    return F.sequence(F.lit(0), F.greatest((F.length(wide) / 4).cast("int") - SIZE, F.lit(0)))
+
+
+def _gram(wide: Column, at: Column) -> Column:
+    return F.xxhash64(F.substring(wide, at * 4 + 1, F.lit(4 * SIZE)))
+
+
 def shingles(norm: Column) -> Column:
-    return F.regexp_extract_all(norm, F.lit(SHINGLES), F.lit(1))
+    """Hashes of a line's distinct shingles. The places of characters are found
+    at once in UTF-32; the array of one element holds it for all of them."""
+    wide = F.array(F.encode(norm, "UTF-32"))
+    return F.array_distinct(F.transform(wide, lambda w: F.transform(_places(w), lambda at: _gram(w, at)))[0])
 
 
 def _lines(src: DataFrame, *more: Column) -> DataFrame:
@@ -55,7 +70,8 @@ def line_components(docs: DataFrame, id_col: str, text_col: str, similarity: flo
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     rng = random.Random(seed)
     salts = [rng.getrandbits(63) for _ in range(bands * rows)]
-    grams = (_keyed(_lines(src)).select("id", "h1", "h2", F.posexplode(shingles(F.col("norm"))).alias("at", "gram"))
+    grams = (_keyed(_lines(src)).select("id", "h1", "h2", F.posexplode(
+        F.regexp_extract_all("norm", F.lit(_WINDOWS), F.lit(1))).alias("at", "gram"))
              .select("id", "h1", "h2", (F.col("at") == 0).cast("long").alias("one"), F.xxhash64("gram").alias("g")))
     # xor with a random constant reorders the hashes: one minhash per constant
     least = [F.min(F.col("g").bitwiseXOR(F.lit(s))).alias(f"m{k}") for k, s in enumerate(salts)]
@@ -75,26 +91,29 @@ def line_components(docs: DataFrame, id_col: str, text_col: str, similarity: flo
         ids = F.broadcast(ids)
     some = src.join(ids, F.col("id").eqNullSafe(F.col("wanted_id")), "left_semi")
     texts = _keyed(_lines(some)).join(wanted, ["h1", "h2"]).where(F.col("id").eqNullSafe(F.col("first_id")))
-    sets = (texts.groupBy("h1", "h2").agg(F.first("norm").alias("norm"))
-            .select("h1", "h2", F.array_distinct(F.transform(shingles(F.col("norm")), lambda g: F.xxhash64(g))).alias("grams")))
     key = F.struct("h1", "h2")
-    held = materialize(members.join(sets, ["h1", "h2"]).select(
-        "bucket", key.alias("a"), (F.col("h1") == F.col("low")).alias("first"), F.size("grams").alias("n"), "grams"), "held")
+    texts = (texts.groupBy("h1", "h2").agg(F.first("norm").alias("norm"))
+             .select(key.alias("line"), "norm", F.size(shingles(F.col("norm"))).alias("n")))
+    texts = materialize(texts, "texts")
+    held = materialize(members.withColumn("line", key).join(texts.select("line", "n"), "line").select(
+        "bucket", F.col("line").alias("a"), (F.col("h1") == F.col("low")).alias("first"), "n"), "held")
     discard(members, wanted)
 
     def similar_pairs(left: DataFrame, right: DataFrame, *more: Column) -> DataFrame:
         """Pairs (a, b) of lines in one bucket that are similar enough; the
-        sizes bound the similarity before the sets are compared."""
-        both = F.size(F.array_intersect("grams", "grams_b"))
-        names = {"a": "b", "n": "n_b", "grams": "grams_b", "root": "root_b"}
+        sizes bound the similarity before the sets are compared, once a pair."""
+        names = {"a": "b", "n": "n_b", "root": "root_b"}
         right = right.select("bucket", *[F.col(c).alias(names[c]) for c in names if c in right.columns])
-        return (left.join(right, "bucket").where(
-            F.least("n", "n_b") >= similarity * F.greatest("n", "n_b") - 1e-9)
-            .where(reduce(and_, more, F.lit(True)))
-            .where(both >= similarity * (F.col("n") + F.col("n_b") - both) - 1e-9).select("a", "b"))
+        pairs = (left.join(right, "bucket").where(F.least("n", "n_b") >= similarity * F.greatest("n", "n_b") - 1e-9)
+                 .where(reduce(and_, more, F.lit(True))).select("a", "b", (F.col("n") + F.col("n_b")).alias("sum")).distinct())
+        x = texts.select(F.col("line").alias("a"), F.col("norm").alias("x"))
+        y = texts.select(F.col("line").alias("b"), F.col("norm").alias("y"))
+        both = F.size(F.array_intersect(shingles(F.col("x")), shingles(F.col("y"))))
+        return (pairs.join(x, "a").join(y, "b").select("a", "b", "sum", both.alias("both"))
+                .where(F.col("both") >= similarity * (F.col("sum") - F.col("both")) - 1e-9).select("a", "b"))
 
     # first the bucket's smallest line with each other one ...
-    star = materialize(similar_pairs(held.where("not first"), held.where("first")).distinct(), "star")
+    star = materialize(similar_pairs(held.where("not first"), held.where("first")), "star")
     roots = materialize(connected_components(star), "roots")
     # ... then, in buckets that still hold several components, lines of different ones
     placed = held.join(roots, F.col("a") == F.col("node"), "left").withColumn("root", F.coalesce("root", "a")).drop("node")
@@ -105,8 +124,8 @@ def line_components(docs: DataFrame, id_col: str, text_col: str, similarity: flo
     # the smallest lines are compared already
     cross = similar_pairs(open_.where("not first"), open_.where("not first"), F.col("a") < F.col("b"),
                           F.col("root") != F.col("root_b"))
-    cross = materialize(cross.distinct(), "cross")
-    discard(open_)
+    cross = materialize(cross, "cross")
+    discard(open_, texts)
     comps = connected_components(star.unionByName(cross))
     marked = (keys.select(key.alias("node"), "copies", "first_id").join(comps, "node", "left")
               .where(F.col("root").isNotNull() | (F.col("copies") > 1)).withColumn("root", F.coalesce("root", "node")))
@@ -135,7 +154,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     whose component has an earlier line (by id, then line number).
 
     A line's normal form is lower-case without spaces at the ends; two are
-    similar when the Jaccard similarity of their character shingles
+    similar when the Jaccard similarity of all their 5-character shingles
     (``SHINGLES``) is ``similarity`` or more. Candidates share one of
     ``bands`` hashes of ``rows`` minhashes each: with 6 and 3 a pair at
     exactly 0.8 is found with probability 0.986, at 0.9 with 0.9996. Blank lines are kept and never compared. Texts are split at
