@@ -23,9 +23,6 @@ from .components import connected_components
 # only one. The same set as a pattern (first group) and, below, as hashes.
 SIZE = 5
 SHINGLES = rf"(?s)(?=(.{{{SIZE}}}|^.{{1,{SIZE - 1}}}(?!.)))."
-# Windows of up to 10 characters at word starts (every character in scripts
-# without spaces, every 16th character of longer words): candidates only.
-_WINDOWS = r"(?s)(?=(.{1,10}))(?:[⺀-鿿가-힣]|[^ ⺀-鿿가-힣]{1,16}) *"
 _LINE = "\n"
 
 
@@ -70,9 +67,9 @@ def line_components(docs: DataFrame, id_col: str, text_col: str, similarity: flo
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     rng = random.Random(seed)
     salts = [rng.getrandbits(63) for _ in range(bands * rows)]
-    grams = (_keyed(_lines(src)).select("id", "h1", "h2", F.posexplode(
-        F.regexp_extract_all("norm", F.lit(_WINDOWS), F.lit(1))).alias("at", "gram"))
-             .select("id", "h1", "h2", (F.col("at") == 0).cast("long").alias("one"), F.xxhash64("gram").alias("g")))
+    wide = _keyed(_lines(src)).select("id", "h1", "h2", F.encode("norm", "UTF-32").alias("wide"))
+    grams = (wide.select("id", "h1", "h2", "wide", F.explode(_places(F.col("wide"))).alias("at"))
+             .select("id", "h1", "h2", (F.col("at") == 0).cast("long").alias("one"), _gram(F.col("wide"), F.col("at")).alias("g")))
     # xor with a random constant reorders the hashes: one minhash per constant
     least = [F.min(F.col("g").bitwiseXOR(F.lit(s))).alias(f"m{k}") for k, s in enumerate(salts)]
     signed = grams.groupBy("h1", "h2").agg(F.sum("one").alias("copies"), F.min("id").alias("first_id"), *least)

@@ -1,5 +1,7 @@
 """Near-equal lines against shingles that this file defines itself."""
 
+import random
+
 from tessera.llm.line_dedup import dedup_lines
 
 SCHEMA = "doc_id long, text string"
@@ -20,3 +22,23 @@ def test_lines_that_differ_late_in_long_words_stay(spark):
     assert all(jaccard(x, y) < 0.8 for x, y in pairs)
     rows = [(2 * k + j, line) for k, p in enumerate(pairs) for j, line in enumerate(p)]
     assert sorted(map(tuple, dedup_lines(spark.createDataFrame(rows, SCHEMA)).collect())) == rows
+
+
+def near_copies(words, n=150):
+    """Pairs of lines that differ in one letter, with a Jaccard of 0.8 or more."""
+    rng, out = random.Random(words), []
+    while len(out) < n:
+        x = " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 8))) for _ in range(words))
+        k = rng.randrange(len(x))
+        y = x[:k] + "#" + x[k + 1:]
+        if jaccard(x, y) >= 0.8:
+            out.append((x, y))
+    return out
+
+
+def test_lines_with_one_changed_letter_are_found(spark):
+    pairs = near_copies(9) + near_copies(12) + near_copies(15)
+    rows = [(2 * k + j, line) for k, p in enumerate(pairs) for j, line in enumerate(p)]
+    kept = dict(map(tuple, dedup_lines(spark.createDataFrame(rows, SCHEMA)).collect()))
+    assert all(kept[2 * k] == x for k, (x, _) in enumerate(pairs))
+    assert sum(kept[2 * k + 1] == "" for k in range(len(pairs))) >= 0.97 * len(pairs)
