@@ -58,6 +58,18 @@ def _keyed(lines: DataFrame) -> DataFrame:
     return lines.withColumns({"h1": F.xxhash64("norm"), "h2": F.xxhash64(F.lit(17), "norm")})
 
 
+def _least(gram: Column, n: int, seed: int) -> list[Column]:
+    """The minhashes m0 ... of a group's shingle hashes: a hash function of its
+    own for each (xor with a constant would keep the hashes' common prefixes
+    together, and the minhashes of a pair would depend on each other)."""
+    rng = random.Random(seed)
+    return [F.min(F.xxhash64(F.lit(rng.getrandbits(63)), gram)).alias(f"m{k}") for k in range(n)]
+
+
+def _bands(bands: int, rows: int) -> list[Column]:
+    return [F.xxhash64(F.lit(b), *[F.col(f"m{b * rows + r}") for r in range(rows)]) for b in range(bands)]
+
+
 def line_components(docs: DataFrame, id_col: str, text_col: str, similarity: float = 0.8,
                     bands: int = 6, rows: int = 3, seed: int = 9, broadcast_rows: int = 1_000_000) -> DataFrame:
     """h1, h2 (key of a line's normal form), r1, r2 (smallest key of its
@@ -65,16 +77,12 @@ def line_components(docs: DataFrame, id_col: str, text_col: str, similarity: flo
     component): for every normal form that occurs more than once or is similar
     to another one."""
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    rng = random.Random(seed)
-    salts = [rng.getrandbits(63) for _ in range(bands * rows)]
     wide = _keyed(_lines(src)).select("id", "h1", "h2", F.encode("norm", "UTF-32").alias("wide"))
     grams = (wide.select("id", "h1", "h2", "wide", F.explode(_places(F.col("wide"))).alias("at"))
              .select("id", "h1", "h2", (F.col("at") == 0).cast("long").alias("one"), _gram(F.col("wide"), F.col("at")).alias("g")))
-    # xor with a random constant reorders the hashes: one minhash per constant
-    least = [F.min(F.col("g").bitwiseXOR(F.lit(s))).alias(f"m{k}") for k, s in enumerate(salts)]
-    signed = grams.groupBy("h1", "h2").agg(F.sum("one").alias("copies"), F.min("id").alias("first_id"), *least)
-    band = [F.xxhash64(F.lit(b), *[F.col(f"m{b * rows + r}") for r in range(rows)]) for b in range(bands)]
-    keys = materialize(signed.select("h1", "h2", "copies", "first_id", F.array(*band).alias("bands")), "lines")
+    signed = grams.groupBy("h1", "h2").agg(F.sum("one").alias("copies"), F.min("id").alias("first_id"),
+                                         *_least(F.col("g"), bands * rows, seed))
+    keys = materialize(signed.select("h1", "h2", "copies", "first_id", F.array(*_bands(bands, rows)).alias("bands")), "lines")
 
     members = keys.select(F.explode("bands").alias("bucket"), "h1", "h2")
     shared = (members.groupBy("bucket").agg(F.min("h1").alias("low"), F.max("h1").alias("high"))
@@ -154,8 +162,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     similar when the Jaccard similarity of all their 5-character shingles
     (``SHINGLES``) is ``similarity`` or more. Candidates share one of
     ``bands`` hashes of ``rows`` minhashes each: with 6 and 3 a pair at
-    exactly 0.8 is found with probability 0.986, at 0.9 with 0.9996. Blank lines are kept and never compared. Texts are split at
-    line feeds only.
+    exactly 0.8 is found with probability 0.986, at 0.9 with 0.9996, whatever
+    the lines' length. Blank lines are kept and never compared. Texts are split
+    at line feeds only.
 
     Null texts stay null, empty ones empty; a text may lose all its lines and
     is then empty. Ids order the copies (a null id comes last); rows that
