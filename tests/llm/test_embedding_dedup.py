@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from tessera.llm.components import connected_components
-from tessera.llm.embedding_dedup import cap_share, choose_filters, embedding_dedup
+from tessera.llm.embedding_dedup import cap_share, choose_filters, embedding_dedup, pairs_at
 
 SCHEMA = "vec_id long, embedding array<float>"
 
@@ -99,6 +99,16 @@ def test_recall_at_the_threshold(spark):
     assert hit >= 396
 
 
+@pytest.mark.parametrize("rows,most", [(2_000, 3), (50_000, 3)])
+def test_pairs_that_share_no_filter_are_one_in_ten_thousand(rows, most):
+    f = choose_filters(64, rows, 0.95)
+    codes, missed = f.codes(), 0
+    x, y = pairs_at(0.95, 64, 3000, np.random.default_rng(11))
+    for a, b in zip(f.filters(x, codes), f.filters(y, codes)):
+        missed += not set(a.tolist()) & set(b.tolist())
+    assert missed <= most
+
+
 def test_components(spark):
     rng = np.random.default_rng(5)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 60, (45, 2))] + [(100 + k, 101 + k) for k in range(30)] + [(7, None)]
