@@ -27,7 +27,7 @@ SIGNS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "
 INVISIBLE = "­​‌‍⁠﻿"
 
 _SIGN = re.compile(r"[0-9@$]")
-_LONE = re.compile(r"(?<![^\W\d_])[0-9@$]+(?![^\W\d_@$0-9])")  # no letter at either side
+_LONE = re.compile(r"(?<![^\W\d_]|[0-9@$])[0-9@$]+(?![^\W\d_]|[0-9@$])")  # whole runs, no letter at either side
 _COMPATIBLE = re.compile("[̀-ͯᴀ-ᶿ℀-⅏①-⓿＀-￯\U0001d400-\U0001d7ff]")
 _TABLE = {**{ord(a): b for a, b in HOMOGLYPHS.items()}, **{ord(a): b for a, b in SIGNS.items()},
           **{ord(c): None for c in INVISIBLE},

@@ -19,6 +19,11 @@ def test_folding():
     assert fold("mo​ron") == " moron " and fold("Ünï") == " ünï "
 
 
+def test_folding_keeps_runs_of_signs_inside_words():
+    assert fold("a$$ a55 p155") == " ass ass piss " and fold("x100t 55hit") == " xioot sshit "
+    assert fold("55 a @$ b 1,000") == " a b "
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(max_size=40))
 def test_folded_words_have_single_spaces_around(text):
