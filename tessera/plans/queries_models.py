@@ -73,16 +73,16 @@ def l3(spark, d):
 def l4(spark, d):
     lo = _loan_frame(spark, d)
     scores, _ = ML.grid_search(lo, LOAN_FEATURES, "delinquent", "loan_id",
-                               {"depth": [3, 6], "rounds": [10], "pos_weight": [5.0, 20.0]}, folds=3,
-                               parallelism=8)
+                               {"depth": [3, 6], "rounds": [50, 100, 200], "eta": [0.05],
+                                "pos_weight": [5.0, 10.0, 20.0, 50.0]}, folds=5, parallelism=8)
     return r6(scores)
 
 
 @register("L5_undersampled_ensemble")
 def l5(spark, d):
     lo = _loan_frame(spark, d)
-    models = ML.undersampled_ensemble(lo, LOAN_FEATURES, "delinquent", "loan_id", n_models=5,
-                                      ratio=1.0, depth=3, rounds=20)
+    models = ML.undersampled_ensemble(lo, LOAN_FEATURES, "delinquent", "loan_id", n_models=20,
+                                      ratio=1.0, depth=5, rounds=100)
     votes = ML.ensemble_vote(models, lo, "loan_id")
     return r6(votes.join(lo.select("loan_id", "delinquent"), "loan_id"))
 

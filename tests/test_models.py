@@ -134,3 +134,26 @@ def test_exact_knn_across_many_blocks_with_ties(spark):
         want = np.lexsort((np.arange(len(x)), d[i]))[:k]
         have = [nb for _, nb, _ in sorted(got[i])]
         assert have == list(want), (i, have, list(want))
+
+
+def test_registered_search_and_ensemble_have_the_notebooks_settings(monkeypatch):
+    from tessera.plans import queries_models as Q
+    seen = {}
+
+    def keep(name):
+        def call(*args, **options):
+            seen[name] = (args, options)
+            raise StopIteration
+        return call
+
+    monkeypatch.setattr(Q, "_loan_frame", lambda spark, d: None)
+    monkeypatch.setattr(Q.ML, "grid_search", keep("L4"))
+    monkeypatch.setattr(Q.ML, "undersampled_ensemble", keep("L5"))
+    for query in (Q.l4, Q.l5):
+        with pytest.raises(StopIteration):
+            query(None, None)
+    args, options = seen["L4"]
+    assert args[4] == {"depth": [3, 6], "rounds": [50, 100, 200], "eta": [0.05],
+                       "pos_weight": [5.0, 10.0, 20.0, 50.0]} and options["folds"] == 5
+    options = seen["L5"][1]
+    assert (options["n_models"], options["depth"], options["rounds"], options["ratio"]) == (20, 5, 100, 1.0)
