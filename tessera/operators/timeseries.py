@@ -1,14 +1,13 @@
 """Augmented Dickey-Fuller test with a constant and AIC lag choice
 and the stationarity report (Q8).
 
-Per series, every regression needs only the cross-products of its columns
-(y = dx_t; const, x_{t-1}, dx_{t-1..t-p}). Those sums are one aggregation
-over the lagged rows (built with blocked windows, so a long or dominant
-series is spread over many tasks); only the small (p+3)^2 matrices per
-series go through pandas, where the nested least-squares fits, the AIC
-search and the t statistic are solved. The lag search uses one common sample
-(rows after the largest lag), then the chosen lag is refitted on its own
-longer sample, as statsmodels does.
+A series is cut into blocks with the rows before them; each block's regression
+rows (1, x_{t-1}, dx_{t-1..t-p}; y = dx_t, x centred) become one triangular
+factor, factors merge by stacking, and a series' whole regression is a matrix
+of p + 3 columns. It gives all nested fits of the lag search at once (rows
+after the largest lag); the chosen lag is refitted on its own longer sample,
+as statsmodels does. Factors do not square the condition number, as sums of
+products would, so values far from zero lose no digits.
 """
 
 from __future__ import annotations
@@ -17,7 +16,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.ordering import blocked_frame, join_keys
@@ -55,128 +54,124 @@ def default_maxlag(n: int) -> int:
     return min(n // 2 - 2, int(math.ceil(12.0 * (n / 100.0) ** 0.25)))
 
 
-def _lagged(df: DataFrame, keys: list[str], ts: str, value: str, lmax: int,
-            block_rows: int) -> DataFrame:
-    framed = blocked_frame(df.select(*keys, ts, F.col(value).cast("double").alias("_x")),
-                           keys, [ts], lookback=lmax + 2, block_rows=block_rows)
-    w = Window.partitionBy(*keys, "_blk").orderBy("_rn")
-    out = framed.withColumn("_xl", F.lag("_x", 1).over(w))
-    out = out.withColumn("_dx", F.col("_x") - F.col("_xl"))
-    out = out.withColumns({f"_d{j}": F.lag("_dx", j).over(w) for j in range(1, lmax + 1)})
-    return out.where(~F.col("_halo"))
-
-
-def _gram_sums(rows: DataFrame, keys: list[str], cols: list[str], min_pos: str) -> DataFrame:
-    """Cross-products of [1, x_{t-1}, dx lags..., y] over rows with
-    position >= ``min_pos`` (a per-series column)."""
-    r = rows.where(F.col("_pos") >= F.col(min_pos))
-    z = [F.lit(1.0)] + [F.col(c) for c in cols]
-    aggs = [F.sum(z[i] * z[j]).alias(f"g_{i}_{j}") for i in range(len(z)) for j in range(i, len(z))]
-    return r.groupBy(*keys).agg(F.count(F.lit(1)).alias("nobs"), *aggs)
-
-
-def _unpack(row, m: int) -> np.ndarray:
-    g = np.zeros((m, m))
-    for i in range(m):
-        for j in range(i, m):
-            v = row[f"g_{i}_{j}"]
-            g[i, j] = g[j, i] = 0.0 if v is None or (isinstance(v, float) and math.isnan(v)) else v
-    return g
-
-
-def _ols(g: np.ndarray, idx: list[int], yi: int, nobs: int):
-    a = g[np.ix_(idx, idx)]
-    b = g[idx, yi]
-    beta = np.linalg.solve(a, b)
-    ssr = g[yi, yi] - beta @ b
-    return beta, max(ssr, 0.0), a
+def _triangle(z: np.ndarray) -> np.ndarray:
+    """The triangular factor of a block of regression rows: blocks merge by
+    stacking their factors and factoring again."""
+    return np.linalg.qr(z, mode="r") if len(z) else np.zeros((0, z.shape[1]))
+
+
+def _design(x: np.ndarray, at: np.ndarray, lags: int) -> np.ndarray:
+    """Rows [1, x_{t-1}, dx_{t-1} .. dx_{t-lags}, dx_t] for the places ``at``
+    (a lag before the start of ``x`` is 0)."""
+    dx = np.diff(x, prepend=x[:1])
+    cols = [np.ones(len(at)), x[at - 1], *(np.where(at >= j, dx[np.maximum(at - j, 0)], 0.0) for j in range(1, lags + 1)), dx[at]]
+    return np.column_stack(cols)
+
+
+def _verdict(r: np.ndarray, nobs: int, heads: np.ndarray, lags: int) -> dict:
+    """Lag choice, refit and test of one series from the triangular factor of
+    its common sample (rows after the largest lag) and its first rows."""
+    none = dict.fromkeys(("statistic", "p_value", "used_lag", "nobs", "crit_1", "crit_5", "crit_10", "stationary"))
+    if lags < 0 or nobs <= lags + 2 or r.shape[0] < r.shape[1]:
+        return none
+    # nested models: what is left of y below its first k rows is the residual of k columns
+    left = np.cumsum((r[:, -1] ** 2)[::-1])[::-1]
+    aic = []
+    for p in range(lags + 1):
+        ssr = max(left[p + 2], np.finfo(float).tiny)
+        aic.append(nobs * (math.log(2 * math.pi) + math.log(ssr / nobs) + 1) + 2 * (p + 2))
+    p = int(np.argmin(aic))
+    cols = [*range(p + 2), r.shape[1] - 1]
+    more = heads[heads[:, 0] > p][:, 1:][:, cols]
+    n = nobs + len(more)
+    r = _triangle(np.vstack([r[:, cols], more]))
+    k = p + 2
+    size = np.sqrt((r[:, :k] ** 2).sum(axis=0))
+    ssr = float(r[k, k] ** 2)
+    if n <= k or (np.abs(np.diag(r)[:k]) <= 1e-10 * size).any() or ssr <= 1e-24 * float((r[:, k] ** 2).sum()):
+        return none  # a constant series, or one without any residual
+    inverse = np.linalg.solve(r[:k, :k], np.eye(k))
+    se = math.sqrt(ssr / (n - k) * float((inverse[1] ** 2).sum()))
+    stat = float(inverse[1] @ r[:k, k]) / se
+    crit = mackinnon_crit(n)
+    return dict(statistic=stat, p_value=mackinnon_p(stat), used_lag=p, nobs=n, crit_1=crit["1%"], crit_5=crit["5%"],
+                crit_10=crit["10%"], stationary=stat < crit["5%"])
 
 
 def adf_test(df: DataFrame, ts: str, value: str, key: str | None = None,
-             maxlag: int | None = None, block_rows: int = 1_000_000) -> DataFrame:
+             maxlag: int | None = None, block_rows: int = 100_000) -> DataFrame:
     """ADF with constant, lag by AIC (L17). One row per series: statistic,
     p_value, used_lag, nobs, crit_1, crit_5, crit_10, stationary (statistic
-    below the 5 % critical value)."""
+    below the 5 % critical value).
+
+    Null and NaN values are left out before lagging. A series that gives no
+    test (constant, without residual, too short for its lags, without values)
+    keeps its row with nulls; an empty table without a key gives no row.
+    Blocks of ``block_rows`` rows of a series are factored in separate tasks
+    and their factors merged, so a long series is many tasks' work.
+    """
     keys = [key] if key else []
-    spark = df.sparkSession
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    n_max = sizes.agg(F.max("_n")).first()[0] or 0
-    lmax = maxlag if maxlag is not None else default_maxlag(int(n_max))
-    lag_expr = (F.lit(int(maxlag)) if maxlag is not None else
-                F.least(F.floor(F.col("_n") / 2) - 2,
-                        F.ceil(F.lit(12.0) * F.pow(F.col("_n") / 100.0, 0.25))).cast("int"))
-    sizes = sizes.withColumn("_L", lag_expr)
-    lagged = _lagged(df, keys, ts, value, lmax, block_rows)
-    # position within the series from the global numbering
-    first = lagged.groupBy(*keys).agg(F.min("_rn").alias("_first"))
-    lagged = (join_keys(lagged, first, keys) if keys else
-              lagged.withColumn("_first", F.lit(1).cast("long")))
-    lagged = lagged.withColumn("_pos", F.col("_rn") - F.col("_first"))
-    lagged = (join_keys(lagged, sizes, keys) if keys else
-              lagged.withColumns({"_n": sizes.select("_n").scalar(),
-                                  "_L": sizes.select("_L").scalar()}))
-    cols = ["_xl"] + [f"_d{j}" for j in range(1, lmax + 1)] + ["_dx"]
-    m = len(cols) + 1
-    stage1 = _gram_sums(lagged.withColumn("_min", F.col("_L") + 1), keys, cols, "_min")
-    stage1 = join_keys(stage1, sizes, keys) if keys else stage1.withColumns(
-        {"_n": sizes.select("_n").scalar(), "_L": sizes.select("_L").scalar()})
-
-    key_schema = ", ".join(f"{k} {t}" for k, t in df.select(*keys).dtypes) if keys else ""
-
-    def choose(it):
-        for pdf in it:
-            out = []
-            for _, row in pdf.iterrows():
-                g = _unpack(row, m)
-                big_l, nobs = int(row["_L"]), int(row["nobs"])
-                best = None
-                for p in range(0, big_l + 1):
-                    idx = [0, 1] + list(range(2, 2 + p))
-                    _, ssr, _ = _ols(g, idx, m - 1, nobs)
-                    llf = -nobs / 2 * (math.log(2 * math.pi) + math.log(ssr / nobs) + 1)
-                    aic = -2 * llf + 2 * len(idx)
-                    if best is None or aic < best[0]:
-                        best = (aic, p)
-                rec = {k: row[k] for k in keys}
-                rec["_bestlag"] = best[1]
-                out.append(rec)
-            yield pd.DataFrame(out, columns=[*keys, "_bestlag"])
-
-    best = stage1.mapInPandas(choose, f"{key_schema + ', ' if key_schema else ''}_bestlag int")
-    rows2 = (join_keys(lagged, best, keys) if keys else
-             lagged.withColumn("_bestlag", best.select("_bestlag").scalar()))
-    stage2 = _gram_sums(rows2.withColumn("_min", F.col("_bestlag") + 1), keys, cols, "_min")
-    stage2 = join_keys(stage2, best, keys) if keys else stage2.withColumn(
-        "_bestlag", best.select("_bestlag").scalar())
-
-    def finish(it):
-        for pdf in it:
-            out = []
-            for _, row in pdf.iterrows():
-                g = _unpack(row, m)
-                p, nobs = int(row["_bestlag"]), int(row["nobs"])
-                idx = [0, 1] + list(range(2, 2 + p))
-                beta, ssr, a = _ols(g, idx, m - 1, nobs)
-                s2 = ssr / (nobs - len(idx))
-                se = math.sqrt(s2 * np.linalg.inv(a)[1, 1])
-                stat = float(beta[1] / se)
-                crit = mackinnon_crit(nobs)
-                rec = {k: row[k] for k in keys}
-                rec.update(statistic=stat, p_value=mackinnon_p(stat), used_lag=p, nobs=nobs,
-                           crit_1=crit["1%"], crit_5=crit["5%"], crit_10=crit["10%"],
-                           stationary=bool(stat < crit["5%"]))
-                out.append(rec)
-            yield pd.DataFrame(out, columns=[*keys, "statistic", "p_value", "used_lag", "nobs",
-                                             "crit_1", "crit_5", "crit_10", "stationary"])
-
-    schema = (f"{key_schema + ', ' if key_schema else ''}statistic double, p_value double, "
-              "used_lag int, nobs long, crit_1 double, crit_5 double, crit_10 double, "
-              "stationary boolean")
-    return stage2.mapInPandas(finish, schema)
+    ok = F.col(value).cast("double")
+    values = df.select(*[F.col(k).cast("string").alias(k) for k in keys], F.col(ts), F.when(~F.isnan(ok), ok).alias("_x")).where(
+        F.col("_x").isNotNull())
+    n_max = values.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    lmax = max(0, maxlag if maxlag is not None else default_maxlag(int(n_max)))
+    framed = blocked_frame(values, keys, [ts], lookback=lmax + 2, block_rows=max(block_rows, lmax + 3))
+    sizes = framed.where(~F.col("_halo")).groupBy(*keys).agg(
+        F.count("*").alias("_n"), F.min("_rn").alias("_first"), F.avg("_x").alias("_mean"))
+    framed = join_keys(framed, sizes, keys) if keys else framed.withColumns(
+        {c: sizes.select(c).scalar() for c in ("_n", "_first", "_mean")})
+
+    def lags_of(n: int) -> int:
+        return default_maxlag(n) if maxlag is None else maxlag
+
+    def row(pdf: pd.DataFrame, **columns) -> pd.DataFrame:
+        return pd.DataFrame({**{k: [pdf[k].iloc[0]] for k in keys}, **{c: [v] for c, v in columns.items()}})
+
+    def factor(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_rn")
+        x = pdf["_x"].to_numpy(float) - float(pdf["_mean"].iloc[0])  # the constant takes up the shift
+        place = pdf["_rn"].to_numpy() - int(pdf["_first"].iloc[0])
+        own = ~pdf["_halo"].to_numpy(bool)
+        lags = lags_of(int(pdf["_n"].iloc[0]))
+        wide = max(lags, 0)
+        at = np.flatnonzero(own & (place > wide))
+        r = np.zeros((0, wide + 3))
+        for a in range(0, len(at), 8192):
+            r = _triangle(np.vstack([r, _design(x, at[a:a + 8192], wide)]))
+        early = np.flatnonzero(own & (place >= 1) & (place <= wide))
+        heads = np.column_stack([place[early], _design(x, early, wide)])
+        return row(pdf, _part=int(pdf["_blk"].iloc[0]) // 64, _lags=lags, _nobs=len(at), _r=r.tobytes(), _heads=heads.tobytes())
+
+    def merged(pdf: pd.DataFrame) -> tuple[np.ndarray, int, np.ndarray, int]:
+        lags = int(pdf["_lags"].iloc[0])
+        wide = max(lags, 0) + 3
+        r = _triangle(np.vstack([np.frombuffer(b).reshape(-1, wide) for b in pdf["_r"]]))
+        heads = np.vstack([np.frombuffer(b).reshape(-1, wide + 1) for b in pdf["_heads"]])
+        return r, int(pdf["_nobs"].sum()), heads, lags
+
+    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        r, nobs, heads, lags = merged(pdf)
+        return row(pdf, _lags=lags, _nobs=nobs, _r=r.tobytes(), _heads=heads.tobytes())
+
+    def finish(pdf: pd.DataFrame) -> pd.DataFrame:
+        return row(pdf, **_verdict(*merged(pdf)))
+
+    names = "".join(f"`{k}` string, " for k in keys)
+    held = "_lags int, _nobs long, _r binary, _heads binary"
+    parts = framed.groupBy(*keys, "_blk").applyInPandas(factor, f"{names}_part long, {held}")
+    parts = parts.groupBy(*keys, "_part").applyInPandas(merge, f"{names}{held}")
+    out = parts.groupBy(*keys).applyInPandas(
+        finish, f"{names}statistic double, p_value double, used_lag int, nobs long, crit_1 double, crit_5 double, "
+                "crit_10 double, stationary boolean")
+    if not keys:
+        return out
+    kind = df.schema[key].dataType
+    return join_keys(df.select(key).distinct(), out.withColumn(key, F.col(key).cast(kind)), keys, "left")
 
 
 def stationarity_report(df: DataFrame, ts: str, value: str, key: str | None = None,
-                        window: int = 6, block_rows: int = 1_000_000) -> DataFrame:
+                        window: int = 6, block_rows: int = 100_000) -> DataFrame:
     """Q8: ADF verdict per series with the range of its rolling mean and
     deviation (how far the level and spread move over time)."""
     from tessera.operators.windows import rolling_stats

@@ -75,6 +75,39 @@ def test_adf_per_key(spark):
         assert math.isclose(got[k]["statistic"], stat, rel_tol=1e-6)
 
 
+def test_series_without_a_test_keep_their_row(spark):
+    rng = np.random.default_rng(6)
+    good = np.cumsum(rng.normal(size=90))
+    data = [("good", i, float(v)) for i, v in enumerate(good)]
+    data += [("constant", i, 5.0) for i in range(50)] + [("short", i, float(i * i)) for i in range(3)]
+    data += [("one", 0, 1.0), ("line", 0, 0.0)] + [("line", i, 2.0 * i) for i in range(1, 60)]
+    data += [("missing", 0, None), ("missing", 1, float("nan")), (None, 0, 1.0), (None, 1, 2.0)]
+    got = {r["k"]: r for r in adf_test(spark.createDataFrame(data, "k string, t int, v double"), "t", "v", key="k").collect()}
+    assert set(got) == {"good", "constant", "short", "one", "line", "missing", None}
+    assert math.isclose(got["good"]["statistic"], adf_numpy(good)[0], rel_tol=1e-6)
+    assert all(got[k]["statistic"] is None and got[k]["stationary"] is None for k in got if k != "good")
+
+
+def test_far_from_zero_and_many_blocks(spark):
+    rng = np.random.default_rng(7)
+    x = np.cumsum(rng.normal(size=3000)) * 1e-3
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(x + 1e6)], "t int, v double")
+    want = adf_numpy(x)
+    for rows in (40, 777):  # with 40, factors meet in two steps
+        got = adf_test(df, "t", "v", block_rows=rows).first()
+        assert got["used_lag"] == want[1] and got["nobs"] == want[2]
+        assert math.isclose(got["statistic"], want[0], rel_tol=1e-5)
+
+
+def test_null_values_are_left_out_and_empty_tables(spark):
+    x = np.cumsum(np.random.default_rng(8).normal(size=60))
+    rows = [(2 * i, float(v)) for i, v in enumerate(x)] + [(2 * i + 1, None) for i in range(60)]
+    got = adf_test(spark.createDataFrame(rows, "t int, v double"), "t", "v").first()
+    assert math.isclose(got["statistic"], adf_numpy(x)[0], rel_tol=1e-9)
+    empty = spark.createDataFrame([], "k string, t int, v double")
+    assert adf_test(empty, "t", "v").count() == 0 and adf_test(empty, "t", "v", key="k").count() == 0
+
+
 def test_mackinnon_p_monotone_and_bounds():
     ps = [mackinnon_p(s) for s in (-6, -3.5, -2.86, -1.61, 0.0, 2.0)]
     assert ps == sorted(ps)
