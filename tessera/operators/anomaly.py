@@ -1,24 +1,19 @@
 """Anomaly scores: isolation forest (L7), local outlier factor (L8) and a
-one-class RBF boundary (L9).
-
-Isolation forest: every tree is grown from at most ``max_samples`` rows (256
-by default), chosen per tree as the rows with the smallest seeded hash, so a
-tree's input is bounded whatever the table size; trees are grown per group in
-``applyInPandas`` and the whole forest (at most trees x (2 * max_samples - 1)
-nodes) is the only thing shipped to the executors that score the rows.
-"""
+one-class RBF boundary (L9)."""
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.features import uniform_hash
+from tessera.operators.features import _numbered_within, uniform_hash
 from tessera.operators.ordering import exact_quantiles
+from tessera.session import discard, materialize, scratch_path
 
 EULER_GAMMA = 0.5772156649015329
 
@@ -34,101 +29,104 @@ def avg_path_length(n):
     return out
 
 
-def _grow(x: np.ndarray, rng: np.random.Generator, max_depth: int):
-    """Arrays (feature, threshold, left, right, size, depth) of one random tree."""
-    feat, thr, left, right, size, depth = [], [], [], [], [], []
-
-    def node(idx, d):
-        me = len(feat)
-        feat.append(-1); thr.append(0.0); left.append(-1); right.append(-1)
-        size.append(len(idx)); depth.append(d)
-        if d >= max_depth or len(idx) <= 1:
-            return me
-        sub = x[idx]
-        lo, hi = sub.min(axis=0), sub.max(axis=0)
-        usable = np.flatnonzero(hi > lo)
-        if usable.size == 0:
-            return me
-        f = int(rng.choice(usable))
-        t = float(rng.uniform(lo[f], hi[f]))
-        go_left = sub[:, f] <= t
-        feat[me], thr[me] = f, t
-        left[me] = node(idx[go_left], d + 1)
-        right[me] = node(idx[~go_left], d + 1)
-        return me
-
-    node(np.arange(len(x)), 0)
-    return feat, thr, left, right, size, depth
-
-
-def isolation_forest(df: DataFrame, features: list[str], id_col: str, trees: int = 100,
-                     max_samples: int = 256, contamination: float = 0.1,
-                     seed: int = 0) -> DataFrame:
-    """Isolation score in (0, 1] (higher = more isolated) and a 0/1 outlier
-    flag for the top ``contamination`` share of scores (L7)."""
+def _path_length(n: Column) -> Column:
+    """``avg_path_length`` as a column."""
+    return (F.when(n > 2, 2 * (F.log(n - 1.0) + EULER_GAMMA) - 2 * (n - 1.0) / n)
+            .when(n == 2, F.lit(1.0)).otherwise(F.lit(0.0)))
+
+
+def isolation_draws(seed: int) -> tuple[Column, Column]:
+    """Two seeded numbers in [0, 1) for the columns ``tree`` and ``node``: one
+    picks the feature, the other the threshold."""
+    return tuple(F.pmod(F.xxhash64(F.lit(seed), F.lit(k), "tree", "node"), F.lit(1 << 53)) / float(1 << 53) for k in (1, 2))
+
+
+def _node_splits(rows: DataFrame, d: int, last: bool, seed: int) -> DataFrame:
+    """tree, node, size, feature (from 0), threshold of every node that holds
+    a row: of its features with two values or more one is drawn, and a
+    threshold between its least and greatest value. A leaf has no feature."""
+    x = [F.when(F.col("fits"), F.col("x")[k]) for k in range(d)]
+    stats = rows.groupBy("tree", "node").agg(
+        F.count_if("fits").alias("size"),
+        F.array(*[F.struct(F.min(c).alias("lo"), F.max(c).alias("hi"), F.lit(k).alias("f")) for k, c in enumerate(x)]).alias("r"))
+    which, where = isolation_draws(seed)
+    open_ = F.filter("r", lambda r: (r["lo"] < r["hi"]) & F.lit(not last))
+    pick = F.get(F.col("open"), F.floor(which * F.size("open")).cast("int"))
+    cut = F.col("p.lo") + where * (F.col("p.hi") - F.col("p.lo"))
+    return (stats.select("tree", "node", "size", open_.alias("open")).withColumn("p", F.when(F.size("open") > 0, pick))
+            .select("tree", "node", "size", F.col("p.f").alias("feature"),
+                    F.when(cut < F.col("p.hi"), cut).otherwise(F.col("p.lo")).alias("threshold")))
+
+
+def grow_isolation_trees(df: DataFrame, features: list[str], id_col: str, trees: int = 100,
+                         max_samples: int | None = None, seed: int = 0,
+                         fits: Column | None = None) -> tuple[DataFrame, DataFrame, int]:
+    """Grow ``trees`` random trees level by level over the rows where ``fits``
+    holds (default: all). Returns (id, height: mean path length over the
+    trees), (tree, node, size, feature, threshold) and the rows a tree grows from.
+
+    Every row carries the node it is in, one record a tree. A level is one
+    grouping by (tree, node) for counts, minima and maxima, combined before
+    the shuffle, and one join that moves each record to a child or ends it at
+    a leaf. No node's rows meet in one task and no tree reaches the driver:
+    all rows may fit every tree. With ``max_samples`` below their number a tree
+    grows from the rows with the smallest seeded hashes of that tree.
+    """
     spark = df.sparkSession
-    base = df.select(id_col, *[F.col(c).cast("double").alias(c) for c in features])
-    n = base.count()
-    psi = int(min(max_samples, n))
-    max_depth = int(math.ceil(math.log2(max(psi, 2))))
-    # Rows whose per-tree hash falls under p are candidates; the psi smallest
-    # hashes per tree are the sample. p leaves a wide margin (about 6 sd) and
-    # the check below falls back to all rows if a tree still comes up short.
-    for p in (min(1.0, (psi + 6 * math.sqrt(psi) + 20) / max(n, 1)), 1.0):
-        cand = base.withColumn("tree", F.explode(F.filter(
-            F.sequence(F.lit(0), F.lit(trees - 1)),
-            lambda t: uniform_hash(id_col, seed, t) < F.lit(p))))
-        cand = cand.withColumn("_h", uniform_hash(id_col, seed, F.col("tree")))
-        w = Window.partitionBy("tree").orderBy("_h", id_col)
-        sample = cand.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= psi)
-        short = sample.groupBy("tree").count().where(F.col("count") < psi).count()
-        have = sample.select("tree").distinct().count()
-        if (short == 0 and have == trees) or p >= 1.0:
+    x = [F.col(f"`{c}`").cast("double") for c in features]
+    base = df.select(F.col(f"`{id_col}`").alias("id"),
+                     F.array(*[F.when(~F.isnan(c), c) for c in x]).alias("x"),
+                     (F.lit(True) if fits is None else F.coalesce(fits, F.lit(False))).alias("fits"))
+    base = materialize(base, "isolation-rows")
+    n = base.where("fits").count()
+    psi = n if max_samples is None else min(max_samples, n)
+    depth = math.ceil(math.log2(max(psi, 2)))
+    live = base.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn("node", F.lit(1).cast("long"))
+    if psi < n:
+        hashed = live.withColumn("h", uniform_hash("id", seed, F.col("tree")))
+        share = min(1.0, (psi + 6 * math.sqrt(psi) + 20) / n)
+        near = hashed.where(F.col("fits") & (F.col("h") < share)).select("tree", "h", "id")
+        if near.groupBy("tree").count().where(F.col("count") >= psi).count() < trees:
+            near = hashed.where("fits").select("tree", "h", "id")
+        last = _numbered_within(near, ["tree"], [F.col("h"), F.col("id")]).where(F.col("_pos") == psi)
+        last = last.select("tree", F.struct("h", "id").alias("last"))
+        live = (hashed.join(last, "tree").withColumn("fits", F.col("fits") & (F.struct("h", "id") <= F.col("last")))
+                .drop("h", "last"))
+    nodes, ended, scratch = [], [], [base]
+    for level in range(depth + 1):
+        splits = materialize(_node_splits(live, len(features), level == depth, seed), "isolation-nodes")
+        nodes.append(splits)
+        right = (~F.coalesce(F.get("x", "feature") <= F.col("threshold"), F.lit(False))).cast("long")
+        leaf = F.col("feature").isNull()
+        moved = live.join(splits, ["tree", "node"]).select(
+            "id", "tree", F.when(~leaf, F.col("x")).alias("x"), "fits", (F.col("node") * 2 + right).alias("node"),
+            F.when(leaf, level + _path_length(F.col("size"))).alias("height"), leaf.alias("ended"))
+        path = scratch_path(spark, "isolation-level")
+        moved.write.partitionBy("ended").parquet(path)
+        moved = spark.read.schema(moved.schema).parquet(path)
+        ended.append(moved.where("ended").select("id", "tree", "height"))
+        live = moved.where("not ended").select("id", "tree", "node", "x", "fits")
+        if live.isEmpty():
             break
+    heights = reduce(DataFrame.unionByName, ended).groupBy("id").agg((F.sum("height") / trees).alias("height"))
+    discard(*scratch)
+    return (heights.withColumnRenamed("id", id_col), reduce(DataFrame.unionByName, nodes), psi)
 
-    d = len(features)
 
-    def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        t = int(pdf["tree"].iloc[0])
-        x = pdf.sort_values("_h")[features].to_numpy(dtype=float)
-        rng = np.random.default_rng([seed, t])
-        f, th, l, r, s, dp = _grow(x, rng, max_depth)
-        return pd.DataFrame({"tree": t, "node": np.arange(len(f)), "feature": f, "threshold": th,
-                             "left": l, "right": r, "size": s, "depth": dp})
-
-    nodes = sample.groupBy("tree").applyInPandas(
-        build, "tree int, node int, feature int, threshold double, left int, right int, "
-               "size long, depth int")
-    forest = nodes.toPandas().sort_values(["tree", "node"])  # bounded: trees x (2 psi - 1)
-    packed = []
-    for t, g in forest.groupby("tree"):
-        packed.append((g["feature"].to_numpy(), g["threshold"].to_numpy(), g["left"].to_numpy(),
-                       g["right"].to_numpy(),
-                       g["depth"].to_numpy() + avg_path_length(g["size"].to_numpy())))
-    c_psi = float(avg_path_length(np.array([psi]))[0]) or 1.0
-    bc = spark.sparkContext.broadcast(packed)
-
-    def score(it):
-        forest_ = bc.value
-        for pdf in it:
-            x = pdf[features].to_numpy(dtype=float)
-            total = np.zeros(len(pdf))
-            for feat, thr, left, right, leaf_h in forest_:
-                node = np.zeros(len(pdf), dtype=np.int64)
-                for _ in range(max_depth + 1):
-                    inner = left[node] >= 0
-                    if not inner.any():
-                        break
-                    fi = np.where(inner, feat[node], 0)
-                    go = x[np.arange(len(x)), fi] <= thr[node]
-                    node = np.where(inner, np.where(go, left[node], right[node]), node)
-                total += leaf_h[node]
-            yield pd.DataFrame({id_col: pdf[id_col],
-                                "score": np.power(2.0, -(total / len(forest_)) / c_psi)})
-
-    id_type = dict(base.dtypes)[id_col]
-    scored = base.mapInPandas(score, f"{id_col} {id_type}, score double")
-    cut = exact_quantiles(scored, "score", [1.0 - contamination], out="_cut")
+def isolation_forest(df: DataFrame, features: list[str], id_col: str, trees: int = 100,
+                     max_samples: int | None = None, contamination: float = 0.1,
+                     seed: int = 0, fits: Column | None = None) -> DataFrame:
+    """Isolation score in (0, 1] (higher = more isolated) and a 0/1 outlier
+    flag for the top ``contamination`` share of the fitted rows' scores (L7).
+
+    Trees grow from all rows unless ``max_samples`` says otherwise; ``fits``
+    marks the rows that grow them, the others are only scored. Null and NaN
+    features go to the right of every threshold. Ids have to be unique."""
+    heights, _, psi = grow_isolation_trees(df, features, id_col, trees, max_samples, seed, fits)
+    norm = float(avg_path_length(np.array([psi]))[0]) or 1.0
+    scored = materialize(heights.select(id_col, F.pow(F.lit(2.0), -F.col("height") / norm).alias("score")), "isolation-scores")
+    fitted = scored if fits is None else scored.join(df.where(fits).select(id_col), id_col, "left_semi")
+    cut = exact_quantiles(fitted, "score", [1.0 - contamination], out="_cut")
     return (scored.withColumn("_cut", cut.select("_cut").scalar())
             .withColumn("outlier", (F.col("score") > F.col("_cut")).cast("int")).drop("_cut"))
 

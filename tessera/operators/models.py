@@ -6,20 +6,21 @@ a d x d Gram matrix, tuning scores) ever reach the driver.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IDF, PCA, HashingTF, RegexTokenizer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import DecisionTreeRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import scalars as S
 from tessera.operators import features as FE
+from tessera.operators.boosting import BoostedModels, Boosting, fit_boosted
 from tessera.operators.metrics import mean_percentile_rank, rmse
 from tessera.session import ensure_checkpoint_dir, scratch_path
 
@@ -107,70 +108,85 @@ def predict(model, df: DataFrame) -> DataFrame:
 
 
 def grid_search(df: DataFrame, features: list[str], label: str, id_col: str,
-                grid: dict[str, list], folds: int = 5, seed: int = 1337, rounds: int = 50,
-                parallelism: int = 4):
-    """Cross-validated search over GBT depth / rounds / positive weight by
-    positive-class F1 (L4), with stratified folds from a seeded hash, then a
-    refit of the best setting on all rows. Returns (scores table, best model)."""
+                grid: dict[str, list], folds: int = 5, seed: int = 1337, **settings):
+    """Cross-validated search by positive-class F1 over ``depth``, ``rounds``,
+    ``eta`` and ``pos_weight`` (L4), with stratified folds from a seeded hash;
+    ``settings`` are those of ``Boosting`` that every model shares. Returns the
+    table of mean scores and the best model (fitted on all rows).
+
+    A model of fewer rounds is the start of a longer one, so each (depth,
+    eta, weight, fold) is fitted once at the most rounds and scored on the
+    way; all of these fits, and the candidates for the refit, grow together.
+    """
     spark = df.sparkSession
     folded = FE.fold_column(df, label, folds, seed, id_col)
+    rounds = sorted(grid.get("rounds", [50]))
+    points = [Boosting(depth=d, eta=e, pos_weight=float(w), rounds=rounds[-1], seed=seed, **settings)
+              for d in grid.get("depth", [5]) for e in grid.get("eta", [0.05]) for w in grid.get("pos_weight", [1.0])]
+    specs = [p for p in points for _ in range(folds)]
+    uses = [F.col("fold") != k for _ in points for k in range(folds)]
+    holds = [F.col("fold") == k for _ in points for k in range(folds)]
+    fitted = fit_boosted(folded, features, label, id_col, specs, uses, holds, tuple(rounds))
+
+    def f1(counts: tuple) -> float:
+        tp, fp, fn = counts
+        return 2.0 * tp / (2.0 * tp + fp + fn) if tp else 0.0
+
     results = []
-    best = None
-    depths = grid.get("depth", [5])
-    weights = grid.get("pos_weight", [1.0])
-    rounds_list = grid.get("rounds", [rounds])
-    folded = folded.withColumn("_label", F.col(label).cast("double")).persist()
-    assembled = VectorAssembler(inputCols=features, outputCol="features",
-                                handleInvalid="keep").transform(folded)
-    ev = MulticlassClassificationEvaluator(labelCol="_label", predictionCol="prediction",
-                                           metricName="fMeasureByLabel", metricLabel=1.0)
-    for w in weights:
-        data = assembled.withColumn("_w", F.when(F.col(label) == 1, F.lit(float(w))).otherwise(1.0))
-        gbt = GBTClassifier(featuresCol="features", labelCol="_label", weightCol="_w", seed=seed)
-        pg = (ParamGridBuilder().addGrid(gbt.maxDepth, depths).addGrid(gbt.maxIter, rounds_list)
-              .addGrid(gbt.stepSize, grid.get("eta", [0.05])).build())
-        cv = CrossValidator(estimator=gbt, estimatorParamMaps=pg, evaluator=ev, foldCol="fold",
-                            numFolds=folds, parallelism=parallelism, seed=seed)
-        m = cv.fit(data)
-        for pm, score in zip(pg, m.avgMetrics):
-            row = {"depth": pm[gbt.maxDepth], "rounds": pm[gbt.maxIter], "eta": pm[gbt.stepSize],
-                   "pos_weight": float(w), "f1": float(score)}
-            results.append(row)
-            if best is None or score > best[0]:
-                best = (score, row)
-    folded.unpersist()
-    scores = spark.createDataFrame(results)
-    b = best[1]
-    model = boosted_trees(df, features, label, depth=b["depth"], rounds=b["rounds"], eta=b["eta"],
-                          pos_weight=b["pos_weight"], seed=seed)
-    return scores, model
+    for p, point in enumerate(points):
+        for r in rounds:
+            by_fold = [f1(fitted.counts[r].get(p * folds + k, (0, 0, 0))) for k in range(folds)]
+            results.append({"depth": point.depth, "rounds": r, "eta": point.eta, "pos_weight": point.pos_weight,
+                            "f1": float(np.mean(by_fold))})
+    best = max(results, key=lambda x: x["f1"])
+    spec = Boosting(depth=best["depth"], rounds=best["rounds"], eta=best["eta"], pos_weight=best["pos_weight"],
+                    seed=seed, **settings)
+    model = fit_boosted(df, features, label, id_col, [spec])
+    return spark.createDataFrame(results), model
+
+
+def undersampled(df: DataFrame, label: str, ratio: float, seeds: list[int], id_col: str) -> list[Column]:
+    """For each seed a condition that holds for all positives and for
+    ``ratio`` times as many negatives, those with the smallest seeded hashes:
+    the rows of ``features.undersample``, all draws found with one sort of the
+    negatives near the cut."""
+    sizes = df.agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n")).first()
+    need = int(sizes["p"] * ratio)
+    positive, negative = F.col(label) == 1, F.col(label) == 0
+    if need >= sizes["n"]:
+        return [positive | negative for _ in seeds]
+    if need == 0:
+        return [positive for _ in seeds]
+    share = min(1.0, (need + 6 * math.sqrt(need) + 20) / max(sizes["n"], 1))
+    draws = F.array(*[F.struct(F.lit(k).alias("k"), FE.uniform_hash(id_col, s).alias("h")) for k, s in enumerate(seeds)])
+    base = df.where(negative).select(F.col(id_col).alias("id"), F.explode(draws).alias("x")).select("id", "x.k", "x.h")
+    near = base.where(F.col("h") < share)
+    short = near.groupBy("k").count().where(F.col("count") >= need).count() < len(seeds)
+    numbered = FE._numbered_within(base if short else near, ["k"], [F.col("h"), F.col("id")])
+    cuts = {r["k"]: (r["h"], r["id"]) for r in numbered.where(F.col("_pos") == need).select("k", "h", "id").collect()}
+    out = []
+    for k, s in enumerate(seeds):
+        h, at = cuts[k]
+        u = FE.uniform_hash(id_col, s)
+        out.append(positive | (negative & ((u < h) | ((u == h) & (F.col(id_col) <= F.lit(at))))))
+    return out
 
 
 def undersampled_ensemble(df: DataFrame, features: list[str], label: str, id_col: str,
                           n_models: int = 20, ratio: float = 1.0, depth: int = 5,
-                          rounds: int = 100, eta: float = 0.05, seed: int = 1337):
-    """n boosted models, each on all positives plus a seeded draw of
-    ``ratio`` x as many negatives (L5). Returns the fitted models."""
-    base = df.persist()  # read n_models times
-    try:
-        models = []
-        for i in range(n_models):
-            sample = FE.undersample(base, label, ratio, seed + i, id_col)
-            models.append(boosted_trees(sample, features, label, depth, rounds, eta, 1.0, seed + i))
-    finally:
-        base.unpersist()
-    return models
-
-
-def ensemble_vote(models, df: DataFrame, id_col: str, threshold: float = 0.5) -> DataFrame:
-    """Mean positive probability of the ensemble and the 0/1 vote."""
-    probs = None
-    for i, m in enumerate(models):
-        p = predict(m, df).select(id_col, F.col("probability").alias(f"_p{i}"))
-        probs = p if probs is None else probs.join(p, id_col)
-    mean = sum((F.col(f"_p{i}") for i in range(len(models))), F.lit(0.0)) / len(models)
-    return probs.select(id_col, mean.alias("probability"),
-                        (mean >= threshold).cast("int").alias("prediction"))
+                          rounds: int = 100, eta: float = 0.05, seed: int = 1337, **settings) -> BoostedModels:
+    """``n_models`` boosted models, each on all positives plus a seeded draw of
+    ``ratio`` x as many negatives (L5), all fitted together."""
+    seeds = [seed + i for i in range(n_models)]
+    specs = [Boosting(depth=depth, rounds=rounds, eta=eta, seed=s, **settings) for s in seeds]
+    return fit_boosted(df, features, label, id_col, specs, undersampled(df, label, ratio, seeds, id_col))
+
+
+def ensemble_vote(models: BoostedModels, df: DataFrame, id_col: str, threshold: float = 0.5) -> DataFrame:
+    """Mean positive probability of the ensemble and the 0/1 vote, in one pass."""
+    mean = F.aggregate("probabilities", F.lit(0.0), lambda a, p: a + p) / F.size("probabilities")
+    return (models.transform(df, id_col).select(id_col, mean.alias("probability"))
+            .withColumn("prediction", (F.col("probability") >= threshold).cast("int")))
 
 
 # --- L6 ---------------------------------------------------------------------

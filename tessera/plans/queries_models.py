@@ -57,16 +57,27 @@ def l2m(spark, d):
     return r6(argmin_rows(surf, "loss"))
 
 
+# The notebook's settings of a single boosted model: shares of rows and columns, least child weight.
+SAMPLING = {"row_share": 0.8, "column_share": 0.7, "min_child_weight": 5.0}
+
+
 @register("L3_boosted_trees")
 def l3(spark, d):
     lo = _loan_frame(spark, d)
     train = lo.where(F.col("loan_id") % 4 != 0)
     test = lo.where(F.col("loan_id") % 4 == 0)
-    n_pos = train.where("delinquent = 1").count()
-    n_neg = train.where("delinquent = 0").count()
-    model = ML.boosted_trees(train, LOAN_FEATURES, "delinquent", depth=5, rounds=100, eta=0.05,
-                             pos_weight=(n_neg / max(n_pos, 1)) / 20)
-    return r6(E.binary_scores(ML.predict(model, test), "delinquent", "prediction"))
+    balance = train.agg(F.avg("delinquent")).first()[0] or 1.0
+    spec = ML.Boosting(depth=6, rounds=100, eta=0.05, pos_weight=1 / balance / 20, seed=1337, **SAMPLING)
+    model = ML.fit_boosted(train, LOAN_FEATURES, "delinquent", "loan_id", [spec])
+    votes = ML.ensemble_vote(model, test, "loan_id").join(test.select("loan_id", "delinquent"), "loan_id")
+    return r6(E.binary_scores(votes, "delinquent", "prediction"))
+
+
+@register("L3_boosted_nodes")
+def l3n(spark, d):
+    lo = _loan_frame(spark, d)
+    spec = ML.Boosting(depth=3, rounds=20, seed=1337, **SAMPLING)
+    return r6(ML.fit_boosted(lo, LOAN_FEATURES, "delinquent", "loan_id", [spec]).nodes(spark))
 
 
 @register("L4_grid_search")
@@ -74,7 +85,7 @@ def l4(spark, d):
     lo = _loan_frame(spark, d)
     scores, _ = ML.grid_search(lo, LOAN_FEATURES, "delinquent", "loan_id",
                                {"depth": [3, 6], "rounds": [50, 100, 200], "eta": [0.05],
-                                "pos_weight": [5.0, 10.0, 20.0, 50.0]}, folds=5, parallelism=8)
+                                "pos_weight": [5.0, 10.0, 20.0, 50.0]}, folds=5, **SAMPLING)
     return r6(scores)
 
 
@@ -87,6 +98,16 @@ def l5(spark, d):
     return r6(votes.join(lo.select("loan_id", "delinquent"), "loan_id"))
 
 
+@register("L5_undersampled_ten_to_one")
+def l5w(spark, d):
+    lo = _loan_frame(spark, d)
+    train, test = lo.where(F.col("loan_id") % 4 != 0), lo.where(F.col("loan_id") % 4 == 0)
+    model = ML.undersampled_ensemble(train, LOAN_FEATURES, "delinquent", "loan_id", n_models=1, ratio=10.0,
+                                     depth=5, rounds=100, pos_weight=5.0)
+    votes = ML.ensemble_vote(model, test, "loan_id").join(test.select("loan_id", "delinquent"), "loan_id")
+    return r6(E.binary_scores(votes, "delinquent", "prediction"))
+
+
 @register("L6_tree_nodes")
 def l6(spark, d):
     a = FX.attrition(spark, d).withColumn("left", (F.col("attrition") == "Yes").cast("int"))
@@ -231,9 +252,10 @@ def l8k(spark, d):
 @register("L7_isolation_forest")
 def l7(spark, d):
     from tessera.operators.anomaly import isolation_forest
-    lo = FX.loans(spark, d)
+    lo = _loan_frame(spark, d)
+    share = lo.agg(F.avg("delinquent")).first()[0] or 0.0
     return r6(isolation_forest(lo, ["unpaid_principal_bal"] + [f"m{i}" for i in range(1, 13)], "loan_id",
-                               trees=100, max_samples=256, contamination=0.05))
+                               trees=100, contamination=share, seed=42))
 
 
 @register("L9_one_class_boundary")

@@ -50,6 +50,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     in local mode (tests, laptops) when the session has none: on a cluster the
     executors would each write to their own disk, so there it is an error."""
     sc = spark.sparkContext
+    ship_package(spark)  # whoever asks for the folder may run functions of this package on the executors
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -102,3 +103,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of tables written by ``materialize`` that no later job
+    reads, so that the shared folder holds only what is still needed."""
+    for df in tables:
+        files = df.inputFiles()
+        if files:
+            jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+            path = jvm.org.apache.hadoop.fs.Path(files[0].rsplit("/", 1)[0])
+            path.getFileSystem(conf).delete(path, True)

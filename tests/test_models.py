@@ -48,6 +48,55 @@ def test_isolation_forest_flags_planted_outliers(spark):
     assert all(math.isclose(again[i], out[i]["score"]) for i in out)
 
 
+@pytest.mark.parametrize("max_samples", [None, 16])
+def test_isolation_trees_equal_a_plain_rerun(spark, max_samples):
+    rng = np.random.default_rng(4)
+    x = np.column_stack([rng.normal(size=50).round(1), rng.integers(0, 3, 50), np.full(50, 7.0)]).astype(float)
+    x[3, 0], x[4, 1] = np.nan, np.nan
+    rows = [(i, *[None if np.isnan(v) else float(v) for v in r], i % 10 != 9) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double, ok boolean")
+    heights, nodes, psi = AN.grow_isolation_trees(df, ["a", "b", "c"], "id", trees=5, max_samples=max_samples, seed=3, fits=F.col("ok"))
+    assert psi == (max_samples or 45)
+    got = {(r["tree"], r["node"]): (r["size"], r["feature"], r["threshold"]) for r in nodes.collect()}
+    draws = {(r["tree"], r["node"]): (r["u"], r["v"]) for r in spark.range(1, 130).selectExpr(
+        "id as node", "explode(sequence(0, 4)) as tree").select(
+        "tree", "node", *[c.alias(n) for c, n in zip(AN.isolation_draws(3), "uv")]).collect()}
+    hashes = {(r["id"], r["tree"]): r["h"] for r in df.selectExpr("id", "explode(sequence(0, 4)) as tree").select(
+        "id", "tree", AN.uniform_hash("id", 3, F.col("tree")).alias("h")).collect()}
+    limit, seen, want = math.ceil(math.log2(psi)), {}, np.zeros(50)
+
+    def grow(tree, node, depth, here, fit):
+        inside = x[[i for i in here if i in fit]]
+        lo, hi = np.nanmin(inside, axis=0), np.nanmax(inside, axis=0)
+        usable = [f for f in range(3) if lo[f] < hi[f]] if depth < limit else []
+        if not usable:
+            seen[tree, node] = (len(inside), None, None)
+            for i in here:
+                want[i] += depth + AN.avg_path_length(np.array([len(inside)]))[0]
+            return
+        u, v = draws[tree, node]
+        f = usable[int(u * len(usable))]
+        cut = lo[f] + v * (hi[f] - lo[f])
+        seen[tree, node] = (len(inside), f, cut)
+        left = [i for i in here if x[i, f] <= cut]
+        grow(tree, 2 * node, depth + 1, left, fit)
+        grow(tree, 2 * node + 1, depth + 1, [i for i in here if i not in left], fit)
+
+    for tree in range(5):
+        fit = set(sorted((i for i in range(50) if i % 10 != 9), key=lambda i: (hashes[i, tree], i))[:psi])
+        grow(tree, 1, 0, list(range(50)), fit)
+    assert got.keys() == seen.keys()
+    for k in seen:
+        assert got[k][:2] == seen[k][:2] and (seen[k][2] is None or math.isclose(got[k][2], seen[k][2]))
+    assert all(math.isclose(r["height"], want[r["id"]] / 5) for r in heights.collect())
+
+
+def test_isolation_forest_is_no_grouped_python(spark):
+    df = spark.range(20).selectExpr("id", "cast(id as double) a")
+    plan = AN.isolation_forest(df, ["a"], "id", trees=3)._jdf.queryExecution().toString()
+    assert "InPandas" not in plan and "Python" not in plan
+
+
 def test_avg_path_length():
     assert list(AN.avg_path_length(np.array([1, 2]))) == [0.0, 1.0]
     assert math.isclose(AN.avg_path_length(np.array([256]))[0], 10.244770920116851, rel_tol=1e-9)
