@@ -14,6 +14,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,8 +51,8 @@ def _windows(words: Words, window: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     return first, seed, h[seed]
 
 
-def _stretches(row, window: int, shards: int, scale: Scale) -> Iterator[tuple[int, bytes, bytes]]:
-    """(shard, text, places) of the different stretches of a block whose
+def _stretches(row, window: int, shards: int, scale: Scale) -> dict[int, dict[bytes, list[int]]]:
+    """shard -> text -> places of the different stretches of a block whose
     windows have a recurring seed: windows with one seed in common, or single
     windows where the seed occurs very often."""
     words = find_words(block_texts(row))
@@ -59,8 +60,9 @@ def _stretches(row, window: int, shards: int, scale: Scale) -> Iterator[tuple[in
     fp = scale.cut(h)
     keep = among(fp, listed(row.lists))
     first, seed, h, single = first[keep], seed[keep], h[keep], among(fp[keep], listed(row.often))
+    found: dict[int, dict[bytes, list[int]]] = {}
     if not len(first):
-        return
+        return found
     start = np.ones(len(first), bool)
     start[1:] = (np.diff(seed) != 0) | (np.diff(first) != 1) | single[1:]
     a = np.flatnonzero(start)
@@ -71,15 +73,10 @@ def _stretches(row, window: int, shards: int, scale: Scale) -> Iterator[tuple[in
     size = words.ends - words.starts + 1
     ends = np.cumsum(size)
     text = words.spaced()
-    found: dict[bytes, list[int]] = {}
-    shard: dict[bytes, int] = {}
     for s, x, y, place in zip((key % np.uint64(shards)).tolist(), (ends - size)[first[a]].tolist(),
                               (ends[first[b] + window - 1] - 1).tolist(), first[a].tolist()):
-        t = text[x:y]
-        found.setdefault(t, []).append(place)
-        shard[t] = s
-    for t, places in found.items():
-        yield shard[t], t, np.array(places, np.int32).tobytes()
+        found.setdefault(s, {}).setdefault(text[x:y], []).append(place)
+    return found
 
 
 def _same_windows(x: np.ndarray, first: np.ndarray, window: int) -> np.ndarray:
@@ -171,19 +168,29 @@ def remove_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return h[np.unique(seed, return_index=True)[1]]
 
     def cut(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pack = zstandard.ZstdCompressor(level=1).compress
         for batch in it:
             for row in batch.itertuples():
-                found = list(_stretches(row, window, shards, scale))
-                if found:
-                    yield pd.DataFrame(found, columns=["shard", "text", "places"]).assign(block=row.block)
+                for shard, places in _stretches(row, window, shards, scale).items():
+                    text = b"\n".join(places)
+                    yield pd.DataFrame({"shard": [shard], "size": [len(text)], "texts": [pack(text)], "block": [row.block],
+                                        "copies": [np.array([len(p) for p in places.values()], np.int32).tobytes()],
+                                        "places": [np.array([x for p in places.values() for x in p], np.int32).tobytes()]})
 
     def locate(group: pd.DataFrame) -> pd.DataFrame:
+        unpack = zstandard.ZstdDecompressor().decompress
         at: dict[bytes, int] = {}
-        of = [at.setdefault(t, len(at)) for t in group["text"]]
-        places = [np.frombuffer(p, np.int32).astype(np.int64) for p in group["places"]]
-        ranges = _located(list(at), np.bincount(of, [len(p) for p in places]), window)
-        spans = [np.stack([(p[:, None] + ranges[k][0]).ravel(), (p[:, None] + ranges[k][1]).ravel()]).T.tobytes()
-                 for k, p in zip(of, places)]
+        of, copies, places = [], [], []
+        for row in group.itertuples():
+            of.append([at.setdefault(t, len(at)) for t in unpack(row.texts, max_output_size=row.size).split(b"\n")])
+            copies.append(np.frombuffer(row.copies, np.int32))
+            places.append(np.frombuffer(row.places, np.int32).astype(np.int64))
+        ranges = _located(list(at), np.bincount(np.concatenate(of), np.concatenate(copies)), window)
+        spans = []
+        for texts, n, all_places in zip(of, copies, places):
+            parts = np.split(all_places, np.cumsum(n)[:-1])
+            spans.append(b"".join(np.stack([(p[:, None] + ranges[k][0]).ravel(), (p[:, None] + ranges[k][1]).ravel()]).T
+                                  .astype(np.int32).tobytes() for k, p in zip(texts, parts)))
         out = pd.DataFrame({"block": group["block"], "spans": spans})
         return out[out["spans"].str.len() > 0]
 
@@ -193,7 +200,7 @@ def remove_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 words = find_words(block_texts(row))
                 cover = np.zeros(len(words.starts) + 1, np.int64)
                 if row.spans is not None:
-                    spans = np.frombuffer(b"".join(row.spans), np.int64).reshape(-1, 2)
+                    spans = np.frombuffer(b"".join(row.spans), np.int32).reshape(-1, 2)
                     np.add.at(cover, spans[:, 0], 1)
                     np.add.at(cover, spans[:, 1], -1)
                 keep = np.cumsum(cover[:-1]) == 0
@@ -204,7 +211,8 @@ def remove_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     data = blocks.select("block", "sizes", "data")
     lists = recurring(data, fingerprints, 2, scale, OFTEN)
-    stretches = data.join(lists, "block").mapInPandas(cut, "shard long, text binary, places binary, block long")
+    stretches = data.join(lists, "block").mapInPandas(
+        cut, "shard long, size int, texts binary, block long, copies binary, places binary")
     spans = (stretches.groupBy("shard").applyInPandas(locate, "block long, spans binary")
              .groupBy("block").agg(F.collect_list("spans").alias("spans")))
     out = blocks.join(spans, "block", "left").mapInPandas(
