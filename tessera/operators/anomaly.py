@@ -7,11 +7,11 @@ import math
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.features import _numbered_within, uniform_hash
+from tessera.operators.neighbors import nearest
 from tessera.operators.ordering import exact_quantiles
 from tessera.session import discard, materialize, scratch_path
 
@@ -132,91 +132,38 @@ def isolation_forest(df: DataFrame, features: list[str], id_col: str, trees: int
 
 
 # --- L8 local outlier factor -------------------------------------------------
-def _distance(a, b):
-    return F.sqrt(F.aggregate(
-        F.zip_with(a, b, lambda x, y: (x.cast("double") - y.cast("double")) * (x.cast("double") - y.cast("double"))),
-        F.lit(0.0), lambda acc, v: acc + v))
-
-
-def exact_knn(df: DataFrame, vec_col: str, id_col: str, k: int = 20,
-              block_size: int = 1024) -> DataFrame:
-    """Exact k nearest neighbours (Euclidean, ties by neighbour id) without a
-    cross join and without emitting point pairs as rows.
-
-    Exact neighbours in many dimensions need every distance (on the 64-wide
-    embeddings a projection bound prunes nothing: distances concentrate), so
-    the work is quadratic; the data movement need not be. Points are numbered
-    into blocks of ``block_size``; every point is sent once as a query to
-    each (its block, reference block) group and once as a reference to each
-    (query block, its block) group, generated with ``explode`` (B copies per
-    point, B = number of blocks). Each group holds two blocks, computes their
-    distances in NumPy inside the task and emits only its k best per query
-    point; a final top-k per point (window group limit) merges the B lists.
-    Returns (id, neighbor, distance, rank).
-    """
-    import math as _m
-    from pyspark.sql.types import DoubleType, LongType, StructField, StructType
-    from tessera.operators.ordering import global_row_number
-    pts = df.select(F.col(id_col).cast("long").alias("_id"),
-                    F.transform(vec_col, lambda x: x.cast("double")).alias("_v"))
-    n = pts.count()
-    blocks = max(1, int(_m.ceil(n / block_size)))
-    numbered = global_row_number(pts, [F.col("_id")], out="_rn")
-    numbered = numbered.withColumn("_blk", F.floor((F.col("_rn") - 1) / block_size).cast("int"))
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    q = numbered.select("_id", "_v", F.col("_blk").alias("_qb"), every.alias("_rb"), F.lit(True).alias("_isq"))
-    r = numbered.select("_id", "_v", every.alias("_qb"), F.col("_blk").alias("_rb"), F.lit(False).alias("_isq"))
-
-    def block_pair(pdf: pd.DataFrame) -> pd.DataFrame:
-        qs, rs = pdf[pdf["_isq"]], pdf[~pdf["_isq"]]
-        if qs.empty or rs.empty:
-            return pd.DataFrame({"_id": [], "neighbor": [], "distance": []})
-        a = np.stack(qs["_v"].to_numpy())
-        b = np.stack(rs["_v"].to_numpy())
-        d2 = np.zeros((len(a), len(b)))
-        for c in range(a.shape[1]):  # sum squared differences coordinate by coordinate
-            diff = a[:, c][:, None] - b[:, c][None, :]
-            d2 += diff * diff
-        dist = np.sqrt(d2)
-        qid, rid = qs["_id"].to_numpy(), rs["_id"].to_numpy()
-        dist[qid[:, None] == rid[None, :]] = np.inf
-        out_q, out_n, out_d = [], [], []
-        for row in range(len(a)):
-            order = np.lexsort((rid, dist[row]))[:k]
-            order = order[np.isfinite(dist[row, order])]
-            out_q.append(np.full(len(order), qid[row]))
-            out_n.append(rid[order])
-            out_d.append(dist[row, order])
-        return pd.DataFrame({"_id": np.concatenate(out_q), "neighbor": np.concatenate(out_n),
-                             "distance": np.concatenate(out_d)})
-
-    schema = StructType([StructField("_id", LongType()), StructField("neighbor", LongType()),
-                         StructField("distance", DoubleType())])
-    partial = q.unionByName(r).groupBy("_qb", "_rb").applyInPandas(block_pair, schema)
-    win = Window.partitionBy("_id").orderBy("distance", "neighbor")
-    ranked = partial.withColumn("rank", F.row_number().over(win)).where(F.col("rank") <= k)
-    return ranked.select(F.col("_id").alias(id_col), "neighbor", "distance", "rank")
+def exact_knn(df: DataFrame, vec_col: str, id_col: str, k: int = 20, block_size: int = 1024) -> DataFrame:
+    """Exact k nearest neighbours (see ``neighbors.nearest``): id, neighbor,
+    distance, rank. In many dimensions (the 64-wide embeddings) distances
+    concentrate and nearly every leaf is near: the work is quadratic then,
+    the movement one copy of a point for each leaf it may meet."""
+    return nearest(df, vec_col, id_col, k, block_size=block_size)
 
 
 def local_outlier_factor(df: DataFrame, vec_col: str, id_col: str, k: int = 20,
                          contamination: float | None = None) -> DataFrame:
     """k-distance, reachability density and LOF per point (L8), from the
     exact k-nearest-neighbour table; optional 0/1 flag for the top
-    ``contamination`` share of LOF values."""
-    knn = exact_knn(df, vec_col, id_col, k)
-    kdist = knn.where(F.col("rank") == k).select(F.col(id_col).alias("neighbor"),
-                                                 F.col("distance").alias("_kd"))
+    ``contamination`` share of LOF values. ``k`` is cut to the number of
+    other points. A point without neighbours (no whole vector, or alone)
+    keeps its row, with nulls and flag 0."""
+    knn = materialize(exact_knn(df, vec_col, id_col, k), "knn")
+    last = Window.partitionBy(id_col)
+    kdist = (knn.withColumn("_last", F.max("rank").over(last)).where(F.col("rank") == F.col("_last"))
+             .select(F.col(id_col).alias("neighbor"), F.col("distance").alias("_kd")))
     reach = knn.join(kdist, "neighbor").withColumn("_reach", F.greatest("_kd", "distance"))
     lrd = reach.groupBy(id_col).agg((1.0 / (F.avg("_reach") + 1e-10)).alias("lrd"))
     nb_lrd = knn.join(lrd.select(F.col(id_col).alias("neighbor"), F.col("lrd").alias("_nl")), "neighbor")
     lof = nb_lrd.groupBy(id_col).agg(F.avg("_nl").alias("_m"))
-    out = (lof.join(lrd, id_col).join(kdist.select(F.col("neighbor").alias(id_col),
-                                                   F.col("_kd").alias("k_distance")), id_col)
-           .select(id_col, "k_distance", "lrd", (F.col("_m") / F.col("lrd")).alias("lof")))
+    found = (lof.join(lrd, id_col).join(kdist.select(F.col("neighbor").alias(id_col),
+                                                     F.col("_kd").alias("k_distance")), id_col)
+             .select(id_col, "k_distance", "lrd", (F.col("_m") / F.col("lrd")).alias("lof")))
+    out = df.select(id_col).join(found, id_col, "left")
     if contamination is not None:
+        out = materialize(out, "lof")
         cut = exact_quantiles(out, "lof", [1.0 - contamination], out="_cut")
         out = (out.withColumn("_cut", cut.select("_cut").scalar())
-               .withColumn("outlier", (F.col("lof") > F.col("_cut")).cast("int")).drop("_cut"))
+               .withColumn("outlier", F.coalesce((F.col("lof") > F.col("_cut")).cast("int"), F.lit(0))).drop("_cut"))
     return out
 
 

@@ -123,9 +123,9 @@ def grid_search(df: DataFrame, features: list[str], label: str, id_col: str,
     rounds = sorted(grid.get("rounds", [50]))
     points = [Boosting(depth=d, eta=e, pos_weight=float(w), rounds=rounds[-1], seed=seed, **settings)
               for d in grid.get("depth", [5]) for e in grid.get("eta", [0.05]) for w in grid.get("pos_weight", [1.0])]
-    specs = [p for p in points for _ in range(folds)]
-    uses = [F.col("fold") != k for _ in points for k in range(folds)]
-    holds = [F.col("fold") == k for _ in points for k in range(folds)]
+    specs = [p for p in points for _ in range(folds)] + points  # the last ones learn from all rows
+    uses = [F.col("fold") != k for _ in points for k in range(folds)] + [F.lit(True)] * len(points)
+    holds = [F.col("fold") == k for _ in points for k in range(folds)] + [F.lit(False)] * len(points)
     fitted = fit_boosted(folded, features, label, id_col, specs, uses, holds, tuple(rounds))
 
     def f1(counts: tuple) -> float:
@@ -138,10 +138,8 @@ def grid_search(df: DataFrame, features: list[str], label: str, id_col: str,
             by_fold = [f1(fitted.counts[r].get(p * folds + k, (0, 0, 0))) for k in range(folds)]
             results.append({"depth": point.depth, "rounds": r, "eta": point.eta, "pos_weight": point.pos_weight,
                             "f1": float(np.mean(by_fold))})
-    best = max(results, key=lambda x: x["f1"])
-    spec = Boosting(depth=best["depth"], rounds=best["rounds"], eta=best["eta"], pos_weight=best["pos_weight"],
-                    seed=seed, **settings)
-    model = fit_boosted(df, features, label, id_col, [spec])
+    best = max(range(len(results)), key=lambda k: results[k]["f1"])
+    model = fitted.only(len(points) * folds + best // len(rounds), results[best]["rounds"])
     return spark.createDataFrame(results), model
 
 

@@ -249,6 +249,24 @@ def l8k(spark, d):
     return r6(exact_knn(FX.points(spark, d), "features", "vec_id", k=20)).withColumn("rank", F.col("rank").cast("long"))
 
 
+_LOAN_POINTS = "loan_pts AS (SELECT loan_id AS vec_id, [" + ", ".join(
+    f"CAST({c} AS DOUBLE)" for c in ["unpaid_principal_bal"] + [f"m{i}" for i in range(1, 13)]) + "] AS features, m13 FROM loans)"
+
+
+@register("L8_loan_outliers", W("""
+SELECT k.x AS loan_id, round(kd.kdist, 6) AS k_distance, round(l.lrd, 6) AS lrd, round(avg(ln.lrd) / l.lrd, 6) AS lof,
+  CAST(avg(ln.lrd) / l.lrd > (SELECT quantile_cont(v, 1 - (SELECT avg(CAST(m13 > 0 AS INT)) FROM loans)) FROM (
+    SELECT avg(n2.lrd) / l2.lrd AS v FROM knn k2 JOIN lrd n2 ON n2.x = k2.y JOIN lrd l2 ON l2.x = k2.x GROUP BY k2.x, l2.lrd)) AS INT) AS outlier
+FROM knn k JOIN lrd ln ON ln.x = k.y JOIN lrd l ON l.x = k.x JOIN kd ON kd.x = k.x
+GROUP BY k.x, kd.kdist, l.lrd""", "loans", ctes=[_LOAN_POINTS, _LOF_CTES[0].replace("points", "loan_pts"), *_LOF_CTES[1:]]))
+def l8_loans(spark, d):
+    from tessera.operators.anomaly import local_outlier_factor
+    lo = _loan_frame(spark, d)
+    share = lo.agg(F.avg("delinquent")).first()[0] or 0.0
+    x = F.array(*[F.col(c).cast("double") for c in ["unpaid_principal_bal"] + [f"m{i}" for i in range(1, 13)]])
+    return r6(local_outlier_factor(lo.select("loan_id", x.alias("x")), "x", "loan_id", k=20, contamination=share))
+
+
 @register("L7_isolation_forest")
 def l7(spark, d):
     from tessera.operators.anomaly import isolation_forest

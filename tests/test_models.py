@@ -34,6 +34,51 @@ def test_lof_and_knn_match_bruteforce_with_skewed_cluster(spark):
     assert got[len(x) - 2]["lof"] > 2 and got[len(x) - 1]["lof"] > 2
 
 
+def _brute_neighbors(x, k):
+    d = np.sqrt(sum((x[:, None, c] - x[None, :, c]) ** 2 for c in range(x.shape[1])))
+    np.fill_diagonal(d, np.inf)
+    return [[(j, d[i, j]) for j in np.lexsort((np.arange(len(x)), d[i]))[:k] if np.isfinite(d[i, j])] for i in range(len(x))]
+
+
+@pytest.mark.parametrize("block, dims", [(16, 2), (1024, 2), (40, 13)])
+def test_neighbors_with_many_equal_points_and_leaves(spark, monkeypatch, block, dims):
+    from tessera.operators import neighbors as N
+    monkeypatch.setattr(N, "TILE", 32)  # leaves and query lists of several tiles
+    rng = np.random.default_rng(block)
+    x = np.vstack([np.zeros((90, dims)), rng.integers(0, 3, (80, dims)), rng.normal(size=(100, dims)), rng.normal(size=(30, dims)) * 50])
+    x = x[rng.permutation(len(x))].astype(float)
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "id int, v array<double>").repartition(5)
+    got = {}
+    for r in N.nearest(df, "v", "id", 7, block_size=block).collect():
+        got.setdefault(r["id"], []).append((r["rank"], r["neighbor"], r["distance"]))
+    for i, want in enumerate(_brute_neighbors(x, 7)):
+        have = [(j, d) for _, j, d in sorted(got[i])]
+        assert [j for j, _ in have] == [j for j, _ in want], i
+        assert np.allclose([d for _, d in have], [d for _, d in want], rtol=1e-12)
+
+
+def test_neighbors_prune_leaves(spark):
+    from tessera.operators import neighbors as N
+    rng = np.random.default_rng(3)
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(rng.random((3000, 2)))], "id long, v array<double>")
+    *_, report = N.neighbor_classes(df, "v", "id", 5, block_size=100)
+    assert report["points"] == 3000 and report["leaves"] >= 25
+    assert report["copies"] < 3 * 3000  # of 30 leaves
+
+
+def test_neighbors_of_odd_points(spark):
+    rows = [("a", [0.0, 0.0]), ("b", [1.0, 0.0]), ("c", [0.0, float("nan")]), ("d", None), ("e", []), ("f", [-0.0, 0.0]), (None, [0.0, 0.0])]
+    df = spark.createDataFrame(rows, "id string, v array<double>")
+    out = {r["id"]: r for r in AN.local_outlier_factor(df, "v", "id", k=20, contamination=0.4).collect()}
+    assert set(out) == {"a", "b", "c", "d", "e", "f", None}
+    assert all(out[i]["lof"] is None and out[i]["outlier"] == 0 for i in ("c", "d", "e", None))
+    assert [out[i]["k_distance"] for i in ("a", "b", "f")] == [1.0, 1.0, 1.0]
+    few = spark.createDataFrame([(i, [float(i)]) for i in range(8)], "id long, v array<double>")
+    assert AN.exact_knn(few, "v", "id", 20).count() == 56
+    assert AN.local_outlier_factor(few, "v", "id", k=20).where("lof is not null").count() == 8
+    assert AN.exact_knn(few.limit(0), "v", "id", 3).count() == 0 and AN.exact_knn(few.limit(1), "v", "id", 3).count() == 0
+
+
 def test_isolation_forest_flags_planted_outliers(spark):
     rng = np.random.default_rng(1)
     x = np.vstack([rng.normal(0, 1, size=(400, 2)), [[9, 9], [-9, 8], [10, -10]]])
