@@ -7,9 +7,11 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -106,8 +108,15 @@ class Lexicon:
                 covered.append((start, end))
             elif start not in best or len(e) > len(best[start][0]):
                 best[start] = (e, w)
-        return [(s, e, w) for s, (e, w) in sorted(best.items())
-                if not any(a <= s and s + len(e.rstrip()) - 1 <= b for a, b in covered)]
+        covered.sort()
+        starts = [a for a, _ in covered]
+        reach = list(accumulate((b for _, b in covered), max))  # of the spans up to here, the furthest end
+        out = []
+        for s, (e, w) in sorted(best.items()):
+            k = bisect_right(starts, s)
+            if not k or reach[k - 1] < s + len(e.rstrip()) - 1:
+                out.append((s, e, w))
+        return out
 
     def density(self, folded: str) -> float:
         """Matched weight per 100 words (short texts count as 20 words)."""

@@ -108,3 +108,27 @@ def test_without_labels_or_toxic_rows(spark):
         lex = learn_lexicon(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), F.lit(True))
         (r,) = score_toxicity(docs, lex).collect()
         assert lex.weights == {} and r["predicted"] == 0 and math.isfinite(r["score"])
+
+
+def test_exception_spans_against_all_pairs_and_long_texts():
+    import random
+    import time
+    rng = random.Random(3)
+    weights = {" ab": 1.0, " b ": 2.0, " abc ": 3.0, " c": 4.0}
+    exceptions = {" ab b ", " b c ", " abc b ab ", " c c "}
+    lexicon = Lexicon(weights, exceptions)
+    for _ in range(300):
+        folded = " " + " ".join(rng.choice(["ab", "b", "abc", "c", "abx"]) for _ in range(rng.randrange(1, 15))) + " "
+        covered = [(i, i + len(e) - 1) for e in exceptions for i in range(len(folded)) if folded.startswith(e, i)]
+        best = {}
+        for e, w in weights.items():
+            for i in range(len(folded)):
+                if folded.startswith(e, i) and (i not in best or len(e) > len(best[i][0])):
+                    best[i] = (e, w)
+        want = [(s, e, w) for s, (e, w) in sorted(best.items())
+                if not any(a <= s and s + len(e.rstrip()) - 1 <= b for a, b in covered)]
+        assert lexicon.matches(folded) == want
+    long = " " + "ab b " * 100_000
+    began = time.time()
+    assert lexicon.matches(long) == []
+    assert time.time() - began < 20
