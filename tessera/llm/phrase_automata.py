@@ -171,11 +171,14 @@ def remove_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         pack = zstandard.ZstdCompressor(level=1).compress
         for batch in it:
             for row in batch.itertuples():
+                rows = []
                 for shard, places in _stretches(row, window, shards, scale).items():
                     text = b"\n".join(places)
-                    yield pd.DataFrame({"shard": [shard], "size": [len(text)], "texts": [pack(text)], "block": [row.block],
-                                        "copies": [np.array([len(p) for p in places.values()], np.int32).tobytes()],
-                                        "places": [np.array([x for p in places.values() for x in p], np.int32).tobytes()]})
+                    rows.append((shard, len(text), pack(text), row.block,
+                                 np.array([len(p) for p in places.values()], np.int32).tobytes(),
+                                 np.array([x for p in places.values() for x in p], np.int32).tobytes()))
+                if rows:
+                    yield pd.DataFrame(rows, columns=["shard", "size", "texts", "block", "copies", "places"])
 
     def locate(group: pd.DataFrame) -> pd.DataFrame:
         unpack = zstandard.ZstdDecompressor().decompress
