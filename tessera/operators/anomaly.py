@@ -4,6 +4,7 @@ one-class RBF boundary (L9)."""
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from tessera.operators.features import _numbered_within, uniform_hash
 from tessera.operators.neighbors import nearest
 from tessera.operators.ordering import exact_quantiles
-from tessera.session import discard, materialize, scratch_path
+from tessera.session import cut_lineage, discard, materialize, scratch_path
 
 EULER_GAMMA = 0.5772156649015329
 
@@ -168,63 +169,115 @@ def local_outlier_factor(df: DataFrame, vec_col: str, id_col: str, k: int = 20,
 
 
 # --- L9 one-class boundary ------------------------------------------------------
-def one_class_boundary(train: DataFrame, score: DataFrame, features: list[str], nu: float = 0.5,
-                       gamma: float = 0.1, n_components: int = 100, steps: int = 100,
-                       lr: float = 0.5, seed: int = 0, id_col: str = "id") -> DataFrame:
-    """One-class boundary with an RBF kernel (L9), learned on normal rows:
-    random Fourier features z(x) approximate the kernel, and the linear
-    one-class objective 1/2 |w|^2 + 1/(nu n) sum max(0, rho - w.z) - rho is
-    minimised by full-batch subgradient steps on w, one distributed
-    aggregation each, with rho held at the nu-quantile of the training
-    margins (the feature table is checkpointed once). Verdict +1 inside, -1
-    outside, as scikit-learn reports it."""
-    from pyspark.ml.functions import array_to_vector
-    from pyspark.ml.stat import Summarizer
-    from tessera.session import cut_lineage
-    rng = np.random.default_rng(seed)
-    d = len(features)
-    W = rng.normal(scale=math.sqrt(2 * gamma), size=(n_components, d))
-    b = rng.uniform(0, 2 * math.pi, size=n_components)
-    scale = math.sqrt(2.0 / n_components)
+def least_norm(atoms: np.ndarray, rounds: int = 20_000) -> np.ndarray:
+    """Weights (non-negative, sum 1) of the point of least norm in the hull
+    of the atoms: pairwise steps until no exchange of weight helps."""
+    g = atoms @ atoms.T
+    x = np.zeros(len(atoms))
+    x[int(np.argmin(np.diag(g)))] = 1.0
+    slope = g @ x
+    for _ in range(rounds):
+        i = int(np.argmin(slope))
+        j = int(np.argmax(np.where(x > 0, slope, -np.inf)))
+        if slope[j] - slope[i] <= 1e-13 * abs(g).max():
+            break
+        step = min(x[j], (slope[j] - slope[i]) / max(g[i, i] + g[j, j] - 2 * g[i, j], 1e-300))
+        x[i] += step
+        x[j] -= step
+        slope += step * (g[i] - g[j])
+    return x
+
 
-    def rff(frame: DataFrame) -> DataFrame:
+@dataclass
+class OneClass:
+    """A fitted boundary: random features cos(x W' + b), weights, offset, the
+    relative duality gap that was reached and the passes it took."""
+
+    features: list[str]
+    W: np.ndarray
+    b: np.ndarray
+    w: np.ndarray
+    rho: float
+    gap: float
+    passes: int
+
+    def embed(self, df: DataFrame) -> DataFrame:
+        """``df`` with the random features as the array ``_z``."""
+        scale = math.sqrt(2.0 / len(self.b))
         comps = []
-        for j in range(n_components):
-            dot = F.lit(float(b[j]))
-            for i, c in enumerate(features):
-                dot = dot + F.col(c).cast("double") * float(W[j, i])
+        for j in range(len(self.b)):
+            dot = F.lit(float(self.b[j]))
+            for i, c in enumerate(self.features):
+                dot = dot + F.col(c).cast("double") * float(self.W[j, i])
             comps.append(F.cos(dot) * scale)
-        return frame.withColumn("_z", F.array(*comps))
+        return df.withColumn("_z", F.array(*comps))
+
+    def margin(self) -> Column:
+        return F.aggregate(F.zip_with("_z", F.array(*[F.lit(float(x)) for x in self.w]), lambda a, c: a * c),
+                           F.lit(0.0), lambda acc, v: acc + v)
+
+    def score(self, df: DataFrame) -> DataFrame:
+        """``df`` with decision, verdict (+1 inside, -1 outside) and gap."""
+        return (self.embed(df).withColumn("decision", self.margin() - F.lit(self.rho))
+                .withColumn("verdict", F.when(F.col("decision") >= 0, 1).otherwise(-1)).drop("_z")
+                .withColumn("gap", F.lit(self.gap)))
 
-    z = cut_lineage(rff(train.select(*features)).select("_z"))
+
+def fit_one_class(train: DataFrame, features: list[str], nu: float = 0.5, gamma: float = 0.1,
+                  n_components: int = 100, tolerance: float = 1e-3, passes: int = 100, seed: int = 0) -> OneClass:
+    """One-class boundary with an RBF kernel, approximated by random Fourier
+    features: minimises |w|^2 / 2 - rho + sum max(0, rho - w.z) / (nu n).
+
+    Its dual is the point of least norm in the hull of all weighted means of
+    rows with weights up to 1 / (nu n). Each round sends w to the rows; the
+    mean of the nu n rows with the smallest margins is a new corner of that
+    hull, and the next w is the point of least norm among the corners so far (a
+    problem of a few dozen vectors). The corner also bounds the optimum from
+    below, so the search ends at a stated relative duality gap. A round is two
+    aggregations: the margins around the nu-quantile, then sums on both sides
+    of them; rows between them share the rest of the weight.
+    """
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Summarizer
+    rng = np.random.default_rng(seed)
+    W = rng.normal(scale=math.sqrt(2 * gamma), size=(n_components, len(features)))
+    model = OneClass(list(features), W, rng.uniform(0, 2 * math.pi, size=n_components), np.zeros(n_components), 0.0, math.inf, 0)
+    z = cut_lineage(model.embed(train.select(*features)).select("_z").where(F.forall("_z", lambda x: x.isNotNull() & ~F.isnan(x))))
     n = z.count()
-    # start from the mean embedding; rho is kept at the nu-quantile of the
-    # margins (at the optimum a share nu of the training rows lies outside)
-    first = z.select(Summarizer.metrics("mean").summary(array_to_vector("_z")).alias("s")).first()["s"]
-    w = np.asarray(first["mean"].toArray()) / nu
+    if not n:
+        raise ValueError("no row to learn from")
+    target = nu * n
+    mean = z.select(Summarizer.metrics("mean").summary(array_to_vector("_z")).alias("s")).first()["s"]["mean"]
+    atoms = np.asarray(mean.toArray())[None, :]
+    accuracy = 10_000
+    for k in range(passes):
+        model.w = least_norm(atoms) @ atoms
+        model.passes = k + 1
+        m = z.withColumn("_m", model.margin())
+        shares = [max(0.0, nu - 2.0 / accuracy), min(1.0, nu + 2.0 / accuracy)]
+        low, high = m.select(F.percentile_approx("_m", shares, accuracy)).first()[0]
+        part = F.when(F.col("_m") < low, 0).when(F.col("_m") <= high, 1).otherwise(2)
+        rows = {r["part"]: r for r in m.where(F.col("_m") <= high).groupBy(part.alias("part")).agg(
+            F.count("*").alias("n"), F.sum("_m").alias("m"),
+            Summarizer.metrics("sum").summary(array_to_vector("_z")).alias("s")).collect()}
+        n_low, sum_low = (rows[0]["n"], rows[0]["m"]) if 0 in rows else (0, 0.0)
+        share = (target - n_low) / max(rows[1]["n"], 1) if 1 in rows else math.inf
+        if not 0 <= share <= 1:  # the quantile estimate was off: the mean of all rows is a corner as well
+            break
+        corner = sum(np.asarray(rows[p]["s"]["sum"].toArray()) * weight for p, weight in ((0, 1.0), (1, share)) if p in rows)
+        norm = float(model.w @ model.w)
+        least = (sum_low + (target - n_low) * low) / target  # no nu n rows have a smaller mean margin
+        model.gap = (norm - least) / max(norm, 1e-300)
+        model.rho = float(low)
+        if model.gap <= tolerance:
+            break
+        atoms = np.vstack([atoms, corner / target])
+    return model
 
-    def margin_of(wv):
-        return F.aggregate(F.zip_with("_z", F.array(*[F.lit(float(x)) for x in wv]), lambda a, c: a * c),
-                           F.lit(0.0), lambda acc, v: acc + v)
 
-    rho = float(z.select(F.percentile_approx(margin_of(w), nu, 10000)).first()[0])
-    for step in range(steps):
-        # one pass per step: the violators under the current rho give the
-        # subgradient for w, and the same pass yields the next rho
-        m = z.withColumn("_m", margin_of(w)).withColumn("_viol", (F.col("_m") < rho).cast("double"))
-        masked = array_to_vector(F.transform("_z", lambda x: x * F.col("_viol")))
-        s = m.select(Summarizer.metrics("sum").summary(masked).alias("s"),
-                     F.sum("_viol").alias("n_viol"),
-                     F.percentile_approx("_m", nu, 10000).alias("rho")).first()
-        n_viol = float(s["n_viol"] or 0.0)
-        sum_z = np.asarray(s["s"]["sum"].toArray()) if n_viol > 0 else np.zeros(n_components)
-        eta = lr / math.sqrt(step + 1)
-        w = w - eta * (w - sum_z / (nu * n))
-        rho = float(s["rho"])
-    rho = float(z.select(F.percentile_approx(margin_of(w), nu, 10000)).first()[0])
-    margin = margin_of(w)
-    scored = rff(score)
-    margin = F.aggregate(F.zip_with("_z", F.array(*[F.lit(float(x)) for x in w]), lambda a, c: a * c),
-                         F.lit(0.0), lambda acc, v: acc + v)
-    return (scored.withColumn("decision", margin - F.lit(rho))
-            .withColumn("verdict", F.when(F.col("decision") >= 0, 1).otherwise(-1)).drop("_z"))
+def one_class_boundary(train: DataFrame, score: DataFrame, features: list[str], nu: float = 0.5,
+                       gamma: float = 0.1, **options) -> DataFrame:
+    """``score`` with decision, verdict (+1 inside, -1 outside, as scikit-learn
+    reports it) and the fit's duality gap (L9), see ``fit_one_class``. A row
+    with a null feature gets a null decision and verdict -1."""
+    return fit_one_class(train, features, nu, gamma, **options).score(score)

@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.ordering import _attach_scalars, global_row_number, join_keys
+from tessera.operators.ordering import _attach_scalars, global_row_number, segmented_scan
 
 _TWO63 = float(2 ** 63)
 
@@ -127,11 +127,8 @@ def split_parts(df: DataFrame, weights: list[float], seed: int, id_col: str) ->
 def _numbered_within(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """Row number (from 1) and size of each key group, from one distributed
     sort; columns ``_pos`` and ``_gsize``."""
-    numbered = global_row_number(df, [*[F.col(k) for k in keys], *order], out="_grn")
-    groups = numbered.groupBy(*keys).agg(F.min("_grn").alias("_gfirst"),
-                                         F.count(F.lit(1)).alias("_gsize"))
-    j = join_keys(numbered, groups, keys) if keys else _attach_scalars(numbered, groups)
-    return j.withColumn("_pos", F.col("_grn") - F.col("_gfirst") + 1).drop("_grn", "_gfirst")
+    scanned = segmented_scan(df, keys, order)
+    return scanned.select(*df.columns, (F.col("_before") + 1).alias("_pos"), F.col("_total").alias("_gsize"))
 
 
 def stratified_split(df: DataFrame, label: str, fraction: float, seed: int, id_col: str,

@@ -22,6 +22,7 @@ from tessera.functions import scalars as S
 from tessera.operators import features as FE
 from tessera.operators.boosting import BoostedModels, Boosting, fit_boosted
 from tessera.operators.metrics import mean_percentile_rank, rmse
+from tessera.operators.topitems import top_items
 from tessera.session import ensure_checkpoint_dir, scratch_path
 
 
@@ -319,10 +320,11 @@ def als_tune(indexed: DataFrame, ranks=(25, 50, 100), regs=(0.1, 0.01, 0.001), s
 
 def recommend_top(model, uidx: DataFrame, iidx: DataFrame, k: int = 100,
                   entity_type: str | None = None, keep_rank: bool = True) -> DataFrame:
-    """Best k items per user with affinity, in original ids (L14); struct
-    fields are split with ``inline`` (no Python UDF)."""
-    recs = model.recommendForAllUsers(k).select("user_id_no", F.inline("recommendations"))
-    recs = recs.withColumnRenamed("rating", "affinity")
+    """Best k items per user with affinity, in original ids (L14), from an
+    exact search that skips blocks of items by their norms (``topitems``)."""
+    recs, _ = top_items(model.userFactors, model.itemFactors, k)
+    recs = recs.select(F.col("user").cast("int").alias("user_id_no"), F.col("item").cast("int").alias("item_id_no"),
+                       F.col("score").cast("float").alias("affinity"))
     out = recs.join(uidx, "user_id_no").join(iidx, "item_id_no")
     if keep_rank:
         from pyspark.sql import Window

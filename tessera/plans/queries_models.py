@@ -152,6 +152,40 @@ def l14(spark, d):
     return r6(ML.recommend_top(model, uidx, iidx, k=100, entity_type="stock_code"))
 
 
+@register("L14_search_report")
+def l14r(spark, d):
+    from tessera.operators.topitems import top_items
+    r, _, _ = _indexed_ratings(spark, d)
+    model = ML.als_fit(r, rank=25, reg=0.1)
+    found, report = top_items(model.userFactors, model.itemFactors, 100, block=128)
+    skipped = 1 - report["visited"] / max(report["pairs"], 1)
+    return found.agg(F.count("*").alias("n_rows"), F.count_distinct("user").alias("n_users")).withColumns(
+        {c: F.lit(report[c]) for c in ("items", "blocks")}).withColumn("skipped_share", F.lit(round(skipped, 4)))
+
+
+@register("P12_model_rules")
+def p12_model(spark, d):
+    """The notebook's rules on top of the isolation forest's verdict, over
+    the loans that did not grow it: F1 of each against the outcome."""
+    from tessera.functions.scalars import LOAN_RULES, rule_with_model
+    from tessera.operators.anomaly import isolation_forest
+    lo = _loan_frame(spark, d)
+    train = F.col("loan_id") % 4 != 0
+    share = lo.where(train).agg(F.avg("delinquent")).first()[0] or 0.0
+    verdict = isolation_forest(lo, ["unpaid_principal_bal"] + [f"m{i}" for i in range(1, 13)], "loan_id", trees=50,
+                               contamination=share, seed=42, fits=train)
+    seen = lo.where(~train).join(verdict.select("loan_id", F.col("outlier").alias("model")), "loan_id")
+    rules = {"model": F.col("model"), "m12_positive": LOAN_RULES["m12_positive"](),
+             "m12_or_model": rule_with_model("model", "m12_or_model"),
+             "model_vetoes_single": rule_with_model("model", "model_vetoes_single"),
+             "quiet_m12_heavy_history": LOAN_RULES["quiet_m12_heavy_history"]()}
+    flagged = seen.select("delinquent", F.explode(F.array(*[F.struct(F.lit(k).alias("rule"), v.cast("int").alias("flag"))
+                                                           for k, v in rules.items()])).alias("r")).select("delinquent", "r.*")
+    tp, fp, fn = (F.count_if((F.col("flag") == a) & (F.col("delinquent") == b)) for a, b in ((1, 1), (1, 0), (0, 1)))
+    return r6(flagged.groupBy("rule").agg(tp.alias("tp"), fp.alias("fp"), fn.alias("fn"),
+                                          F.coalesce(F.try_divide(2 * tp, 2 * tp + fp + fn), F.lit(0.0)).alias("f1")))
+
+
 @register("L15_export_factors")
 def l15(spark, d):
     r, uidx, iidx = _indexed_ratings(spark, d)
@@ -191,10 +225,12 @@ def q7(spark, d):
     r = FX.ratings(spark, d)
     IO.write_text_lines(r.select(F.concat_ws(",", "user_id", "item_id", F.col("rating").cast("string"))), src)
     out = scratch_path(spark, "q7-out")
-    affinity_job(spark, src, f"{out}/recs", f"{out}/users", f"{out}/items", cutoff=5,
-                 entity_type="stock_code", k=100)
-    return IO.scan_csv(spark, f"{out}/recs", schema="user_id string, entity_type string, item_id string, affinity double",
+    scores = affinity_job(spark, src, f"{out}/recs", f"{out}/users", f"{out}/items", cutoff=5,
+                          entity_type="stock_code", k=100)
+    recs = IO.scan_csv(spark, f"{out}/recs", schema="user_id string, entity_type string, item_id string, affinity double",
                        header=False)
+    best = scores.where("chosen").first()
+    return recs.withColumns({c: F.lit(best[c]) for c in ("rank", "reg", "test_rmse", "test_mpr")})
 
 
 @register("L17_adf_test")
@@ -286,9 +322,8 @@ def l9(spark, d):
     train, allrows = standardize(normal, [lo], feats)
     out = None
     for g in (0.01, 0.1, 1.0):
-        v = one_class_boundary(train, allrows.select("loan_id", "delinquent", *feats), feats, nu=0.05,
-                               gamma=g, steps=100, id_col="loan_id")
-        v = v.select("loan_id", "delinquent", F.lit(g).alias("gamma"), "verdict")
+        v = one_class_boundary(train, allrows.select("loan_id", "delinquent", *feats), feats, nu=0.05, gamma=g)
+        v = v.select("loan_id", "delinquent", F.lit(g).alias("gamma"), "verdict", (F.col("gap") <= 1e-3).alias("converged"))
         out = v if out is None else out.unionByName(v)
     return out
 

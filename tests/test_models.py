@@ -251,3 +251,81 @@ def test_registered_search_and_ensemble_have_the_notebooks_settings(monkeypatch)
                        "pos_weight": [5.0, 10.0, 20.0, 50.0]} and options["folds"] == 5
     options = seen["L5"][1]
     assert (options["n_models"], options["depth"], options["rounds"], options["ratio"]) == (20, 5, 100, 1.0)
+
+
+def test_one_class_reaches_its_gap(spark):
+    rng = np.random.default_rng(11)
+    x = np.vstack([rng.normal(size=(280, 2)), rng.normal(size=(20, 2)) * 4])
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(x)], "id long, a double, b double")
+    nu = 0.1
+    fit = AN.fit_one_class(df, ["a", "b"], nu=nu, gamma=0.5, n_components=40, tolerance=1e-3)
+    assert fit.gap <= 1e-3 and fit.passes < 80
+    z = np.cos(x @ fit.W.T + fit.b) * math.sqrt(2 / 40)
+
+    def objective(w):
+        lowest = np.sort(z @ w)[:int(nu * len(z))]
+        return w @ w / 2 - lowest.mean()
+
+    w = z.mean(axis=0)  # plain conditional gradient, many steps
+    for t in range(20_000):
+        corner = z[np.argsort(z @ w)[:int(nu * len(z))]].mean(axis=0)
+        d = corner - w
+        step = min(1.0, max(0.0, -(w @ d) / max(d @ d, 1e-300)))
+        w = w + step * d
+    assert objective(fit.w) <= objective(w) + 2e-3 * (w @ w)
+    out = {r["id"]: r["verdict"] for r in fit.score(df).collect()}
+    assert 0.07 <= np.mean([v == -1 for v in out.values()]) <= 0.13
+    assert np.mean([out[i] for i in range(280, 300)]) < 0
+
+
+def test_least_norm_of_a_hull():
+    assert np.allclose(AN.least_norm(np.array([[1.0, 1.0], [1.0, -1.0], [5.0, 0.0]])), [0.5, 0.5, 0.0])
+    rng = np.random.default_rng(12)
+    a = rng.normal(size=(12, 5)) + 1
+    v = AN.least_norm(a) @ a
+    assert (a @ v >= v @ v - 1e-9).all()
+
+
+@pytest.mark.parametrize("k, block", [(3, 4), (10, 4), (5, 1000), (60, 8)])
+def test_top_items_equal_all_scores(spark, monkeypatch, k, block):
+    from tessera.operators import topitems as T
+    monkeypatch.setattr(T, "TILE", 16)
+    rng = np.random.default_rng(block)
+    u, v = rng.gamma(1.0, size=(70, 4)), rng.gamma(1.0, size=(50, 4)) * rng.choice([0.1, 1.0, 5.0], size=(50, 1))
+    v[7] = v[3]
+    v[9] = 0.0
+    make = lambda m: spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(m)], "id int, features array<float>")
+    found, report = T.top_items(make(u), make(v), k, block)
+    u, v = u.astype(np.float32).astype(float), v.astype(np.float32).astype(float)
+    got = {}
+    for r in found.collect():
+        got.setdefault(r["user"], []).append((r["rank"], r["item"]))
+    for i in range(70):
+        want = np.lexsort((np.arange(50), -(u[i] @ v.T)))[:k]
+        assert [j for _, j in sorted(got[i])] == want.tolist()
+    assert report["pairs"] == 70 * -(-50 // block)
+    if (k, block) == (3, 4):
+        assert report["visited"] < report["pairs"] / 2
+    assert T.top_items(make(u).limit(0), make(v), 3)[0].count() == 0
+
+
+def test_top_items_equal_sparks_recommendations(spark):
+    rng = np.random.default_rng(13)
+    rows = [(int(a), int(b), float(c)) for a, b, c in zip(rng.integers(0, 40, 500), rng.integers(0, 60, 500), rng.integers(1, 9, 500))]
+    model = ML.als_fit(spark.createDataFrame(rows, "user_id_no int, item_id_no int, rating double"), rank=4, max_iter=3)
+    from tessera.operators.topitems import top_items
+    want = {(r["user_id_no"], r["item_id_no"]): r["rating"] for r in model.recommendForAllUsers(6).selectExpr(
+        "user_id_no", "inline(recommendations)").collect()}
+    got = {(r["user"], r["item"]): r["score"] for r in top_items(model.userFactors, model.itemFactors, 6, block=8)[0].collect()}
+    assert len(got) == len(want) and len(got.keys() & want.keys()) >= 0.98 * len(want)  # single precision may swap near ties
+    assert all(math.isclose(got[x], want[x], rel_tol=1e-4, abs_tol=1e-6) for x in got.keys() & want.keys())
+
+
+def test_rules_with_a_models_verdict(spark):
+    from tessera.functions.scalars import rule_with_model
+    rows = [(m12, p) for m12 in (0, 1, 2) for p in (0, 1)]
+    df = spark.createDataFrame(rows, "m12 int, pred int").select(
+        "m12", "pred", rule_with_model("pred", "m12_or_model").alias("a"), rule_with_model("pred", "model_vetoes_single").alias("b"))
+    for r in df.collect():
+        assert r["a"] == int(r["m12"] > 0 or r["pred"] > 0)
+        assert r["b"] == (0 if r["m12"] == 1 and r["pred"] == 0 else int(bool(r["m12"])))
