@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import random
 from functools import reduce
-from operator import and_
+from operator import add, and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,10 +19,8 @@ from tessera.session import materialize
 from .common import discard
 from .components import connected_components
 
-# A line's shingles: all its windows of 5 characters; a shorter line is its
-# only one. The same set as a pattern (first group) and, below, as hashes.
+# A line's shingles: all its windows of 5 characters; a shorter line is its only one.
 SIZE = 5
-SHINGLES = rf"(?s)(?=(.{{{SIZE}}}|^.{{1,{SIZE - 1}}}(?!.)))."
 _LINE = "\n"
 
 
@@ -59,62 +57,74 @@ def _keyed(lines: DataFrame) -> DataFrame:
 
 
 def _least(gram: Column, n: int, seed: int) -> list[Column]:
-    """The minhashes m0 ... of a group's shingle hashes: a hash function of its
-    own for each (xor with a constant would keep the hashes' common prefixes
-    together, and the minhashes of a pair would depend on each other)."""
+    """The minhashes m0 ... of a group's shingle hashes: each orders their
+    upper 31 bits by the product with an odd number of its own, modulo 2^31
+    (xor with a constant would keep the hashes' common prefixes together, and
+    the minhashes of a pair would depend on each other)."""
     rng = random.Random(seed)
-    return [F.min(F.xxhash64(F.lit(rng.getrandbits(63)), gram)).alias(f"m{k}") for k in range(n)]
+    x, low = F.shiftrightunsigned(gram, 33), F.lit((1 << 31) - 1)
+    return [F.min((x * F.lit(rng.getrandbits(31) | 1)).bitwiseAND(low)).alias(f"m{k}") for k in range(n)]
 
 
 def _bands(bands: int, rows: int) -> list[Column]:
     return [F.xxhash64(F.lit(b), *[F.col(f"m{b * rows + r}") for r in range(rows)]) for b in range(bands)]
 
 
+#: Words of 64 bits in a line's bitmap of shingles.
+BITMAP = 8
+
+
+def _bitmap(gram: Column) -> list[Column]:
+    """The bits of a group's shingles, from the lower half of their hashes."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), gram.bitwiseAND(F.lit(63)).cast("int"))
+    word = F.shiftrightunsigned(gram, 6).bitwiseAND(F.lit(BITMAP - 1))
+    return [F.bit_or(F.when(word == k, bit).otherwise(F.lit(0).cast("long"))).alias(f"b{k}") for k in range(BITMAP)]
+
+
+def _may_be_similar(similarity: float) -> Column:
+    """Whether two lines (b0 ... and size; c0 ... and size_b) can be similar:
+    each bit in which they differ needs a shingle that only one of them has,
+    and similar lines have few of those. Never false for similar lines."""
+    differ = reduce(add, [F.bit_count(F.col(f"b{k}").bitwiseXOR(F.col(f"c{k}"))) for k in range(BITMAP)])
+    return differ <= (1 - similarity) / (1 + similarity) * (F.col("size") + F.col("size_b")) + 1e-9
+
+
 def line_components(docs: DataFrame, id_col: str, text_col: str, similarity: float = 0.8,
-                    bands: int = 6, rows: int = 3, seed: int = 9, broadcast_rows: int = 1_000_000) -> DataFrame:
+                    bands: int = 6, rows: int = 3, seed: int = 9) -> DataFrame:
     """h1, h2 (key of a line's normal form), r1, r2 (smallest key of its
     component), first_id (smallest id of a document with a line of the
     component): for every normal form that occurs more than once or is similar
     to another one."""
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    wide = _keyed(_lines(src)).select("id", "h1", "h2", F.encode("norm", "UTF-32").alias("wide"))
-    grams = (wide.select("id", "h1", "h2", "wide", F.explode(_places(F.col("wide"))).alias("at"))
-             .select("id", "h1", "h2", (F.col("at") == 0).cast("long").alias("one"), _gram(F.col("wide"), F.col("at")).alias("g")))
-    signed = grams.groupBy("h1", "h2").agg(F.sum("one").alias("copies"), F.min("id").alias("first_id"),
-                                         *_least(F.col("g"), bands * rows, seed))
-    keys = materialize(signed.select("h1", "h2", "copies", "first_id", F.array(*_bands(bands, rows)).alias("bands")), "lines")
-
-    members = keys.select(F.explode("bands").alias("bucket"), "h1", "h2")
-    shared = (members.groupBy("bucket").agg(F.min("h1").alias("low"), F.max("h1").alias("high"))
-              .where("low <> high").select("bucket", "low"))
-    members = materialize(members.join(shared, "bucket"), "buckets")  # only buckets with two lines or more
-    # shingles of the lines that have candidates
-    wanted = members.select("h1", "h2").distinct().join(keys.select("h1", "h2", "first_id"), ["h1", "h2"])
-    wanted = materialize(wanted, "wanted")
-    ids = wanted.select(F.col("first_id").alias("wanted_id")).distinct()
-    if ids.count() <= broadcast_rows:  # 8 MB of ids; beyond that the documents are shuffled
-        ids = F.broadcast(ids)
-    some = src.join(ids, F.col("id").eqNullSafe(F.col("wanted_id")), "left_semi")
-    texts = _keyed(_lines(some)).join(wanted, ["h1", "h2"]).where(F.col("id").eqNullSafe(F.col("first_id")))
+    # every different line once, with its text
+    lines = (_keyed(_lines(src)).groupBy("h1", "h2")
+             .agg(F.count("*").alias("copies"), F.min("id").alias("first_id"), F.first("norm").alias("norm")))
+    lines = materialize(lines, "lines")
+    wide = lines.select("h1", "h2", F.encode("norm", "UTF-32").alias("wide"))
+    grams = (wide.select("h1", "h2", "wide", F.explode(_places(F.col("wide"))).alias("at"))
+             .select("h1", "h2", _gram(F.col("wide"), F.col("at")).alias("g")))
+    signed = grams.groupBy("h1", "h2").agg(F.count("*").alias("size"), *_bitmap(F.col("g")), *_least(F.col("g"), bands * rows, seed))
     key = F.struct("h1", "h2")
-    texts = (texts.groupBy("h1", "h2").agg(F.first("norm").alias("norm"))
-             .select(key.alias("line"), "norm", F.size(shingles(F.col("norm"))).alias("n")))
-    texts = materialize(texts, "texts")
-    held = materialize(members.withColumn("line", key).join(texts.select("line", "n"), "line").select(
-        "bucket", F.col("line").alias("a"), (F.col("h1") == F.col("low")).alias("first"), "n"), "held")
-    discard(members, wanted)
+    bits = [f"b{k}" for k in range(BITMAP)]
+    members = signed.select(F.explode(F.array(*_bands(bands, rows))).alias("bucket"), key.alias("a"), "size", *bits)
+    members = materialize(members, "members")
+    shared = (members.groupBy("bucket").agg(F.min("a").alias("low"), F.max("a").alias("high"))
+              .where("low <> high").select("bucket", "low"))  # buckets with two lines or more
+    held = materialize(members.join(shared, "bucket").withColumn("first", F.col("a") == F.col("low")).drop("low"), "held")
+    discard(members)
 
     def similar_pairs(left: DataFrame, right: DataFrame, *more: Column) -> DataFrame:
-        """Pairs (a, b) of lines in one bucket that are similar enough; the
-        sizes bound the similarity before the sets are compared, once a pair."""
-        names = {"a": "b", "n": "n_b", "root": "root_b"}
+        """Pairs (a, b) of lines in one bucket that are similar enough: the
+        bitmaps rule out most before their texts are read, then all shingles
+        of the others are compared, once a pair."""
+        names = {"a": "b", "size": "size_b", "root": "root_b", **{f"b{k}": f"c{k}" for k in range(BITMAP)}}
         right = right.select("bucket", *[F.col(c).alias(names[c]) for c in names if c in right.columns])
-        pairs = (left.join(right, "bucket").where(F.least("n", "n_b") >= similarity * F.greatest("n", "n_b") - 1e-9)
-                 .where(reduce(and_, more, F.lit(True))).select("a", "b", (F.col("n") + F.col("n_b")).alias("sum")).distinct())
-        x = texts.select(F.col("line").alias("a"), F.col("norm").alias("x"))
-        y = texts.select(F.col("line").alias("b"), F.col("norm").alias("y"))
-        both = F.size(F.array_intersect(shingles(F.col("x")), shingles(F.col("y"))))
-        return (pairs.join(x, "a").join(y, "b").select("a", "b", "sum", both.alias("both"))
+        pairs = (left.join(right, "bucket").where(reduce(and_, more, _may_be_similar(similarity)))
+                 .select("a", "b").distinct())
+        x, y = (lines.select(key.alias(side), F.col("norm").alias(name)) for side, name in (("a", "x"), ("b", "y")))
+        sets = pairs.join(x, "a").join(y, "b").select("a", "b", shingles(F.col("x")).alias("x"), shingles(F.col("y")).alias("y"))
+        both = F.size(F.array_intersect("x", "y"))
+        return (sets.select("a", "b", both.alias("both"), (F.size("x") + F.size("y")).alias("sum"))
                 .where(F.col("both") >= similarity * (F.col("sum") - F.col("both")) - 1e-9).select("a", "b"))
 
     # first the bucket's smallest line with each other one ...
@@ -122,36 +132,35 @@ def line_components(docs: DataFrame, id_col: str, text_col: str, similarity: flo
     roots = materialize(connected_components(star), "roots")
     # ... then, in buckets that still hold several components, lines of different ones
     placed = held.join(roots, F.col("a") == F.col("node"), "left").withColumn("root", F.coalesce("root", "a")).drop("node")
-    several = (placed.select("bucket", "root").distinct().groupBy("bucket").agg(F.count("*").alias("n_roots"))
-               .where("n_roots > 1").select("bucket"))
-    open_ = materialize(placed.join(several, "bucket"), "open")
-    discard(held)
-    # the smallest lines are compared already
-    cross = similar_pairs(open_.where("not first"), open_.where("not first"), F.col("a") < F.col("b"),
-                          F.col("root") != F.col("root_b"))
+    several = (placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+               .where("low <> high").select("bucket"))
+    open_ = materialize(placed.join(several, "bucket").where("not first").drop("first"), "open")  # the first ones are compared already
+    cross = similar_pairs(open_, open_, F.col("a") < F.col("b"), F.col("root") != F.col("root_b"))
     cross = materialize(cross, "cross")
-    discard(open_, texts)
     comps = connected_components(star.unionByName(cross))
-    marked = (keys.select(key.alias("node"), "copies", "first_id").join(comps, "node", "left")
+    marked = (lines.select(key.alias("node"), "copies", "first_id").join(comps, "node", "left")
               .where(F.col("root").isNotNull() | (F.col("copies") > 1)).withColumn("root", F.coalesce("root", "node")))
     first = marked.groupBy("root").agg(F.min("first_id").alias("first_id"))
-    return (marked.select("node", "root").join(first, "root")
-            .select("node.h1", "node.h2", F.col("root.h1").alias("r1"), F.col("root.h2").alias("r2"), "first_id"))
+    out = materialize(marked.select("node", "root").join(first, "root")
+                      .select("node.h1", "node.h2", F.col("root.h1").alias("r1"), F.col("root.h2").alias("r2"), "first_id"), "components")
+    discard(held, open_, star, roots, cross, lines)
+    return out
 
 
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """id, removed: array of (no, h) of the lines to drop of each document
-    that loses any (line number from 0, hash of its normal form). Of a
-    component the first line of the smallest id stays."""
+    """id, key (hash of the text), removed: the numbers (from 0, rising) of
+    the lines to drop of each document that loses any. Of a component the first
+    line of the smallest id stays."""
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    marked = materialize(line_components(docs, id_col, text_col, **options), "components")
-    seen = (_keyed(_lines(src)).select("id", "no", "h1", "h2").join(marked, ["h1", "h2"])
-            .select("id", "no", "h1", "r1", "r2", F.col("id").eqNullSafe(F.col("first_id")).alias("first")))
+    marked = line_components(docs, id_col, text_col, **options)
+    src = src.withColumn("key", F.xxhash64("text"))  # rows may repeat an id with another text
+    seen = (_keyed(_lines(src, F.col("key"))).select("id", "key", "no", "h1", "h2").join(marked, ["h1", "h2"])
+            .select("id", "key", "no", "r1", "r2", F.col("id").eqNullSafe(F.col("first_id")).alias("first")))
     seen = materialize(seen, "occurrences")
     stays = seen.where("first").groupBy("r1", "r2").agg(F.min("no").alias("stay"))
-    first = seen.where("first").join(stays, ["r1", "r2"]).where("no <> stay").select("id", "no", "h1")
-    gone = seen.where("not first").select("id", "no", "h1").unionByName(first)
-    return gone.groupBy("id").agg(F.collect_set(F.struct("no", F.col("h1").alias("h"))).alias("removed"))
+    first = seen.where("first").join(stays, ["r1", "r2"]).where("no <> stay").select("id", "key", "no")
+    gone = seen.where("not first").select("id", "key", "no").unionByName(first)
+    return gone.groupBy("id", "key").agg(F.array_sort(F.collect_set("no")).alias("removed"))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -160,7 +169,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     A line's normal form is lower-case without spaces at the ends; two are
     similar when the Jaccard similarity of all their 5-character shingles
-    (``SHINGLES``) is ``similarity`` or more. Candidates share one of
+    is ``similarity`` or more. Candidates share one of
     ``bands`` hashes of ``rows`` minhashes each: with 6 and 3 a pair at
     exactly 0.8 is found with probability 0.986, at 0.9 with 0.9996, whatever
     the lines' length. Blank lines are kept and never compared. Texts are split
@@ -171,11 +180,21 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     repeat an id and text are one document and keep the same lines. An empty
     table stays empty. Other columns, whatever their names, are carried along.
     """
-    gone = removed_lines(docs, id_col, text_col, **options).select(F.col("id").alias("gone_id"), "removed")
+    gone = removed_lines(docs, id_col, text_col, **options).select(
+        F.col("id").alias("gone_id"), F.col("key").alias("gone_key"), "removed")
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     text = F.col("row").getField(text_col)
-    kept = F.filter(F.split(text, _LINE), lambda line, k: ~F.exists(
-        "removed", lambda r: (r["no"] == k) & (r["h"] == F.xxhash64(_norm(line)))))
-    new = F.when(F.col("removed").isNull(), text).otherwise(F.array_join(kept, _LINE))
-    joined = row.join(gone, F.col("row").getField(id_col).eqNullSafe(F.col("gone_id")), "left")
+
+    def kept(lines: Column) -> Column:
+        """The stretches of lines between the removed ones: linear in both."""
+        ends = F.concat("removed", F.array(F.size(lines)))
+        return F.flatten(F.transform(ends, lambda end, k: F.slice(
+            lines, F.when(k > 0, F.get("removed", k - 1) + 2).otherwise(1),
+            end - F.when(k > 0, F.get("removed", k - 1) + 1).otherwise(0))))
+
+    # the split text is the one element of an array, so that it is made once
+    new = F.transform(F.array(F.split(text, _LINE)), lambda lines: F.array_join(kept(lines), _LINE))[0]
+    new = F.when(F.col("removed").isNull(), text).otherwise(new)
+    joined = row.join(gone, F.col("row").getField(id_col).eqNullSafe(F.col("gone_id"))
+                      & (F.xxhash64(text.cast("string")) == F.col("gone_key")), "left")
     return joined.select(*[(new if c == text_col else F.col("row").getField(c)).alias(c) for c in docs.columns])

@@ -1,13 +1,12 @@
 import random
-import re
 
-from tessera.llm.line_dedup import SHINGLES, dedup_lines, line_components, removed_lines
+from tessera.llm.line_dedup import dedup_lines, line_components, removed_lines
 
 SCHEMA = "doc_id long, text string"
 
 
-def shingles(x):
-    return {m[1] for m in re.finditer(SHINGLES, x)}
+def shingles(x, size=5):
+    return {x[k:k + size] for k in range(max(1, len(x) - size + 1))}
 
 
 def brute(rows):
@@ -81,10 +80,40 @@ def test_ties_repeated_rows_null_ids_and_empty(spark):
 def test_components_do_not_depend_on_partitions(spark):
     df = spark.createDataFrame(corpus(3), SCHEMA)
     a = line_components(df.repartition(2), "doc_id", "text").collect()
-    b = line_components(df.repartition(9), "doc_id", "text", broadcast_rows=0).collect()
+    b = line_components(df.repartition(9), "doc_id", "text").collect()
     assert sorted(a) == sorted(b) and a
 
 
 def test_main_path_has_no_python(spark):
     plan = dedup_lines(spark.createDataFrame(corpus(4), SCHEMA))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_bitmaps_never_rule_out_similar_lines(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.llm.line_dedup import BITMAP, _bitmap, _may_be_similar
+    rng = random.Random(5)
+    rows = []
+    for p in range(3000):
+        n = rng.choice([1, 4, 9, 40, 400, 2000])
+        g = [rng.getrandbits(64) - (1 << 63) for _ in range(n)]
+        cut = rng.randrange(n + 1) if p % 2 else n - n // 10  # half of them at 0.8 or a little more
+        rows += [(p, 0, x) for x in g] + [(p, 1, x) for x in g[:cut]] + [(p, 1, rng.getrandbits(62)) for _ in range(n // 10 if p % 4 == 0 else 0)]
+    sets = spark.createDataFrame(rows, "pair long, side int, g long").groupBy("pair", "side").agg(
+        F.count("*").alias("size"), F.collect_set("g").alias("g"), *_bitmap(F.col("g")))
+    a = sets.where("side = 0")
+    b = sets.where("side = 1").select("pair", F.col("size").alias("size_b"), F.col("g").alias("h"), *[F.col(f"b{k}").alias(f"c{k}") for k in range(BITMAP)])
+    both = F.size(F.array_intersect("g", "h"))
+    out = a.join(b, "pair").select((both >= 0.8 * (F.size("g") + F.size("h") - both) - 1e-9).alias("similar"),
+                                   _may_be_similar(0.8).alias("kept")).groupBy("similar", "kept").count().collect()
+    counts = {(r["similar"], r["kept"]): r["count"] for r in out}
+    assert (True, False) not in counts and counts[True, True] > 500 and counts[False, False] > 500
+
+
+def test_a_document_that_loses_very_many_lines(spark):
+    import time
+    lines = [f"line number {k} of the long list {k * 7919 % 10007}" if k % 2 else "the very same line again" for k in range(30_000)]
+    began = time.time()
+    got = dedup_lines(spark.createDataFrame([(1, "\n".join(lines))], SCHEMA)).first()["text"].split("\n")
+    assert got.count("the very same line again") == 1 and time.time() - began < 240
