@@ -62,16 +62,47 @@ def log_gamma(a: Column) -> Column:
     return F.lit(0.5 * math.log(2 * math.pi)) + (z + 0.5) * F.ln(t) - t + F.ln(s)
 
 
+def _stirling_rest(n: Column) -> Column:
+    """ln n! minus Stirling's formula for it: a small number, so that it can
+    be added to others of its kind without losing digits."""
+    small = log_gamma(n + 1) - (n + 0.5) * F.ln(n) + n - 0.5 * math.log(2 * math.pi)
+    n2 = n * n
+    series = (1 / 12 - (1 / 360 - (1 / 1260 - 1 / 1680 / n2) / n2) / n2) / n
+    return F.when(n <= 15, small).otherwise(series)
+
+
+def _deviance(x: Column, m: Column) -> Column:
+    """x ln(x / m) + m - x without cancellation where x is near m."""
+    v = (x - m) / (x + m)
+    terms = F.lit(0.0)
+    for j in range(12, 0, -1):  # 2 x v (v^2 / 3 + v^4 / 5 + ...)
+        terms = (terms + 1 / (2 * j + 1)) * v * v
+    near = (x - m) * v + 2 * x * v * terms
+    return F.when(F.abs(x - m) < 0.1 * (x + m), near).otherwise(x * F.ln(x / m) + m - x)
+
+
 def log_choose(n: Column, k: Column) -> Column:
-    """ln C(n, k) from log-gamma: constant work, however large k is."""
+    """ln C(n, k): constant work, however large k is, and no difference of
+    large numbers, however large n is."""
     n, k = n.cast("double"), k.cast("double")
-    return F.when((k == 0) | (k == n), F.lit(0.0)).otherwise(
-        log_gamma(n + 1) - log_gamma(k + 1) - log_gamma(n - k + 1))
+    r = n - k
+    inner = (_stirling_rest(n) - _stirling_rest(k) - _stirling_rest(r) + 0.5 * F.ln(n / (2 * math.pi * k * r))
+             - k * F.ln(k / n) - r * F.log1p(-k / n))
+    return F.when((k == 0) | (k == n), F.lit(0.0)).otherwise(inner)
 
 
 def binomial_pmf(n: Column, k: Column, p: float | Column) -> Column:
-    p = F.lit(p) if not isinstance(p, Column) else p
-    return F.exp(log_choose(n, k) + k * F.ln(p) + (n - k) * F.ln(F.lit(1.0) - p))
+    """C(n, k) p^k (1 - p)^(n - k) by the saddle-point form: its parts are the
+    deviations of k and n - k from their means, both near 0 where the
+    probability is not."""
+    p = (F.lit(float(p)) if not isinstance(p, Column) else p).cast("double")
+    n, k = n.cast("double"), k.cast("double")
+    r, q = n - k, 1 - p
+    inner = F.exp(_stirling_rest(n) - _stirling_rest(k) - _stirling_rest(r) - _deviance(k, n * p) - _deviance(r, n * q)
+                  ) * F.sqrt(n / (2 * math.pi * k * r))
+    return (F.when((k < 0) | (k > n), F.lit(0.0))
+            .when(p == 0, (k == 0).cast("double")).when(q == 0, (k == n).cast("double"))
+            .when(k == 0, F.exp(n * F.log1p(-p))).when(k == n, F.exp(n * F.ln(p))).otherwise(inner))
 
 
 # C6 / C7 time

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.ordering import exact_quantiles, join_keys
+from tessera.operators.ordering import exact_quantiles, join_keys, segmented_scan
 
 DESCRIBE_PROBS = [0.25, 0.5, 0.75]
 PROFILE_PROBS = [0.0, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99, 1.0]
@@ -172,6 +172,22 @@ def group_collect(df: DataFrame, key: str, col: str, out: str = "items",
     return g
 
 
+def group_collect_chunks(df: DataFrame, key: str, col: str, size: int = 10_000, out: str = "items",
+                         as_text: bool = False) -> DataFrame:
+    """The sorted list of distinct values per key (A14) in chunks of ``size``:
+    key, chunk (from 0), before (values in earlier chunks), total, items. Joined
+    by chunk they are the whole list; no row holds more than ``size`` values and
+    a key with very many of them is many tasks' work. Null values are left
+    out; a null key is a key."""
+    d = df.select(key, col).where(F.col(col).isNotNull()).distinct()
+    placed = segmented_scan(d, [key], [F.col(col)]).withColumn("chunk", F.floor(F.col("_before") / size))
+    g = placed.groupBy(key, "chunk").agg(F.array_sort(F.collect_list(col)).alias(out), F.min("_before").alias("before"),
+                                         F.first("_total").alias("total"))
+    if as_text:
+        g = g.withColumn(out, F.array_join(F.col(out).cast("array<string>"), " "))
+    return g.select(key, "chunk", "before", "total", out)
+
+
 def filter_min_activity(df: DataFrame, key: str, rating: str, cutoff: int) -> DataFrame:
     """Rows of keys with strictly more than ``cutoff`` non-null ratings
     (A15), as a semi-join against the qualifying keys."""

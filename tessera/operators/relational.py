@@ -12,6 +12,8 @@ from typing import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.skew import split_join
+
 from tessera.functions import scalars as S
 
 
@@ -149,8 +151,10 @@ def anti_join(a: DataFrame, b: DataFrame, on: str | list[str]) -> DataFrame:
 
 def left_lookup(df: DataFrame, dim: DataFrame, on: str | list[str],
                 defaults: dict[str, Column]) -> DataFrame:
-    """Left join with defaults for unmatched rows."""
-    j = df.join(dim, on, "left")
+    """Left join with defaults for unmatched rows (J6). With a single key, keys
+    that hold much of ``df`` are matched apart from the others (``split_join``)."""
+    keys = [on] if isinstance(on, str) else list(on)
+    j = split_join(df, dim, keys[0], "left") if len(keys) == 1 else df.join(dim, keys, "left")
     return j.withColumns({c: F.coalesce(F.col(c), d) for c, d in defaults.items()})
 
 

@@ -11,11 +11,14 @@ the square root of the degrees of freedom), so no Python worker is involved.
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import scalars as S
+from tessera.session import materialize
 
 
 def skew_report(df: DataFrame, col: str) -> DataFrame:
@@ -71,46 +74,65 @@ def chi2_contingency(df: DataFrame, a: str, b: str, correction: bool = True) ->
     """Pearson chi-square test of independence of two categorical columns
     (M16): statistic, dof, p-value; Yates' correction when dof = 1.
 
-    Observed counts come from one grouping; margins are windows over the
-    table of present pairs. Absent pairs are not materialised: with
-    g(O, E) = (|O - E| - y)^2 / E the statistic is
+    Observed counts come from one grouping of the input, kept as a table of
+    the present pairs; its totals, one row, are read from that table.
+    Absent pairs are not materialised: with g(O, E) = (|O - E| - y)^2 / E the
+    statistic is
     sum over all cells of g(0, E) + sum over present cells of (g(O, E) - g(0, E)).
     Without correction g(0, E) = E and the first sum is N; with correction
     (a 2 x 2 table) it runs over the four products of the two row and two
     column margins, which are the min and max of each margin.
     """
-    base = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
-    obs = base.groupBy(a, b).agg(F.count(F.lit(1)).alias("o"))
-    cells = obs.withColumns({"_ra": F.sum("o").over(Window.partitionBy(a)),
-                             "_cb": F.sum("o").over(Window.partitionBy(b))})
-    # Everything else comes from the table of present pairs (small: one row
-    # per observed combination), so the input is read once.
-    tot = cells.agg(F.sum("o").alias("n"), F.count_distinct(a).alias("ka"),
-                    F.count_distinct(b).alias("kb"),
-                    F.min("_ra").alias("rmin"), F.max("_ra").alias("rmax"),
-                    F.min("_cb").alias("cmin"), F.max("_cb").alias("cmax"))
-    # one-row results as scalar subqueries (Spark merges them into one)
-    sc = {c: tot.select(c).scalar() for c in tot.columns}
-    n = sc["n"]
-    dof = (sc["ka"] - 1) * (sc["kb"] - 1)
-    use_y = (dof == 1) & F.lit(bool(correction))
+    cells = _cells(df, a, b)
+    t = cells.agg(F.sum("o").alias("n"), F.count_distinct(a).alias("ka"), F.count_distinct(b).alias("kb"),
+                  F.min("_ra").alias("rmin"), F.max("_ra").alias("rmax"),
+                  F.min("_cb").alias("cmin"), F.max("_cb").alias("cmax")).first()
+    if not t["n"]:
+        return df.sparkSession.createDataFrame([(None, None, None)], "statistic double, dof long, p_value double")
+    n, dof = t["n"], (t["ka"] - 1) * (t["kb"] - 1)
+    use_y = dof == 1 and correction
 
     def g(o: Column, e: Column) -> Column:
         d = F.abs(o - e)
-        adj = d - F.when(use_y, F.least(F.lit(0.5), d)).otherwise(F.lit(0.0))
+        adj = d - F.least(F.lit(0.5), d) if use_y else d
         return adj * adj / e
 
-    e = F.col("_ra") * F.col("_cb") / n
     zero = F.lit(0.0)
-    all_absent = F.when(use_y, g(zero, sc["rmin"] * sc["cmin"] / n) + g(zero, sc["rmin"] * sc["cmax"] / n)
-                        + g(zero, sc["rmax"] * sc["cmin"] / n) + g(zero, sc["rmax"] * sc["cmax"] / n)).otherwise(n)
+    all_absent = F.lit(float(n))
+    if use_y:
+        all_absent = reduce(add, [g(zero, F.lit(t[r] * t[c] / n)) for r in ("rmin", "rmax") for c in ("cmin", "cmax")])
+    e = F.col("_ra") * F.col("_cb") / F.lit(n)
     # the statistic and dof leave the aggregation as plain columns, so the
-    # p-value's higher-order functions see attributes, not subqueries
-    out = cells.agg((F.sum(g(F.col("o"), e) - g(zero, e)) + F.first(all_absent)).alias("statistic"),
-                    F.first(dof).cast("long").alias("dof"))
+    # p-value's higher-order functions see attributes
+    out = cells.agg((F.sum(g(F.col("o"), e) - g(zero, e)) + all_absent).alias("statistic")).withColumn(
+        "dof", F.lit(dof).cast("long"))
     return out.withColumn("p_value", chi2_sf(F.col("statistic"), F.col("dof")))
 
 
+def _cells(df: DataFrame, a: str, b: str) -> DataFrame:
+    """a, b, o (count) of the present pairs with the margins _ra and _cb;
+    written once, so the input is read once."""
+    base = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
+    obs = materialize(base.groupBy(a, b).agg(F.count(F.lit(1)).alias("o")), "cells")
+    return obs.withColumns({"_ra": F.sum("o").over(Window.partitionBy(a)), "_cb": F.sum("o").over(Window.partitionBy(b))})
+
+
+def chi2_expected(df: DataFrame, a: str, b: str) -> DataFrame:
+    """a, b, observed, expected for every pair of values of the two columns
+    (M16): expected = row margin * column margin / N, as the test of
+    independence uses it. Absent pairs have observed 0. The second column's
+    margins are one array (a row a value), given to each value of the first."""
+    cells = _cells(df, a, b)
+    columns = (cells.select(b, "_cb").distinct()
+               .agg(F.array_sort(F.collect_list(F.struct(F.col(b).alias("b"), F.col("_cb").alias("c")))).alias("cols")))
+    n = cells.select(F.sum("o")).scalar()
+    rows = cells.select(a, "_ra").distinct().withColumn("_col", F.explode(columns.scalar()))
+    grid = rows.select(a, F.col("_col.b").alias(b), (F.col("_ra") * F.col("_col.c") / n).alias("expected"))
+    seen = cells.select(F.col(a).alias("_a"), F.col(b).alias("_b"), "o")
+    return (grid.join(seen, (F.col(a) == F.col("_a")) & (F.col(b) == F.col("_b")), "left")
+            .select(a, b, F.coalesce("o", F.lit(0)).alias("observed"), "expected"))
+
+
 def chi2_feature_scores(df: DataFrame, features: list[str], label: str) -> DataFrame:
     """Chi-square score of non-negative features against a class label
     (M17): per feature, observed = per-class sums, expected = class share *

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import tokenize, word_count
 from tessera.operators.ordering import global_row_number
+from tessera.operators.skew import split_join
 
 # Fixed value: the token pattern of the scikit-learn TF-IDF vectorizer
 # (two or more word characters), written with Unicode classes.
@@ -54,9 +55,10 @@ def vocabulary(df: DataFrame, text_col: str, num_words: int | None = None) -> Da
 def texts_to_sequences(df: DataFrame, id_col: str, text_col: str, vocab: DataFrame,
                        out: str = "sequence") -> DataFrame:
     """Words to ids in text order, unknown words dropped (M12). Texts with no
-    known word get an empty sequence."""
+    known word get an empty sequence. Frequent words meet their ids without a
+    shuffle (``split_join``), so a word in a third of all tokens is no one task's."""
     toks = token_rows(df, id_col, text_col)
-    known = toks.join(vocab.select("word", "word_index"), "word")
+    known = split_join(toks, vocab.select("word", "word_index"), "word")
     seqs = known.groupBy(id_col).agg(
         F.array_sort(F.collect_list(F.struct("pos", "word_index"))).alias("_s"))
     seqs = seqs.select(id_col, F.transform("_s", lambda s: s["word_index"]).cast("array<int>").alias(out))
@@ -68,7 +70,7 @@ def sequences_to_text(df: DataFrame, id_col: str, seq_col: str, vocab: DataFrame
                       out: str = "text") -> DataFrame:
     """Ids back to words joined by spaces (M12); id 0 (padding) is skipped."""
     ids = df.select(id_col, F.posexplode(seq_col).alias("pos", "word_index"))
-    words = ids.join(vocab.select("word", "word_index"), "word_index")
+    words = split_join(ids, vocab.select("word", F.col("word_index").cast("int").alias("word_index")), "word_index")
     back = words.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("pos", "word"))).alias("_w"))
     back = back.select(id_col, F.array_join(F.transform("_w", lambda s: s["word"]), " ").alias(out))
     return (df.select(id_col).join(back, id_col, "left")

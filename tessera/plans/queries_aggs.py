@@ -160,6 +160,15 @@ def a14(spark, d):
     return A.group_collect(FX.transactions(spark, d), "customer_id", "stock_code", as_text=True)
 
 
+@register("A14_group_collect_chunks", W("""
+SELECT customer_id, (r - 1) // 20 AS chunk, min(r) - 1 AS before, any_value(n) AS total, string_agg(CAST(stock_code AS VARCHAR), ' ' ORDER BY r) AS items
+FROM (SELECT customer_id, stock_code, row_number() OVER (PARTITION BY customer_id ORDER BY stock_code) AS r,
+             count(*) OVER (PARTITION BY customer_id) AS n FROM (SELECT DISTINCT customer_id, stock_code FROM tx))
+GROUP BY 1, 2""", "tx"))
+def a14c(spark, d):
+    return A.group_collect_chunks(FX.transactions(spark, d), "customer_id", "stock_code", size=20, as_text=True)
+
+
 @register("A15_filter_min_activity", W("""
 SELECT user_id, item_id FROM ratings
 WHERE user_id IN (SELECT user_id FROM ratings GROUP BY 1 HAVING count(rating) > 40)""", "ratings"))
@@ -255,6 +264,15 @@ def q3(spark, d):
     return R.history_recommendation(FX.test_part(FX.transactions(spark, d)))
 
 
+@register("Q3_history_chunks", W("""
+SELECT customer_id, (r - 1) // 50 AS chunk, string_agg(CAST(stock_code AS VARCHAR), ' ' ORDER BY r) AS items
+FROM (SELECT customer_id, stock_code, row_number() OVER (PARTITION BY customer_id ORDER BY stock_code) AS r
+      FROM (SELECT DISTINCT customer_id, stock_code FROM tx WHERE customer_id % 2 = 1))
+GROUP BY 1, 2""", "tx"))
+def q3c(spark, d):
+    return R.history_chunks(FX.test_part(FX.transactions(spark, d)), size=50)
+
+
 def _q5_sql():
     from tessera.plans.queries_core import _RULE_SQL
     sel = " UNION ALL ".join(

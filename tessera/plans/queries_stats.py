@@ -351,6 +351,17 @@ def m16p(spark, d):
 _CHI_FEATS = ["num_companies_worked", "age", "years_at_company"]
 
 
+@register("M16_expected_counts", W("""
+SELECT r.education, c.attrition, count(a.education) AS observed, round(any_value(r.n) * any_value(c.n) / any_value(t.n), 6) AS expected
+FROM (SELECT education, CAST(count(*) AS DOUBLE) AS n FROM attrition WHERE attrition IS NOT NULL AND education IS NOT NULL GROUP BY 1) r
+CROSS JOIN (SELECT attrition, CAST(count(*) AS DOUBLE) AS n FROM attrition WHERE attrition IS NOT NULL AND education IS NOT NULL GROUP BY 1) c
+CROSS JOIN (SELECT CAST(count(*) AS DOUBLE) AS n FROM attrition WHERE attrition IS NOT NULL AND education IS NOT NULL) t
+LEFT JOIN attrition a ON a.education = r.education AND a.attrition = c.attrition
+GROUP BY r.education, c.attrition""", "attrition"))
+def m16e(spark, d):
+    return r6(ST.chi2_expected(FX.attrition(spark, d), "education", "attrition"))
+
+
 @register("M17_chi2_feature_scores", W("""
 SELECT feature, round(sum(pow(o - e, 2) / e), 6) AS chi2, max(k) - 1 AS dof
 FROM (SELECT feature, y, o, ny * 1.0 / n * sum(o) OVER (PARTITION BY feature) AS e, k, n

@@ -81,3 +81,31 @@ def test_the_package_reaches_executors(spark):
     from tessera.session import ship_package
     ship_package(spark)
     assert any("tessera_package" in f for f in spark.sparkContext.listFiles)
+
+
+def test_binomial_keeps_its_digits(spark):
+    from fractions import Fraction
+    from math import comb, lgamma, log
+    small = [(n, k, p) for n in (1, 2, 9, 16, 40) for k in range(n + 1) for p in (0.01, 0.3, 0.5, 0.97)]
+    large = [(3_000_000_000, 5, 1e-9), (10**12, 5, 1e-12), (10**12, 500, 4e-10)]
+    df = spark.createDataFrame(small + large, "n long, k long, p double")
+    for r in df.select("n", "k", "p", binomial_pmf(F.col("n"), F.col("k"), F.col("p")).alias("v"), log_choose(F.col("n"), F.col("k")).alias("c")).collect():
+        n, k, p = r["n"], r["k"], Fraction(r["p"])
+        if n <= 40:
+            assert r["v"] == pytest.approx(float(comb(n, k) * p**k * (1 - p)**(n - k)), rel=1e-12)
+            assert r["c"] == pytest.approx(log(comb(n, k)), rel=1e-12, abs=1e-12)
+        else:
+            falling = sum(log(n - i) for i in range(k))
+            assert r["c"] == pytest.approx(falling - lgamma(k + 1), rel=1e-13)
+            want = falling - lgamma(k + 1) + k * log(r["p"]) - n * r["p"] * (1 + r["p"] / 2) + k * r["p"]
+            assert log(r["v"]) == pytest.approx(want, abs=2e-9)
+    edges = spark.createDataFrame([(4, 0, 0.0), (4, 1, 0.0), (4, 4, 1.0), (4, 5, 0.5)], "n long, k long, p double")
+    assert [r[0] for r in edges.select(binomial_pmf(F.col("n"), F.col("k"), F.col("p"))).collect()] == [1.0, 0.0, 1.0, 0.0]
+
+
+def test_expected_counts_cover_absent_pairs(spark):
+    from tessera.operators.stattests import chi2_contingency, chi2_expected
+    df = spark.createDataFrame([("a", "x")] * 3 + [("a", "y")] * 2 + [("b", "x")] * 5 + [(None, "x"), ("c", None)], "u string, v string")
+    got = {(r["u"], r["v"]): (r["observed"], r["expected"]) for r in chi2_expected(df, "u", "v").collect()}
+    assert got == {("a", "x"): (3, 4.0), ("a", "y"): (2, 1.0), ("b", "x"): (5, 4.0), ("b", "y"): (0, 1.0)}
+    assert chi2_contingency(df.limit(0), "u", "v").first()["statistic"] is None
