@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -162,15 +163,22 @@ def bin_completion(hist: dict[int, int], capacity: int, keep: int = 3, effort: i
     return best, best_bins == bound
 
 
+def _runs(texts: pa.Array, most: int = 2 << 20) -> list[tuple[int, int]]:
+    """Rows cut into runs of about ``most`` bytes of text."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 16)
+    cuts = [0, *(np.flatnonzero(np.diff(size // most)) + 1).tolist(), len(size)]
+    return [(a, b) for a, b in zip(cuts, cuts[1:]) if a < b]
+
+
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, end_id: int, capacity: int) -> Iterator[pa.RecordBatch]:
     enc, uid = encoder(path), TaskContext.get().partitionId() << 36
     end = np.array([end_id], "<u4").tobytes()
     for batch in batches:
-        for lo in range(0, batch.num_rows, 512):
-            part = batch.slice(lo, 512)
+        for lo, hi in _runs(batch.column(1)):
+            part = batch.slice(lo, hi - lo)
             rows, piece, start, length, ids, crc = [], [], [], [], [], []
-            for row, text in enumerate(part.column(1).to_pylist()):
-                data = enc.ids(text or "") + end
+            for row, data in enumerate(enc.batch([t or "" for t in part.column(1).to_pylist()])):
+                data += end
                 n = len(data) // 4
                 first = n % capacity or capacity
                 at = 0
