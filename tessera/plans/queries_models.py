@@ -289,12 +289,18 @@ _LOAN_POINTS = "loan_pts AS (SELECT loan_id AS vec_id, [" + ", ".join(
     f"CAST({c} AS DOUBLE)" for c in ["unpaid_principal_bal"] + [f"m{i}" for i in range(1, 13)]) + "] AS features, m13 FROM loans)"
 
 
+_LOF_CUT = ["""lofs AS (SELECT k.x, kd.kdist, l.lrd, avg(ln.lrd) / l.lrd AS lof
+  FROM knn k JOIN lrd ln ON ln.x = k.y JOIN lrd l ON l.x = k.x JOIN kd ON kd.x = k.x GROUP BY k.x, kd.kdist, l.lrd)""",
+    """ranked AS (SELECT lof, row_number() OVER (ORDER BY lof) - 1 AS i, (count(*) OVER () - 1) * (
+  1 - (SELECT avg(CAST(m13 > 0 AS INT)) FROM loans)) AS pos FROM lofs)""",
+    """cut AS (SELECT min(CASE WHEN i = floor(pos) THEN lof END) + (min(CASE WHEN i = ceil(pos) THEN lof END)
+  - min(CASE WHEN i = floor(pos) THEN lof END)) * (min(pos) - floor(min(pos))) AS c FROM ranked)"""]
+
+
 @register("L8_loan_outliers", W("""
-SELECT k.x AS loan_id, round(kd.kdist, 6) AS k_distance, round(l.lrd, 6) AS lrd, round(avg(ln.lrd) / l.lrd, 6) AS lof,
-  CAST(avg(ln.lrd) / l.lrd > (SELECT quantile_cont(v, 1 - (SELECT avg(CAST(m13 > 0 AS INT)) FROM loans)) FROM (
-    SELECT avg(n2.lrd) / l2.lrd AS v FROM knn k2 JOIN lrd n2 ON n2.x = k2.y JOIN lrd l2 ON l2.x = k2.x GROUP BY k2.x, l2.lrd)) AS INT) AS outlier
-FROM knn k JOIN lrd ln ON ln.x = k.y JOIN lrd l ON l.x = k.x JOIN kd ON kd.x = k.x
-GROUP BY k.x, kd.kdist, l.lrd""", "loans", ctes=[_LOAN_POINTS, _LOF_CTES[0].replace("points", "loan_pts"), *_LOF_CTES[1:]]))
+SELECT x AS loan_id, round(kdist, 6) AS k_distance, round(lrd, 6) AS lrd, round(lof, 6) AS lof,
+  CAST(lof > (SELECT c FROM cut) AS INT) AS outlier FROM lofs""", "loans",
+          ctes=[_LOAN_POINTS, _LOF_CTES[0].replace("points", "loan_pts"), *_LOF_CTES[1:], *_LOF_CUT]))
 def l8_loans(spark, d):
     from tessera.operators.anomaly import local_outlier_factor
     lo = _loan_frame(spark, d)
