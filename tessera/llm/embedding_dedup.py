@@ -148,16 +148,87 @@ def _usable(values: np.ndarray | None) -> np.ndarray | None:
     if values is None or not len(values):
         return None
     x = np.asarray(values, np.float64)
-    return x if np.isfinite(x).all() and np.any(x) and np.isfinite(x @ x) and x @ x > 0 else None
+    return x if np.isfinite(x).all() and np.any(x) else None
 
 
 def cosine_links(threshold: float):
     def linked(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-        x, y = np.stack(left), np.stack(right)
+        x, y = (v / np.abs(v).max(axis=1, keepdims=True) for v in (np.stack(left), np.stack(right)))
         return (x @ y.T) / np.sqrt((x * x).sum(1))[:, None] / np.sqrt((y * y).sum(1))[None, :] >= threshold
     return linked
 
 
+def quantised(units: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(8-bit coordinates, scale, length of what is lost) of unit vectors."""
+    scale = np.abs(units).max(axis=1) / 127
+    q = np.rint(units / scale[:, None]).astype(np.int8)
+    lost = np.linalg.norm(units - q * scale[:, None], axis=1) * (1 + 1e-9) + 1e-12
+    return q, scale, lost
+
+
+def near_members(members: DataFrame, similarity: float, block_rows: int = 512) -> DataFrame:
+    """The (bucket, k) of ``members`` (bucket, k, q, scale, lost) that may link
+    with another member of their bucket: those whose 8-bit vectors have a
+    cosine of ``similarity`` less what both can have lost. No link is lost, and
+    most rows leave before any whole vector is sent to a bucket. Buckets of
+    more than ``block_rows`` rows are cut into blocks that meet in pairs."""
+    sizes = (members.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > block_rows)
+             .select("bucket", F.ceil(F.col("n") / block_rows).cast("int").alias("blocks")))
+    blk = F.pmod(F.xxhash64("k", F.lit(7)), F.col("blocks")).cast("int")
+    dealt = (members.join(sizes, "bucket", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("blk", blk)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("bucket", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"), "blk",
+                     "k", "q", "scale", "lost"))
+
+    def near(bucket, lo, hi, blk, k, q, scale, lost) -> pa.RecordBatch:
+        start = np.ones(len(bucket), bool)
+        start[1:] = (np.diff(bucket) != 0) | (np.diff(lo) != 0) | (np.diff(hi) != 0)
+        at = np.flatnonzero(start)
+        ends = np.repeat(np.append(at[1:], len(bucket)), np.diff(np.append(at, len(bucket))))
+        width = np.array([len(x) for x in q])
+        hit = np.zeros(len(bucket), bool)
+        x = np.zeros((len(q), int(width.max())), np.float32)
+        for w in np.unique(width):
+            some = np.flatnonzero(width == w)
+            x[some, :w] = np.frombuffer(b"".join(q[i] for i in some), np.int8).reshape(-1, w)
+        i, step = np.arange(len(bucket)), 0
+        while True:  # every row with the one `step` places behind it in its group
+            step += 1
+            i = i[i + step < ends[i]]
+            if not len(i):
+                break
+            j = i + step
+            for a in range(0, len(i), 65_536):
+                l, r = i[a:a + 65_536], j[a:a + 65_536]
+                ok = (width[l] == width[r]) & ((lo[l] == hi[l]) | (blk[l] != blk[r]))
+                cosine = np.einsum("ij,ij->i", x[l], x[r]) * scale[l] * scale[r]
+                ok &= cosine >= similarity - (lost[l] + lost[r] + lost[l] * lost[r]) - 1e-5
+                hit[l[ok]] = hit[r[ok]] = True
+        rows = np.flatnonzero(hit)
+        return pa.RecordBatch.from_arrays([pa.array(bucket[rows]), pa.array([k[r] for r in rows], pa.binary())], names=["bucket", "k"])
+
+    def scan(batches) -> Iterator[pa.RecordBatch]:
+        held: list[list] | None = None
+        for b in batches:
+            cols = [c.to_numpy(zero_copy_only=False) for c in b.columns[:4]] + [c.to_pylist() for c in b.columns[4:6]] + [
+                c.to_numpy(zero_copy_only=False) for c in b.columns[6:]]
+            if held is not None:
+                cols = [[*x, *y] if isinstance(x, list) else np.concatenate([x, y]) for x, y in zip(held, cols)]
+            n = len(cols[0])
+            if not n:
+                continue
+            last = (cols[0] != cols[0][-1]) | (cols[1] != cols[1][-1]) | (cols[2] != cols[2][-1])
+            cut = int(np.flatnonzero(last)[-1]) + 1 if last.any() else 0  # the last group may go on
+            held = [c[cut:] for c in cols]
+            if cut:
+                yield near(*[c[:cut] for c in cols])
+        if held is not None and len(held[0]):
+            yield near(*held)
+
+    return (dealt.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
+            .mapInArrow(scan, "bucket long, k binary").distinct())
+
+
 def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
                     similarity: float = 0.95, shared: float = 10.0, seed: int = 5) -> DataFrame:
     """Links between vectors with a cosine of ``similarity`` or more.
@@ -191,23 +262,32 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         codes = {}
         for b in batches:
             ks, vs = b.column(0).to_pylist(), [np.array(v) for v in b.column(1).to_pylist()]
-            out_k, out_f = [], []
+            out_k, out_f, out_q, out_s, out_l = [], [], [], [], []
             for d in {len(v) for v in vs}:
                 some = [i for i, v in enumerate(vs) if len(v) == d]
                 x = np.stack([vs[i] for i in some])
+                x = x / np.abs(x).max(axis=1, keepdims=True)  # neither the largest nor the smallest doubles leave the range
+                x /= np.linalg.norm(x, axis=1, keepdims=True)
+                q, scale, lost = quantised(x)
                 if d in plans:
                     codes.setdefault(d, plans[d].codes())
-                    found = plans[d].filters(x / np.linalg.norm(x, axis=1, keepdims=True), codes[d])
+                    found = plans[d].filters(x, codes[d])
                 else:  # one or two dimensions: one bucket per quadrant is of no use, all meet
                     found = [np.zeros(1, np.int64)] * len(some)
-                for i, f in zip(some, found):
+                out_s.append(np.repeat(scale, [len(f) for f in found]))
+                out_l.append(np.repeat(lost, [len(f) for f in found]))
+                for row, (i, f) in enumerate(zip(some, found)):
                     out_k += [ks[i]] * len(f)
+                    out_q += [q[row].tobytes()] * len(f)
                     out_f.append(bits(mix(f.astype(np.uint64) * np.uint64(64) + np.uint64(d % 64) + np.uint64(d) * np.uint64(1 << 50))))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(out_f) if out_f else [], pa.int64()), pa.array(out_k, pa.binary())],
-                names=["bucket", "k"])
+                [pa.array(np.concatenate(out_f) if out_f else [], pa.int64()), pa.array(out_k, pa.binary()), pa.array(out_q, pa.binary()),
+                 *[pa.array(np.concatenate(x) if x else [], pa.float64()) for x in (out_s, out_l)]],
+                names=["bucket", "k", "q", "scale", "lost"])
 
-    members = classes.select("k", "v").mapInArrow(filters, "bucket long, k binary")
+    members = materialize(classes.select("k", "v").mapInArrow(
+        filters, "bucket long, k binary, q binary, scale double, lost double"), "filters")
+    members = materialize(near_members(members, similarity), "near")
     links = bucket_links(members, classes.select("k", "copies", "v"), cosine_links(similarity), "v")
     joined = (classes.select("k", "copies", "low").join(links, "k", "left")
               .withColumn("root", F.coalesce("root", "k")))

@@ -120,3 +120,32 @@ def test_components(spark):
                 root[a] = root[b] = min(root[a], root[b])
     touched = {x for a, b in edges if b is not None and a != b for x in (a, b)}
     assert got == {x: root[x] for x in touched}
+
+
+def test_eight_bit_vectors_lose_no_link(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.llm.embedding_dedup import near_members, quantised
+    rng = np.random.default_rng(8)
+    base = rng.standard_normal((40, 16))
+    x = np.vstack([base[rng.integers(0, 40, 900)] + rng.standard_normal((900, 16)) * rng.choice([0.05, 0.15, 0.3], (900, 1)),
+                   rng.standard_normal((300, 16))])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    q, scale, lost = quantised(x)
+    assert (np.abs((q * scale[:, None]) @ x.T - x @ x.T) <= lost[:, None] + 1e-12).all()
+    bucket = np.where(np.arange(1200) < 1000, 7, np.arange(1200) % 50)  # one bucket of many blocks
+    rows = [(int(b), bytes([k // 256, k % 256]), v.tobytes(), float(s), float(e)) for k, (b, v, s, e) in enumerate(zip(bucket, q, scale, lost))]
+    df = spark.createDataFrame(rows, "bucket long, k binary, q binary, scale double, lost double").repartition(5)
+    got = {(r["bucket"], r["k"][0] * 256 + r["k"][1]) for r in near_members(df, 0.95, block_rows=100).collect()}
+    cosine = x @ x.T
+    np.fill_diagonal(cosine, 0)
+    same = bucket[:, None] == bucket[None, :]
+    want = {(int(bucket[k]), k) for k in np.flatnonzero((same & (cosine >= 0.95)).any(axis=1))}
+    loose = {(int(bucket[k]), k) for k in np.flatnonzero((same & (cosine >= 0.9)).any(axis=1))}
+    assert want <= got <= loose and len(want) > 100 and len(got) < 1000
+
+
+def test_largest_and_smallest_doubles_link(spark):
+    rows = [(1, [1e300, 1e300, 0.0]), (2, [1e-300, 1e-300, 1e-310]), (3, [1.0, 1.0, 0.01]), (4, [0.0, 0.0, 5e-324])]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_dedup(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (0, 4)}
