@@ -90,59 +90,73 @@ def _may_be_similar(similarity: float) -> Column:
 
 
 def line_components(docs: DataFrame, id_col: str, text_col: str, similarity: float = 0.8,
-                    bands: int = 6, rows: int = 3, seed: int = 9) -> DataFrame:
+                    bands: int = 6, rows: int = 3, seed: int = 9, broadcast_rows: int = 1_000_000) -> DataFrame:
     """h1, h2 (key of a line's normal form), r1, r2 (smallest key of its
     component), first_id (smallest id of a document with a line of the
     component): for every normal form that occurs more than once or is similar
     to another one."""
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    # every different line once, with its text
-    lines = (_keyed(_lines(src)).groupBy("h1", "h2")
-             .agg(F.count("*").alias("copies"), F.min("id").alias("first_id"), F.first("norm").alias("norm")))
-    lines = materialize(lines, "lines")
-    wide = lines.select("h1", "h2", F.encode("norm", "UTF-32").alias("wide"))
-    grams = (wide.select("h1", "h2", "wide", F.explode(_places(F.col("wide"))).alias("at"))
-             .select("h1", "h2", _gram(F.col("wide"), F.col("at")).alias("g")))
-    signed = grams.groupBy("h1", "h2").agg(F.count("*").alias("size"), *_bitmap(F.col("g")), *_least(F.col("g"), bands * rows, seed))
-    key = F.struct("h1", "h2")
+    wide = _keyed(_lines(src)).select("id", "h1", "h2", F.encode("norm", "UTF-32").alias("wide"))
+    grams = (wide.select("id", "h1", "h2", "wide", F.explode(_places(F.col("wide"))).alias("at"))
+             .select("id", "h1", "h2", (F.col("at") == 0).cast("long").alias("one"), _gram(F.col("wide"), F.col("at")).alias("g")))
+    signed = grams.groupBy("h1", "h2").agg(F.sum("one").alias("copies"), F.min("id").alias("first_id"), F.count("*").alias("all"),
+                                         *_bitmap(F.col("g")), *_least(F.col("g"), bands * rows, seed))
     bits = [f"b{k}" for k in range(BITMAP)]
-    members = signed.select(F.explode(F.array(*_bands(bands, rows))).alias("bucket"), key.alias("a"), "size", *bits)
-    members = materialize(members, "members")
+    # bands as 32-bit numbers: a chance meeting costs a look at two bitmaps
+    band = [b.bitwiseAND(F.lit(0xFFFFFFFF)) for b in _bands(bands, rows)]
+    lines = signed.select("h1", "h2", "copies", "first_id", (F.col("all") / F.col("copies")).cast("int").alias("size"), *bits,
+                          F.array(*band).alias("bands"))
+    lines = materialize(lines.withColumn("n", F.monotonically_increasing_id()), "lines")
+    members = lines.select(F.explode("bands").alias("bucket"), "n").withColumnRenamed("n", "a")
     shared = (members.groupBy("bucket").agg(F.min("a").alias("low"), F.max("a").alias("high"))
               .where("low <> high").select("bucket", "low"))  # buckets with two lines or more
-    held = materialize(members.join(shared, "bucket").withColumn("first", F.col("a") == F.col("low")).drop("low"), "held")
-    discard(members)
-
-    def similar_pairs(left: DataFrame, right: DataFrame, *more: Column) -> DataFrame:
-        """Pairs (a, b) of lines in one bucket that are similar enough: the
-        bitmaps rule out most before their texts are read, then all shingles
-        of the others are compared, once a pair."""
-        names = {"a": "b", "size": "size_b", "root": "root_b", **{f"b{k}": f"c{k}" for k in range(BITMAP)}}
-        right = right.select("bucket", *[F.col(c).alias(names[c]) for c in names if c in right.columns])
-        pairs = (left.join(right, "bucket").where(reduce(and_, more, _may_be_similar(similarity)))
-                 .select("a", "b").distinct())
-        x, y = (lines.select(key.alias(side), F.col("norm").alias(name)) for side, name in (("a", "x"), ("b", "y")))
+    held = materialize(members.join(shared, "bucket"), "held")
+
+    def similar(pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that are similar, by all their shingles. The texts
+        of their lines come from the first document that has them."""
+        pairs = materialize(pairs, "pairs")
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("n")).distinct()
+        wanted = materialize(lines.join(wanted, "n").select("n", "h1", "h2", "first_id"), "wanted")
+        ids = wanted.select(F.col("first_id").alias("wanted_id")).distinct()
+        if ids.count() <= broadcast_rows:  # 8 MB of ids; beyond that the documents are shuffled
+            ids = F.broadcast(ids)
+        some = src.join(ids, F.col("id").eqNullSafe(F.col("wanted_id")), "left_semi")
+        texts = _keyed(_lines(some)).join(wanted, ["h1", "h2"]).where(F.col("id").eqNullSafe(F.col("first_id")))
+        texts = materialize(texts.select("n", "norm").dropDuplicates(["n"]), "texts")
+        x, y = (texts.select(F.col("n").alias(side), F.col("norm").alias(name)) for side, name in (("a", "x"), ("b", "y")))
         sets = pairs.join(x, "a").join(y, "b").select("a", "b", shingles(F.col("x")).alias("x"), shingles(F.col("y")).alias("y"))
         both = F.size(F.array_intersect("x", "y"))
-        return (sets.select("a", "b", both.alias("both"), (F.size("x") + F.size("y")).alias("sum"))
-                .where(F.col("both") >= similarity * (F.col("sum") - F.col("both")) - 1e-9).select("a", "b"))
-
-    # first the bucket's smallest line with each other one ...
-    star = materialize(similar_pairs(held.where("not first"), held.where("first")), "star")
+        found = (sets.select("a", "b", both.alias("both"), (F.size("x") + F.size("y")).alias("sum"))
+                 .where(F.col("both") >= similarity * (F.col("sum") - F.col("both")) - 1e-9).select("a", "b"))
+        found = materialize(found, "similar")
+        discard(pairs, wanted, texts)
+        return found
+
+    near = _may_be_similar(similarity)
+    signs = lines.select("n", "size", *bits)
+    others = signs.select(F.col("n").alias("b"), F.col("size").alias("size_b"), *[F.col(f"b{k}").alias(f"c{k}") for k in range(BITMAP)])
+    # first the bucket's first line with each other one ...
+    star = held.where("a <> low").select("a", F.col("low").alias("b")).distinct()
+    star = similar(star.join(signs.withColumnRenamed("n", "a"), "a").join(others, "b").where(near).select("a", "b"))
     roots = materialize(connected_components(star), "roots")
     # ... then, in buckets that still hold several components, lines of different ones
     placed = held.join(roots, F.col("a") == F.col("node"), "left").withColumn("root", F.coalesce("root", "a")).drop("node")
-    several = (placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-               .where("low <> high").select("bucket"))
-    open_ = materialize(placed.join(several, "bucket").where("not first").drop("first"), "open")  # the first ones are compared already
-    cross = similar_pairs(open_, open_, F.col("a") < F.col("b"), F.col("root") != F.col("root_b"))
-    cross = materialize(cross, "cross")
+    several = (placed.groupBy("bucket").agg(F.min("root").alias("least"), F.max("root").alias("most"))
+               .where("least <> most").select("bucket"))
+    open_ = placed.join(several, "bucket").where("a <> low").drop("low")  # the first ones are compared already
+    open_ = materialize(open_.join(signs.withColumnRenamed("n", "a"), "a"), "open")
+    right = open_.select("bucket", F.col("a").alias("b"), F.col("root").alias("root_b"), F.col("size").alias("size_b"),
+                         *[F.col(f"b{k}").alias(f"c{k}") for k in range(BITMAP)])
+    cross = open_.join(right, "bucket").where((F.col("a") < F.col("b")) & (F.col("root") != F.col("root_b")) & near)
+    cross = similar(cross.select("a", "b").distinct())
     comps = connected_components(star.unionByName(cross))
-    marked = (lines.select(key.alias("node"), "copies", "first_id").join(comps, "node", "left")
-              .where(F.col("root").isNotNull() | (F.col("copies") > 1)).withColumn("root", F.coalesce("root", "node")))
-    first = marked.groupBy("root").agg(F.min("first_id").alias("first_id"))
-    out = materialize(marked.select("node", "root").join(first, "root")
-                      .select("node.h1", "node.h2", F.col("root.h1").alias("r1"), F.col("root.h2").alias("r2"), "first_id"), "components")
+    key = F.struct("h1", "h2")
+    marked = (lines.select("n", key.alias("key"), "copies", "first_id").join(comps, F.col("n") == F.col("node"), "left")
+              .where(F.col("root").isNotNull() | (F.col("copies") > 1)).withColumn("root", F.coalesce("root", "n")))
+    first = marked.groupBy("root").agg(F.min("first_id").alias("first_id"), F.min("key").alias("low"))
+    out = materialize(marked.select("key", "root").join(first, "root")
+                      .select("key.h1", "key.h2", F.col("low.h1").alias("r1"), F.col("low.h2").alias("r2"), "first_id"), "components")
     discard(held, open_, star, roots, cross, lines)
     return out
 
