@@ -22,8 +22,6 @@ from array import array
 import numpy as np
 import regex
 
-from .textblocks import _classes, find_words
-
 # The public splitting pattern of byte-level BPE, and the
 # characters (Latin, Greek, Cyrillic, general punctuation) whose classes have not changed.
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -32,7 +30,6 @@ UNSAFE = re.compile("[^\\x09\\x0a\\x0d\\x20-\\x7e¡-ɏΑ-ΡΣ-Ωα-ωА-я"
 
 
 _UINT = array("I")
-_BETWEEN = _classes(b" \n")
 
 
 def _byte_letters() -> dict[str, int]:
@@ -74,7 +71,7 @@ class PieceIds(dict):
     """text -> little-endian uint32 ids, remembered for up to ``limit`` texts
     of at most 64 characters, then afresh."""
 
-    limit = 400_000
+    limit = 500_000
 
     def __init__(self, encode):
         self.encode = encode
@@ -99,8 +96,13 @@ class Encoder:
         pieces = PieceIds(self._piece)
         self.pieces = pieces.__getitem__
         # words after a space, and at the start of a line
-        self.spaced = PieceIds(lambda w: b"".join(map(self.pieces, PIECE.findall(" " + w)))).__getitem__
-        self.bare = PieceIds(lambda w: b"".join(map(self.pieces, PIECE.findall(w)))).__getitem__
+        self.spaced = PieceIds(lambda w: self._word(w, " " + w)).__getitem__
+        self.bare = PieceIds(lambda w: self._word(w, w)).__getitem__
+
+    def _word(self, word: str, text: str) -> bytes:
+        if word.isalpha():  # one piece
+            return self._piece(text)
+        return b"".join(map(self.pieces, PIECE.findall(text)))
 
     def _piece(self, piece: str) -> bytes:
         if self.core is not None and len(piece) < 500:
@@ -124,40 +126,6 @@ class Encoder:
             lines.append(b"".join(words))
         return self.pieces("\n").join(lines)
 
-    def batch(self, texts: list[str]) -> list[bytes]:
-        """``ids`` of each text. The words of all plain texts are put into
-        classes of equal ones, each class is looked up once and the ids of the
-        texts are gathered from those of the classes."""
-        out: list[bytes] = [b""] * len(texts)
-        plain = []
-        for k, t in enumerate(texts):
-            if _plain(t) and not UNSAFE.search(t) and not (self.special and self.special.search(t)):
-                plain.append(k)
-            else:
-                out[k] = self.ids(t)
-        if not plain:
-            return out
-        words = find_words([texts[k].encode() for k in plain], _BETWEEN)
-        of, first = words.classes()
-        after_space = np.concatenate([words.buf[-1:], words.buf])[words.starts] == 32
-        used, item = np.unique(of * 2 + after_space, return_inverse=True)
-        spelled = [words.word(k).decode() for k in first[used // 2].tolist()]
-        known = [self.spaced(w) if s else self.bare(w) for w, s in zip(spelled, (used % 2).tolist())]
-        known.append(self.pieces("\n"))
-        size = np.array([len(b) // 4 for b in known])
-        flat, at = np.frombuffer(b"".join(known), "<u4"), np.cumsum(size) - size
-        ends = np.flatnonzero(words.buf == 10)
-        ends = ends[np.isin(ends, words.doc_starts[1:] - 1, invert=True)]  # those between texts are none of theirs
-        order = np.argsort(np.concatenate([words.starts, ends]), kind="stable")
-        item = np.concatenate([item, np.full(len(ends), len(known) - 1)])[order]
-        doc = np.concatenate([words.doc, np.searchsorted(words.doc_starts, ends, side="right") - 1])[order]
-        n = size[item]
-        ids = flat[np.repeat(at[item] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))].astype("<u4").tobytes()
-        stop = np.cumsum(np.bincount(doc, n, words.n_docs).astype(np.int64)) * 4
-        for k, a, b in zip(plain, [0, *stop[:-1].tolist()], stop.tolist()):
-            out[k] = ids[a:b]
-        return out
-
     def count(self, text: str) -> int:
         return len(self.ids(text)) // 4
 

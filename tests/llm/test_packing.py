@@ -25,13 +25,6 @@ def test_cached_ids_equal_the_library(text):
     assert got == TOK.encode(text, add_special_tokens=False).ids
 
 
-@settings(max_examples=300, deadline=None)
-@given(st.lists(st.text("abc,'s \n", max_size=30) | st.text("añ(-1 \n", max_size=20) | st.text(max_size=12) | st.just("a" * 70 + " b"), max_size=6))
-def test_batches_equal_the_library(texts):
-    got = [np.frombuffer(b, "<u4").tolist() for b in encoder(default_path()).batch(texts)]
-    assert got == [TOK.encode(t, add_special_tokens=False).ids for t in texts]
-
-
 def brute_bins(items, cap):
     """Fewest bins, by trying every placement."""
     best = len(items)
