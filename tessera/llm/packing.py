@@ -207,13 +207,14 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def place(pieces: DataFrame, capacity: int = 1024) -> DataFrame:
-    """``uid, length`` -> ``uid, sequence_id, offset``. Pieces of the full
-    capacity get a (negative) sequence each; the others are packed."""
+    """``uid, length`` -> ``uid, sequence_id, offset, proven``. Pieces of the full
+    capacity get a (negative) sequence each; the others are packed. ``proven``
+    says whether the number of sequences is known to be the least."""
     full = (pieces.where(F.col("length") >= capacity)
             .select("uid", (-1 - F.col("uid")).alias("sequence_id"), F.lit(0).cast("long").alias("offset")))
     short = pieces.where(F.col("length") < capacity).select("uid", "length")
     hist = {r["length"]: r["n"] for r in short.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    patterns, _ = bin_completion(hist, capacity)
+    patterns, proven = bin_completion(hist, capacity)
     # places of each length in order: (count, first sequence, uses per sequence, offset)
     by_length: dict[int, list[tuple[int, int, int, int]]] = {}
     seq = 0
@@ -239,10 +240,10 @@ def place(pieces: DataFrame, capacity: int = 1024) -> DataFrame:
                 names=["uid", "sequence_id", "offset"])
 
     if not slots:
-        return full
+        return full.withColumn("proven", F.lit(proven))
     numbered = global_row_number(short, [F.col("length"), F.col("uid")], out="g", start=0)
     return full.unionByName(numbered.select("uid", "g").mapInArrow(
-        look_up, "uid long, sequence_id long, offset long"))
+        look_up, "uid long, sequence_id long, offset long")).withColumn("proven", F.lit(proven))
 
 
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -250,7 +251,8 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """Pack whole documents into sequences of at most ``capacity`` tokens.
 
     One row per piece: ``id_col``, piece, start, length, ids (little-endian
-    uint32 token ids), ids_crc32, sequence_id, offset. The pieces are written
+    uint32 token ids), ids_crc32, sequence_id, offset, proven (whether the number
+    of sequences is known to be the least). The pieces are written
     once to the shared folder and read back; narrow rows alone are sorted.
 
     Nulls: a null text counts as empty, a null id is kept. Repeated rows are
@@ -261,4 +263,4 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     placed = place(pieces.select("uid", "length"), capacity)
     return (pieces.join(placed, "uid")
             .select(F.col("id").alias(id_col), "piece", "start", "length", "ids", "ids_crc32",
-                    "sequence_id", "offset"))
+                    "sequence_id", "offset", "proven"))

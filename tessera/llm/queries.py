@@ -97,7 +97,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op6_best_fit_packing")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = pack_documents(load(spark, sf_dir, "documents"))
-    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "proven")
 
 
 @register("op7_ngram_jaccard_join", f"""
