@@ -70,8 +70,8 @@ def _bands(bands: int, rows: int) -> list[Column]:
     return [F.xxhash64(F.lit(b), *[F.col(f"m{b * rows + r}") for r in range(rows)]) for b in range(bands)]
 
 
-#: Words of 64 bits in a line's bitmap of shingles.
-BITMAP = 8
+#: Words of 64 bits in a line's bitmap of shingles; unrelated lines of up to some 1500 characters differ in enough of its bits.
+BITMAP = 16
 
 
 def _bitmap(gram: Column) -> list[Column]:
