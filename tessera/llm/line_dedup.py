@@ -81,11 +81,11 @@ def _bitmap(gram: Column) -> list[Column]:
     return [F.bit_or(F.when(word == k, bit).otherwise(F.lit(0).cast("long"))).alias(f"b{k}") for k in range(BITMAP)]
 
 
-def _may_be_similar(similarity: float) -> Column:
+def _may_be_similar(similarity: float, words: int = BITMAP) -> Column:
     """Whether two lines (b0 ... and size; c0 ... and size_b) can be similar:
     each bit in which they differ needs a shingle that only one of them has,
     and similar lines have few of those. Never false for similar lines."""
-    differ = reduce(add, [F.bit_count(F.col(f"b{k}").bitwiseXOR(F.col(f"c{k}"))) for k in range(BITMAP)])
+    differ = reduce(add, [F.bit_count(F.col(f"b{k}").bitwiseXOR(F.col(f"c{k}"))) for k in range(words)])
     return differ <= (1 - similarity) / (1 + similarity) * (F.col("size") + F.col("size_b")) + 1e-9
 
 
@@ -145,11 +145,16 @@ def line_components(docs: DataFrame, id_col: str, text_col: str, similarity: flo
     several = (placed.groupBy("bucket").agg(F.min("root").alias("least"), F.max("root").alias("most"))
                .where("least <> most").select("bucket"))
     open_ = placed.join(several, "bucket").where("a <> low").drop("low")  # the first ones are compared already
-    open_ = materialize(open_.join(signs.withColumnRenamed("n", "a"), "a"), "open")
+    # a quarter of the bitmap goes to the buckets (its words laid over each other), the whole one to the pairs that pass
+    few = BITMAP // 4
+    folded = [reduce(lambda x, y: x.bitwiseOR(y), [F.col(f"b{k + few * j}") for j in range(4)]).alias(f"b{k}") for k in range(few)]
+    open_ = materialize(open_.join(lines.select(F.col("n").alias("a"), "size", *folded), "a"), "open")
     right = open_.select("bucket", F.col("a").alias("b"), F.col("root").alias("root_b"), F.col("size").alias("size_b"),
-                         *[F.col(f"b{k}").alias(f"c{k}") for k in range(BITMAP)])
-    cross = open_.join(right, "bucket").where((F.col("a") < F.col("b")) & (F.col("root") != F.col("root_b")) & near)
-    cross = similar(cross.select("a", "b").distinct())
+                         *[F.col(f"b{k}").alias(f"c{k}") for k in range(few)])
+    cross = open_.join(right, "bucket").where((F.col("a") < F.col("b")) & (F.col("root") != F.col("root_b"))
+                                              & _may_be_similar(similarity, few))
+    cross = cross.select("a", "b").distinct().join(signs.withColumnRenamed("n", "a"), "a").join(others, "b").where(near)
+    cross = similar(cross.select("a", "b"))
     comps = connected_components(star.unionByName(cross))
     key = F.struct("h1", "h2")
     marked = (lines.select("n", key.alias("key"), "copies", "first_id").join(comps, F.col("n") == F.col("node"), "left")
