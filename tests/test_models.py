@@ -329,3 +329,18 @@ def test_rules_with_a_models_verdict(spark):
     for r in df.collect():
         assert r["a"] == int(r["m12"] > 0 or r["pred"] > 0)
         assert r["b"] == (0 if r["m12"] == 1 and r["pred"] == 0 else int(bool(r["m12"])))
+
+
+def test_top_items_send_slabs_not_blocks(spark):
+    from tessera.operators import topitems as T
+    rng = np.random.default_rng(3)
+    make = lambda n: spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(rng.normal(size=(n, 3)))], "id int, features array<double>")
+    sent = []
+    kept = T.materialize
+    T.materialize = lambda df, name: (sent.append(out := kept(df, name)) if name == "top-asked" else None) or (out if name == "top-asked" else kept(df, name))
+    try:
+        found, report = T.top_items(make(40), make(200), 2, block=2)
+    finally:
+        T.materialize = kept
+    assert found.count() == 80 and report["blocks"] == 100 and report["visited"] > 10 * 40
+    assert sent[0].count() <= 40  # one slab of 99 blocks: a user goes there once
