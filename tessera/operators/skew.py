@@ -23,7 +23,8 @@ def split_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
                salts: int = 64) -> DataFrame:
     """``left.join(right, key, how)`` (inner or left) where some keys hold much
     of ``left``: rows of heavy keys meet the few matching rows of ``right``
-    without a shuffle, the others are shuffled as usual.
+    without a shuffle, the others are shuffled as usual. If ``right`` has no more
+    than ``BROADCAST_ROWS`` rows at all, no row of ``left`` is shuffled or counted.
 
     A key is heavy with ``share`` of the rows (default: a quarter of a shuffle
     partition's). The heavy keys' rows of ``right`` are counted first; only up to
@@ -33,6 +34,8 @@ def split_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
     """
     if how not in ("inner", "left"):
         raise ValueError("inner or left")
+    if right.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return left.join(F.broadcast(right), key, how)
     partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     heavy = heavy_hitters(left, key, share or min(0.25, 1 / (4 * partitions)))
     if not heavy:

@@ -63,3 +63,22 @@ def test_chunks_make_the_whole_list(spark):
         whole.setdefault(r["k"], []).extend(r["items"])
         assert r["total"] == (950 if r["k"] == "hot" else 1)
     assert whole == {"hot": list(range(950)), "b": [1], None: [5]}
+
+
+def test_small_right_side_moves_no_row_of_the_left(spark):
+    _, _, a, b = tables(spark)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = K.split_join(a, b, "k", share=0.1)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+
+
+def test_heavy_keys_of_a_large_right_side(spark, monkeypatch):
+    _, _, a, b = tables(spark)
+    monkeypatch.setattr(K, "BROADCAST_ROWS", 50)  # fewer than the right side's rows, more than those of its heavy keys
+    for how in ("inner", "left"):
+        got = K.split_join(a, b, "k", how, share=0.1)
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, a.join(b, "k", how).collect()), key=str)
