@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import tokenize, word_count
 from tessera.operators.ordering import global_row_number
-from tessera.operators.skew import split_join
+from tessera.operators.skew import BROADCAST_ROWS, split_join
 
 # Fixed value: the token pattern of the scikit-learn TF-IDF vectorizer
 # (two or more word characters), written with Unicode classes.
@@ -92,21 +92,30 @@ def tf_idf(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     idf = ln((1 + n) / (1 + df)) + 1; weight = tf * idf / ||tf * idf||.
 
-    The (document, term, count) table is written once as parquet to the
-    checkpoint folder, so the text is tokenised once although the table feeds both the
-    document frequencies and the weights. Document frequency is a partial
-    aggregation joined back (a term found in every document costs one row per
-    map task before the shuffle); the norm is a window per document, whose
-    partitioning the top-k step reuses.
+    The terms of a document are counted once and written as one row a document.
+    From there rows are dealt by document: the most frequent terms' document
+    frequencies (``BROADCAST_ROWS`` at most) are broadcast, and the norm is a
+    window that needs no further shuffle. Only the pairs of other terms, which
+    are rare, may be shuffled by term.
     """
     from tessera.session import materialize
-    terms = df.select(id_col, F.explode(F.regexp_extract_all(F.lower(F.col(text_col)),
-                                                             F.lit(TFIDF_TOKEN), 0)).alias("term"))
-    tf = materialize(terms.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")), "tf")
-    dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    found = F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TFIDF_TOKEN), 0)).alias("term")
+    counted = (df.select(id_col, text_col).repartition(F.col(id_col)).select(id_col, found)
+               .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
+    packed = materialize(counted.groupBy(id_col).agg(F.collect_list(F.struct("term", "tf")).alias("_t")), "tf")
+    tf = packed.repartition(F.col(id_col)).select(id_col, F.inline("_t"))
+    dfreq = materialize(packed.select(F.inline("_t")).groupBy("term").agg(F.count(F.lit(1)).alias("df")), "df")
     n_docs = df.select(F.count(F.lit(1))).scalar()
+    most = dfreq
+    if dfreq.count() > BROADCAST_ROWS:
+        most = materialize(dfreq.orderBy(F.desc("df"), "term").limit(BROADCAST_ROWS), "df-most")
+    w = tf.join(F.broadcast(most), "term").select(id_col, "term", "tf", "df")
+    if most is not dfreq:
+        rare = dfreq.join(F.broadcast(most.select("term")), "term", "left_anti")
+        pairs = tf.join(F.broadcast(most.select("term")), "term", "left_anti")
+        w = w.unionByName(pairs.join(rare, "term").select(id_col, "term", "tf", "df").repartition(F.col(id_col)))
     raw = F.col("tf") * (F.ln((F.lit(1) + n_docs) / (F.col("df") + 1)) + 1)
-    w = tf.join(dfreq, "term").withColumn("_raw", raw)
+    w = w.withColumn("_raw", raw)
     norm = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(Window.partitionBy(id_col)))
     return w.select(id_col, "term", "tf", "df", (F.col("_raw") / norm).alias("weight"))
 
