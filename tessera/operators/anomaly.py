@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,20 +43,94 @@ def isolation_draws(seed: int) -> tuple[Column, Column]:
     return tuple(F.pmod(F.xxhash64(F.lit(seed), F.lit(k), "tree", "node"), F.lit(1 << 53)) / float(1 << 53) for k in (1, 2))
 
 
+#: Records of a node from which one task grows the rest of its tree.
+LOCAL_ROWS = 1 << 17
+
+
+def _hash_step(value: np.ndarray, seed: np.ndarray, wide: bool) -> np.ndarray:
+    """Spark's ``xxhash64`` of one int (``wide``: long) column on top of ``seed``."""
+    p1, p2, p3, p4, p5 = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
+                                                 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+    turn = lambda h, n: (h << np.uint64(n)) | (h >> np.uint64(64 - n))
+    value = np.asarray(value, np.int64).view(np.uint64)
+    if wide:
+        h = (seed + p5 + np.uint64(8)) ^ (turn(value * p2, 31) * p1)
+        h = turn(h, 27) * p1 + p4
+    else:
+        h = (seed + p5 + np.uint64(4)) ^ ((value & np.uint64(0xFFFFFFFF)) * p1)
+        h = turn(h, 23) * p2 + p3
+    h = (h ^ (h >> np.uint64(33))) * p2
+    h = (h ^ (h >> np.uint64(29))) * p3
+    return h ^ (h >> np.uint64(32))
+
+
+def _draws(seed: int, tree: int, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``isolation_draws`` of an int ``tree`` and long ``node``s."""
+    out = []
+    for k in (1, 2):
+        h = np.full(len(node), 42, np.uint64)
+        for v, wide in ((seed, not -(1 << 31) <= seed < 1 << 31), (k, False), (tree, False), (node, True)):
+            h = _hash_step(np.broadcast_to(np.asarray(v, np.int64), len(node)).copy(), h, wide)
+        out.append((h & np.uint64((1 << 53) - 1)) / float(1 << 53))
+    return out[0], out[1]
+
+
+def _finish_node(table: pa.Table, level: int, depth: int, seed: int) -> pa.Table:
+    """The part of a tree below one node, from all records in it: a row for
+    every node (no id) and one for every record (its leaf's level and size)."""
+    n = table.num_rows
+    x = table["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(float).reshape(n, -1)
+    fits = table["fits"].to_numpy().astype(bool)
+    tree, at = table["tree"][0].as_py(), table["node"].to_numpy().copy()
+    ended, size_of = np.full(n, -1), np.zeros(n, np.int64)
+    live, nodes = np.arange(n), []
+    while len(live):
+        live = live[np.argsort(at[live], kind="stable")]
+        start = np.flatnonzero(np.append(True, at[live][1:] != at[live][:-1]))
+        node, of = at[live][start], np.repeat(np.arange(len(start)), np.diff(np.append(start, len(live))))
+        size = np.add.reduceat(fits[live].astype(np.int64), start)
+        seen = np.where(fits[live][:, None], x[live], np.nan)
+        lo, hi = np.fmin.reduceat(seen, start, axis=0), np.fmax.reduceat(seen, start, axis=0)
+        usable = (lo < hi) & (level < depth)
+        count = usable.sum(axis=1)
+        which, where = _draws(seed, tree, node)
+        f = np.argmax(np.cumsum(usable, axis=1) > np.floor(which * count)[:, None], axis=1)
+        k = np.arange(len(node))
+        with np.errstate(invalid="ignore", over="ignore"):
+            cut = lo[k, f] + where * (hi[k, f] - lo[k, f])
+        cut = np.where(cut < hi[k, f], cut, lo[k, f])
+        nodes.append((node, size, np.where(count > 0, f, -1), cut))
+        leaf = count[of] == 0
+        ended[live[leaf]], size_of[live[leaf]] = level, size[of[leaf]]
+        live, of = live[~leaf], of[~leaf]
+        at[live] = 2 * at[live] + ~(x[live, f[of]] <= cut[of])
+        level += 1
+    node, size, f, cut = (np.concatenate(c) for c in zip(*nodes))
+    m = len(node)
+    none = f < 0
+    ids = table["id"].combine_chunks()
+    return pa.table({
+        "id": pa.concat_arrays([ids, pa.nulls(m, ids.type)]), "is_node": np.arange(n + m) >= n,
+        "tree": pa.array(np.full(n + m, tree, np.int32)), "node": np.append(at, node), "size": np.append(size_of, size),
+        "feature": pa.array(np.append(np.zeros(n, np.int32), f.astype(np.int32)), mask=np.append(np.ones(n, bool), none)),
+        "threshold": pa.array(np.append(np.zeros(n), cut), mask=np.append(np.ones(n, bool), none)),
+        "level": pa.array(np.append(ended, np.zeros(m, int)).astype(np.int32))})
+
+
 def _node_splits(rows: DataFrame, d: int, last: bool, seed: int) -> DataFrame:
     """tree, node, size, feature (from 0), threshold of every node that holds
     a row: of its features with two values or more one is drawn, and a
     threshold between its least and greatest value. A leaf has no feature."""
     x = [F.when(F.col("fits"), F.col("x")[k]) for k in range(d)]
     stats = rows.groupBy("tree", "node").agg(
-        F.count_if("fits").alias("size"),
+        F.count_if("fits").alias("size"), F.count("*").alias("records"),
         F.array(*[F.struct(F.min(c).alias("lo"), F.max(c).alias("hi"), F.lit(k).alias("f")) for k, c in enumerate(x)]).alias("r"))
     which, where = isolation_draws(seed)
     open_ = F.filter("r", lambda r: (r["lo"] < r["hi"]) & F.lit(not last))
     pick = F.get(F.col("open"), F.floor(which * F.size("open")).cast("int"))
     cut = F.col("p.lo") + where * (F.col("p.hi") - F.col("p.lo"))
-    return (stats.select("tree", "node", "size", open_.alias("open")).withColumn("p", F.when(F.size("open") > 0, pick))
-            .select("tree", "node", "size", F.col("p.f").alias("feature"),
+    return (stats.select("tree", "node", "size", "records", open_.alias("open")).withColumn("p", F.when(F.size("open") > 0, pick))
+            .select("tree", "node", "size", "records", F.col("p.f").alias("feature"),
                     F.when(cut < F.col("p.hi"), cut).otherwise(F.col("p.lo")).alias("threshold")))
 
 
@@ -69,8 +144,9 @@ def grow_isolation_trees(df: DataFrame, features: list[str], id_col: str, trees:
     Every row carries the node it is in, one record a tree. A level is one
     grouping by (tree, node) for counts, minima and maxima, combined before
     the shuffle, and one join that moves each record to a child or ends it at
-    a leaf. No node's rows meet in one task and no tree reaches the driver:
-    all rows may fit every tree. With ``max_samples`` below their number a tree
+    a leaf. A node of at most ``LOCAL_ROWS`` records is sent to one task, which
+    grows the rest of its tree with the same draws; larger nodes' rows never
+    meet in one task, and no tree reaches the driver. With ``max_samples`` below their number a tree
     grows from the rows with the smallest seeded hashes of that tree.
     """
     spark = df.sparkSession
@@ -94,12 +170,30 @@ def grow_isolation_trees(df: DataFrame, features: list[str], id_col: str, trees:
         live = (hashed.join(last, "tree").withColumn("fits", F.col("fits") & (F.struct("h", "id") <= F.col("last")))
                 .drop("h", "last"))
     nodes, ended, scratch = [], [], [base]
+    kind = df.schema[id_col].dataType.simpleString()
+    grown = (f"id {kind}, is_node boolean, tree int, node long, size long, feature int, threshold double, level int")
+
+    def finish(level: int):
+        return lambda table: _finish_node(table, level, depth, seed)
+
     for level in range(depth + 1):
         splits = materialize(_node_splits(live, len(features), level == depth, seed), "isolation-nodes")
-        nodes.append(splits)
+        few = splits.where((F.col("records") <= LOCAL_ROWS) & (level < depth))
+        splits_here = splits.where((F.col("records") > LOCAL_ROWS) | (F.lit(level) == depth))
+        nodes.append(splits_here.select("tree", "node", "size", "feature", "threshold"))
+        if not few.isEmpty():
+            rest = live.join(few.select("tree", "node"), ["tree", "node"]).select("id", "tree", "node", "x", "fits")
+            rest = rest.groupBy("tree", "node").applyInArrow(finish(level), grown)
+            path = scratch_path(spark, "isolation-subtrees")
+            rest.write.partitionBy("is_node").parquet(path)
+            rest = spark.read.schema(rest.schema).parquet(path)
+            nodes.append(rest.where("is_node").select("tree", "node", "size", "feature", "threshold"))
+            ended.append(rest.where("not is_node").select("id", "tree", (F.col("level") + _path_length(F.col("size"))).alias("height")))
+            if splits_here.isEmpty():
+                break
         right = (~F.coalesce(F.get("x", "feature") <= F.col("threshold"), F.lit(False))).cast("long")
         leaf = F.col("feature").isNull()
-        moved = live.join(splits, ["tree", "node"]).select(
+        moved = live.join(splits_here, ["tree", "node"]).select(
             "id", "tree", F.when(~leaf, F.col("x")).alias("x"), "fits", (F.col("node") * 2 + right).alias("node"),
             F.when(leaf, level + _path_length(F.col("size"))).alias("height"), leaf.alias("ended"))
         path = scratch_path(spark, "isolation-level")
