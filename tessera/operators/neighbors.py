@@ -82,6 +82,25 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(d2)
 
 
+def _near_pairs(a: np.ndarray, b: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of ``a``, rows of ``b`` and distances of all pairs within ``r`` of
+    the row of ``a``. A matrix product rules out pairs that are farther by more
+    than its rounding error can be; the distances of the others are sums
+    of squared differences, as ``_distances`` makes them."""
+    mid = b.mean(axis=0)
+    sa, sb = a - mid, b - mid
+    na, nb = (sa * sa).sum(axis=1), (sb * sb).sum(axis=1)
+    d2 = na[:, None] + nb[None, :] - 2.0 * (sa @ sb.T)
+    slack = 1e-12 * a.shape[1] * (na[:, None] + nb[None, :])
+    bound = np.minimum(r * (1 + 1e-9), 1e150)[:, None] ** 2
+    i, j = np.nonzero(~(d2 > bound + slack))  # a product that overflowed rules out nothing
+    total = np.zeros(len(i))
+    for c in range(a.shape[1]):
+        diff = a[i, c] - b[j, c]
+        total += diff * diff
+    return i, j, np.sqrt(total)
+
+
 def _to_boxes(x: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """Distance of every point to every box."""
     d2 = np.zeros((len(x), len(low)))
@@ -153,8 +172,8 @@ def neighbor_classes(df: DataFrame, vec_col: str, id_col: str, k: int, block_siz
         x = np.stack(pdf["v"].to_numpy())
         members = np.array([len(i) for i in pdf["ids"]])
         r = np.empty(len(x))
-        for a in range(0, len(x), TILE):
-            rows = np.arange(a, min(a + TILE, len(x)))
+        for a in range(0, len(x), 256):
+            rows = np.arange(a, min(a + 256, len(x)))
             dist = _distances(x[rows], x)
             dist[np.arange(len(rows)), rows] = np.inf
             r[rows] = _radius(dist, members, k - (members[rows] - 1))
@@ -170,9 +189,10 @@ def neighbor_classes(df: DataFrame, vec_col: str, id_col: str, k: int, block_siz
                 r = rows["r"].to_numpy()
                 meets = _to_boxes(np.stack(rows["v"].to_numpy()), low, high) <= (r * (1 + 1e-9))[:, None]
                 q, b = np.nonzero(meets & (r > 0)[:, None])  # a class of k + 1 equal points needs no others
-                yield pd.DataFrame({"leaf": leaves[b].astype(np.int32), "v": rows["v"].to_numpy()[q], "cls": rows["cls"].to_numpy()[q]})
+                yield pd.DataFrame({"leaf": leaves[b].astype(np.int32), "v": rows["v"].to_numpy()[q],
+                                    "cls": rows["cls"].to_numpy()[q], "r": r[q]})
 
-    queries = materialize(bounded.mapInPandas(sent, "leaf int, v array<double>, cls long"), "knn-queries")
+    queries = materialize(bounded.mapInPandas(sent, "leaf int, v array<double>, cls long, r double"), "knn-queries")
     # second round: tiles of at most about TILE queries and TILE classes of a leaf
     asked = queries.groupBy("leaf").agg(F.count("*").alias("q"))
     report["copies"] = int(asked.agg(F.sum("q")).first()[0] or 0)
@@ -181,34 +201,38 @@ def neighbor_classes(df: DataFrame, vec_col: str, id_col: str, k: int, block_siz
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     share = lambda n: F.pmod(F.xxhash64("cls"), F.col(n)).cast("int")
     none = F.array().cast("array<long>")
-    both = (queries.join(tiles, "leaf").select("leaf", share("qt").alias("q"), every("rt").alias("r"), "v", "cls",
-                                               none.alias("ids"), F.lit(True).alias("asks"))
-            .unionByName(placed.join(tiles, "leaf").select("leaf", every("qt").alias("q"), share("rt").alias("r"), "v", "cls",
-                                                           "ids", F.lit(False).alias("asks"))))
+    both = (queries.join(tiles, "leaf").select("leaf", share("qt").alias("q"), every("rt").alias("t"), "v", "cls",
+                                               none.alias("ids"), "r", F.lit(True).alias("asks"))
+            .unionByName(placed.join(tiles, "leaf").select("leaf", every("qt").alias("q"), share("rt").alias("t"), "v", "cls",
+                                                           "ids", F.lit(0.0).alias("r"), F.lit(False).alias("asks"))))
 
     def tile(pdf: pd.DataFrame) -> pd.DataFrame:
         qs, rs = pdf[pdf["asks"]], pdf[~pdf["asks"]]
-        out: list[list] = [[], [], []]
+        out: list[list] = [[np.empty(0, np.int64)], [np.empty(0)], [np.empty(0, np.int64)]]
         if len(qs) and len(rs):
             b, cls = np.stack(rs["v"].to_numpy()), rs["cls"].to_numpy()
-            ids = [np.asarray(i)[:k] for i in rs["ids"]]
+            counts = np.minimum([len(i) for i in rs["ids"]], k)
+            first, ids = np.cumsum(counts) - counts, np.concatenate([np.asarray(i)[:k] for i in rs["ids"]])
             for a in range(0, len(qs), 256):
                 part = qs.iloc[a:a + 256]
-                dist = _distances(np.stack(part["v"].to_numpy()), b)
-                dist[part["cls"].to_numpy()[:, None] == cls[None, :]] = np.inf
-                for q, row in zip(part["cls"].to_numpy(), dist):
-                    most = np.partition(row, k - 1)[k - 1] if len(row) > k else np.inf
-                    at = np.flatnonzero((row <= most) & np.isfinite(row))
-                    who = np.concatenate([ids[i] for i in at]) if len(at) else np.empty(0, np.int64)
-                    far = np.repeat(row[at], [len(ids[i]) for i in at])
-                    best = np.lexsort((who, far))[:k]
-                    out[0].append(np.full(len(best), q))
-                    out[1].append(far[best])
-                    out[2].append(who[best])
-        cols = [np.concatenate(c) if c else np.empty(0) for c in out]
+                mine = part["cls"].to_numpy()
+                i, j, far = _near_pairs(np.stack(part["v"].to_numpy()), b, part["r"].to_numpy())
+                other = (mine[i] != cls[j]) & np.isfinite(far)
+                i, j, far = i[other], j[other], far[other]
+                n = counts[j]  # members of each class met
+                i, far = np.repeat(i, n), np.repeat(far, n)
+                who = ids[np.repeat(first[j] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+                order = np.lexsort((who, far, i))
+                row = i[order]
+                start = np.flatnonzero(np.append(True, row[1:] != row[:-1])) if len(row) else np.empty(0, int)
+                best = order[np.arange(len(row)) - np.repeat(start, np.diff(np.append(start, len(row)))) < k]
+                out[0].append(mine[i[best]])
+                out[1].append(far[best])
+                out[2].append(who[best])
+        cols = [np.concatenate(c) for c in out]
         return pd.DataFrame({"cls": cols[0].astype(np.int64), "distance": cols[1].astype(float), "id": cols[2].astype(np.int64)})
 
-    found = both.groupBy("leaf", "q", "r").applyInPandas(tile, "cls long, distance double, id long")
+    found = both.groupBy("leaf", "q", "t").applyInPandas(tile, "cls long, distance double, id long")
     order = Window.partitionBy("cls").orderBy("distance", "id")
     near = (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .groupBy("cls").agg(F.array_sort(F.collect_list(F.struct("distance", "id"))).alias("near")))
