@@ -344,3 +344,75 @@ def test_top_items_send_slabs_not_blocks(spark):
         T.materialize = kept
     assert found.count() == 80 and report["blocks"] == 100 and report["visited"] > 10 * 40
     assert sent[0].count() <= 40  # one slab of 99 blocks: a user goes there once
+
+
+def test_near_pairs_are_all_pairs_within_the_radius():
+    from tessera.operators import neighbors as N
+    rng = np.random.default_rng(5)
+    for shift, scale in ((0.0, 1.0), (1e6, 1e-3), (0.0, 1e160)):
+        a, b = rng.normal(size=(40, 8)) * scale + shift, rng.normal(size=(60, 8)) * scale + shift
+        b[:5] = a[:5]
+        with np.errstate(over="ignore", invalid="ignore"):
+            dist = N._distances(a, b)
+            r = np.sort(dist, axis=1)[:, 3]  # exactly a pair's distance
+            i, j, far = N._near_pairs(a, b, r)
+        assert np.array_equal(far, dist[i, j])
+        assert set(zip(*np.nonzero(dist <= r[:, None]))) <= set(zip(i, j))
+        assert scale > 1e100 or len(i) < 40 * 8
+
+
+def test_mean_word_vectors_sum_tokens_where_the_text_is(spark, monkeypatch):
+    from tessera.operators import skew as K
+    rows = [(i, " ".join(f"w{(i * 7 + j) % 11}" for j in range(i % 9))) for i in range(30)] + [(None, "w1 w1 w3"), (31, None)]
+    df = spark.createDataFrame(rows, "id long, t string")
+    vectors = {f"w{k}": [float(k), k / 7, -1.0] for k in range(9)}
+    table = spark.createDataFrame(list(vectors.items()), "word string, vector array<float>")
+    want = {}
+    for i, t in rows:
+        known = [np.array(vectors[w], np.float32).astype(float) for w in (t or "").split() if w in vectors]
+        if known:
+            want[i] = np.mean(known, axis=0)
+    for most in (100, 4):  # broadcast whole, then only the most frequent words
+        monkeypatch.setattr(K, "BROADCAST_ROWS", most)
+        out = ML.mean_word_vectors(df, "id", "t", table)
+        got = {r["id"]: r["features"].toArray() for r in out.collect()}
+        assert got.keys() == want.keys() and all(np.allclose(got[i], want[i], atol=1e-12) for i in want)
+        if most == 100:
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" in plan and "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
+    assert ML.mean_word_vectors(df, "id", "t", table.limit(0)).count() == 0
+
+
+def test_tuning_returns_the_scored_model(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(int(a), int(b), float(c)) for a, b, c in zip(rng.integers(0, 15, 300), rng.integers(0, 20, 300), rng.integers(1, 9, 300))]
+    fits, fit = [], ML.als_fit
+    monkeypatch.setattr(ML, "als_fit", lambda *a, **k: fits.append(a[1:3]) or fit(*a, **k))
+    scores, model, test = ML.als_tune(spark.createDataFrame(rows, "user_id_no int, item_id_no int, rating double"), (2, 3), (0.1, 0.01), max_iter=2)
+    test.unpersist()
+    best = min(scores.collect(), key=lambda r: r["mpr"])
+    assert len(fits) == 4 and scores.count() == 4  # the winner is not fitted again
+    assert model.rank == best["rank"] and model._java_obj.parent().getRegParam() == best["reg"]
+
+
+@pytest.mark.parametrize("local", [0, 7, 1 << 17])
+def test_isolation_trees_are_the_same_wherever_they_grow(spark, monkeypatch, local):
+    rng = np.random.default_rng(6)
+    x = np.column_stack([rng.normal(size=60).round(1), rng.integers(0, 3, 60), np.full(60, 7.0)])
+    rows = [(f"n{i}", *[None if i % 17 == 3 else float(v) for v in r], i % 10 != 9) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "id string, a double, b double, c double, ok boolean")
+    levels = []
+    kept = AN._node_splits
+    monkeypatch.setattr(AN, "_node_splits", lambda *a: levels.append(1) or kept(*a))
+
+    def grown(at):
+        monkeypatch.setattr(AN, "LOCAL_ROWS", at)
+        heights, nodes, _ = AN.grow_isolation_trees(df, ["a", "b", "c"], "id", trees=4, seed=11, fits=F.col("ok"))
+        return sorted(map(tuple, nodes.collect()), key=str), {r["id"]: r["height"] for r in heights.collect()}
+
+    nodes, heights = grown(local)
+    if local > 60:
+        assert len(levels) == 1  # no job a level
+    want_nodes, want_heights = grown(0)
+    assert nodes == want_nodes and heights.keys() == want_heights.keys() and len(heights) == 60
+    assert all(math.isclose(heights[i], want_heights[i]) for i in heights)
