@@ -171,16 +171,17 @@ def neighbor_classes(df: DataFrame, vec_col: str, id_col: str, k: int, block_siz
     def own(pdf: pd.DataFrame) -> pd.DataFrame:
         x = np.stack(pdf["v"].to_numpy())
         members = np.array([len(i) for i in pdf["ids"]])
-        r = np.empty(len(x))
+        r, most = np.empty(len(x)), np.empty(len(x))
         for a in range(0, len(x), 256):
             rows = np.arange(a, min(a + 256, len(x)))
             dist = _distances(x[rows], x)
             dist[np.arange(len(rows)), rows] = np.inf
             r[rows] = _radius(dist, members, k - (members[rows] - 1))
-        return pdf[["v", "cls"]].assign(r=r)
+            most[rows] = _radius(dist, members, np.full(len(rows), k))  # k of other classes, should ids repeat
+        return pdf[["v", "cls"]].assign(r=r, most=most)
 
     bounded = (placed.join(sizes, "leaf").withColumn("part", part).select("leaf", "part", "v", "cls", "ids")
-               .groupBy("leaf", "part").applyInPandas(own, "v array<double>, cls long, r double"))
+               .groupBy("leaf", "part").applyInPandas(own, "v array<double>, cls long, r double, most double"))
 
     def sent(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
@@ -190,7 +191,7 @@ def neighbor_classes(df: DataFrame, vec_col: str, id_col: str, k: int, block_siz
                 meets = _to_boxes(np.stack(rows["v"].to_numpy()), low, high) <= (r * (1 + 1e-9))[:, None]
                 q, b = np.nonzero(meets & (r > 0)[:, None])  # a class of k + 1 equal points needs no others
                 yield pd.DataFrame({"leaf": leaves[b].astype(np.int32), "v": rows["v"].to_numpy()[q],
-                                    "cls": rows["cls"].to_numpy()[q], "r": r[q]})
+                                    "cls": rows["cls"].to_numpy()[q], "r": rows["most"].to_numpy()[q]})
 
     queries = materialize(bounded.mapInPandas(sent, "leaf int, v array<double>, cls long, r double"), "knn-queries")
     # second round: tiles of at most about TILE queries and TILE classes of a leaf

@@ -416,3 +416,11 @@ def test_isolation_trees_are_the_same_wherever_they_grow(spark, monkeypatch, loc
     want_nodes, want_heights = grown(0)
     assert nodes == want_nodes and heights.keys() == want_heights.keys() and len(heights) == 60
     assert all(math.isclose(heights[i], want_heights[i]) for i in heights)
+
+
+def test_ids_that_repeat_keep_all_their_neighbours(spark):
+    from tessera.operators import neighbors as N
+    x = np.random.default_rng(7).normal(size=(30, 2)).tolist()
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x)] + [(0, x[0])], "id long, v array<double>")
+    near = {r["cls"]: len(r["near"]) for r in N.neighbor_classes(df, "v", "id", 5)[2].collect()}
+    assert near == {i: 5 for i in range(30)}
