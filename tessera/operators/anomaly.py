@@ -311,8 +311,10 @@ class OneClass:
                            F.lit(0.0), lambda acc, v: acc + v)
 
     def score(self, df: DataFrame) -> DataFrame:
-        """``df`` with decision, verdict (+1 inside, -1 outside) and gap."""
-        return (self.embed(df).withColumn("decision", self.margin() - F.lit(self.rho))
+        """``df`` with decision, verdict (+1 inside, -1 outside) and gap. The
+        rows are written first: each feature occurs once in every component,
+        and what computes it would be copied there, subqueries included."""
+        return (self.embed(materialize(df, "one-class-rows")).withColumn("decision", self.margin() - F.lit(self.rho))
                 .withColumn("verdict", F.when(F.col("decision") >= 0, 1).otherwise(-1)).drop("_z")
                 .withColumn("gap", F.lit(self.gap)))
 
@@ -336,8 +338,10 @@ def fit_one_class(train: DataFrame, features: list[str], nu: float = 0.5, gamma:
     rng = np.random.default_rng(seed)
     W = rng.normal(scale=math.sqrt(2 * gamma), size=(n_components, len(features)))
     model = OneClass(list(features), W, rng.uniform(0, 2 * math.pi, size=n_components), np.zeros(n_components), 0.0, math.inf, 0)
-    z = cut_lineage(model.embed(train.select(*features)).select("_z").where(F.forall("_z", lambda x: x.isNotNull() & ~F.isnan(x))))
+    rows = materialize(train.select(*features), "one-class-train")  # see score
+    z = cut_lineage(model.embed(rows).select("_z").where(F.forall("_z", lambda x: x.isNotNull() & ~F.isnan(x))))
     n = z.count()
+    discard(rows)
     if not n:
         raise ValueError("no row to learn from")
     target = nu * n
@@ -351,14 +355,14 @@ def fit_one_class(train: DataFrame, features: list[str], nu: float = 0.5, gamma:
         shares = [max(0.0, nu - 2.0 / accuracy), min(1.0, nu + 2.0 / accuracy)]
         low, high = m.select(F.percentile_approx("_m", shares, accuracy)).first()[0]
         part = F.when(F.col("_m") < low, 0).when(F.col("_m") <= high, 1).otherwise(2)
-        rows = {r["part"]: r for r in m.where(F.col("_m") <= high).groupBy(part.alias("part")).agg(
+        parts = {r["part"]: r for r in m.where(F.col("_m") <= high).groupBy(part.alias("part")).agg(
             F.count("*").alias("n"), F.sum("_m").alias("m"),
             Summarizer.metrics("sum").summary(array_to_vector("_z")).alias("s")).collect()}
-        n_low, sum_low = (rows[0]["n"], rows[0]["m"]) if 0 in rows else (0, 0.0)
-        share = (target - n_low) / max(rows[1]["n"], 1) if 1 in rows else math.inf
+        n_low, sum_low = (parts[0]["n"], parts[0]["m"]) if 0 in parts else (0, 0.0)
+        share = (target - n_low) / max(parts[1]["n"], 1) if 1 in parts else math.inf
         if not 0 <= share <= 1:  # the quantile estimate was off: the mean of all rows is a corner as well
             break
-        corner = sum(np.asarray(rows[p]["s"]["sum"].toArray()) * weight for p, weight in ((0, 1.0), (1, share)) if p in rows)
+        corner = sum(np.asarray(parts[p]["s"]["sum"].toArray()) * weight for p, weight in ((0, 1.0), (1, share)) if p in parts)
         norm = float(model.w @ model.w)
         least = (sum_low + (target - n_low) * low) / target  # no nu n rows have a smaller mean margin
         model.gap = (norm - least) / max(norm, 1e-300)

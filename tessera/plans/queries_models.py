@@ -322,8 +322,8 @@ def l7(spark, d):
 def l9(spark, d):
     from tessera.operators.anomaly import one_class_boundary
     from tessera.operators.features import standardize
-    lo = _loan_frame(spark, d)
     feats = ["unpaid_principal_bal", "m10", "m11", "m12", "total_delinquencies"]
+    lo = materialize(_loan_frame(spark, d).select("loan_id", "delinquent", *feats), "one-class-loans")
     normal = lo.where(F.col("delinquent") == 0)
     train, allrows = standardize(normal, [lo], feats)
     out = None

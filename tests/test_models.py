@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import anomaly as AN
+from tessera.operators import features as FE
 from tessera.operators import models as ML
 from tessera.operators import stattests as ST
 
@@ -278,6 +279,17 @@ def test_one_class_reaches_its_gap(spark):
     assert np.mean([out[i] for i in range(280, 300)]) < 0
 
 
+def test_one_class_does_not_copy_what_computes_its_features(spark):
+    raw = spark.createDataFrame([(i, float(i % 7), float(i % 5)) for i in range(60)], "id long, a double, b double")
+    train, rows = FE.standardize(raw.where("id % 10 <> 0"), [raw], ["a", "b"])
+    out = AN.one_class_boundary(train, rows, ["a", "b"], nu=0.1, gamma=0.5, n_components=20, passes=3)
+    assert "subquery" in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "subquery" not in out._jdf.queryExecution().optimizedPlan().toString()
+    m, s = np.mean([i % 7 for i in range(60) if i % 10]), np.std([i % 7 for i in range(60) if i % 10])
+    got = {r["id"]: r["a"] for r in out.collect()}
+    assert len(got) == 60 and all(abs(got[i] - (i % 7 - m) / s) < 1e-9 for i in range(60))
+
+
 def test_least_norm_of_a_hull():
     assert np.allclose(AN.least_norm(np.array([[1.0, 1.0], [1.0, -1.0], [5.0, 0.0]])), [0.5, 0.5, 0.0])
     rng = np.random.default_rng(12)
