@@ -9,7 +9,8 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.ml import Pipeline
+from pyspark import StorageLevel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import IDF, PCA, HashingTF, RegexTokenizer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -364,18 +365,24 @@ def text_classifier(train: DataFrame, text: str, label: str, num_features: int =
                     reg: float = 0.0, max_iter: int = 100):
     """Bag-of-words TF-IDF into multinomial logistic regression (L16, the
     Spark re-aim of the notebooks' word-vector networks). Labels are
-    indexed alphabetically. Returns (pipeline model, label list)."""
+    indexed alphabetically. Returns (pipeline model, label list).
+
+    Texts are tokenised once: the two fits read them three times, so the term
+    counts are kept on disk, in the texts' partitions and order."""
     labels = FE.category_values(train, label)
     data = train.withColumn("_y", F.array_position(F.array(*[F.lit(v) for v in labels]),
                                                    F.col(label)).cast("double") - 1)
-    pipe = Pipeline(stages=[
+    terms = Pipeline(stages=[
         RegexTokenizer(inputCol=text, outputCol="_tok", pattern=r"[\p{L}\p{N}_]{2,}", gaps=False,
                        toLowercase=True),
-        HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=num_features),
+        HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=num_features)]).fit(data)
+    counted = terms.transform(data).select("_y", "_tf").persist(StorageLevel.DISK_ONLY)
+    fits = Pipeline(stages=[
         IDF(inputCol="_tf", outputCol="features"),
         LogisticRegression(featuresCol="features", labelCol="_y", regParam=reg, maxIter=max_iter,
-                           family="multinomial")])
-    return pipe.fit(data), labels
+                           family="multinomial")]).fit(counted)
+    counted.unpersist()
+    return PipelineModel([*terms.stages, *fits.stages]), labels
 
 
 def classify_text(model, labels: list, df: DataFrame) -> DataFrame:

@@ -279,6 +279,22 @@ def test_one_class_reaches_its_gap(spark):
     assert np.mean([out[i] for i in range(280, 300)]) < 0
 
 
+def test_text_classifier_reads_each_text_once(spark):
+    rows = [(i, f"wort{i % 3} und noch" if i % 2 else f"word{i % 3} and more", "de" if i % 2 else "en") for i in range(40)]
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        read.add(1)
+        return text
+
+    df = spark.createDataFrame(rows, "id long, review string, label string")
+    model, labels = ML.text_classifier(df.withColumn("review", counted("review")), "review", "label",
+                                       num_features=64, max_iter=20)
+    assert labels == ["de", "en"] and read.value == 40
+    assert ML.classify_text(model, labels, df).where("predicted <> label").count() == 0
+
+
 def test_one_class_does_not_copy_what_computes_its_features(spark):
     raw = spark.createDataFrame([(i, float(i % 7), float(i % 5)) for i in range(60)], "id long, a double, b double")
     train, rows = FE.standardize(raw.where("id % 10 <> 0"), [raw], ["a", "b"])
