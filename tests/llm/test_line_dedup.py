@@ -1,4 +1,5 @@
 import random
+import time
 
 from tessera.llm.line_dedup import dedup_lines, line_components, removed_lines
 
@@ -117,3 +118,20 @@ def test_a_document_that_loses_very_many_lines(spark):
     began = time.time()
     got = dedup_lines(spark.createDataFrame([(1, "\n".join(lines))], SCHEMA)).first()["text"].split("\n")
     assert got.count("the very same line again") == 1 and time.time() - began < 240
+
+
+def test_eager_jobs_leave_no_shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = disk.getAllFiles()
+        return {name for name in (files.apply(k).getName() for k in range(files.size())) if name.startswith("shuffle_")}
+
+    before = shuffled()
+    rows = [(k, f"line number {k % 7} of the text\nanother one, {k // 2}") for k in range(60)]
+    gone = removed_lines(spark.createDataFrame(rows, SCHEMA))
+    end = time.time() + 10
+    while shuffled() - before and time.time() < end:  # executors delete them soon after the job
+        time.sleep(0.2)
+    assert shuffled() <= before
+    assert gone.count()
