@@ -4,6 +4,9 @@ Equal points are one class. Classes are dealt to the leaves of a tree of median
 splits; the neighbours inside a class's own leaf bound the distance of its k-th
 one, and only leaves whose bounding box lies within that bound see it as a
 query. Nothing is approximated: the bound prunes leaves, never neighbours.
+
+Leaves that lie together are one slab. A class is sent once to a slab, however
+many of its leaves it meets, so what is moved grows with classes x slabs.
 """
 
 from __future__ import annotations
@@ -21,6 +24,9 @@ from tessera.session import discard, materialize
 
 #: Rows of a distance tile on either side.
 TILE = 2048
+#: Classes of a slab of leaves, and queries that one task holds against it.
+SLAB = 65_536
+SLAB_QUERIES = 32_768
 
 
 @dataclass
@@ -62,6 +68,17 @@ class Splits:
         leaf = np.where(left < 0, np.cumsum(left < 0) - 1, -1)
         return Splits(dim.astype(int), cut, left.astype(int), right.astype(int), leaf)
 
+    def in_order(self) -> np.ndarray:
+        """The leaves from left to right: neighbours in this order lie together."""
+        out, todo = [], [0]
+        while todo:
+            at = todo.pop()
+            if self.left[at] < 0:
+                out.append(self.leaf[at])
+            else:
+                todo += [self.right[at], self.left[at]]
+        return np.array(out)
+
     def place(self, x: np.ndarray) -> np.ndarray:
         """The leaf of every row."""
         node = np.zeros(len(x), int)
@@ -111,6 +128,17 @@ def _to_boxes(x: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return np.sqrt(d2)
 
 
+def _slabs(n: np.ndarray) -> np.ndarray:
+    """Where slabs begin among leaves of ``n`` classes: a slab has up to ``SLAB`` classes, or one larger leaf."""
+    starts, held = [0], 0
+    for at, size in enumerate(n):
+        if held and held + size > SLAB:
+            starts.append(at)
+            held = 0
+        held += size
+    return np.array(starts)
+
+
 def _radius(distance: np.ndarray, sizes: np.ndarray, need: np.ndarray) -> np.ndarray:
     """For each row the distance within which its ``need`` nearest members lie
     (infinite if there are too few); ``sizes`` are the columns' members."""
@@ -130,8 +158,8 @@ def neighbor_classes(df: DataFrame, vec_col: str, id_col: str, k: int, block_siz
     smallest; near holds the k nearest points of other classes as (distance,
     id). Splits come from at most ``sample`` classes chosen by hash, and there
     are at most ``sample`` / 16 leaves: leaf boxes are the only thing that all
-    tasks get. report counts points, classes, leaves and the copies of classes
-    that were sent to leaves as queries."""
+    tasks get. report counts points, classes, leaves, the leaves that classes
+    met as queries (copies) and the rows that were sent for it, one a slab (sent)."""
     spark = df.sparkSession
     v = F.transform(vec_col, lambda x: x.cast("double") + F.lit(0.0))  # -0.0 becomes 0.0
     good = (F.size(vec_col) > 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -143,7 +171,7 @@ def neighbor_classes(df: DataFrame, vec_col: str, id_col: str, k: int, block_siz
                .select("v", F.get("ids", 0).alias("cls"), "ids"))
     classes = materialize(classes, "knn-classes")
     n = classes.count()
-    report = {"points": points.count(), "classes": n, "leaves": 0, "copies": 0}
+    report = {"points": points.count(), "classes": n, "leaves": 0, "copies": 0, "sent": 0}
     empty = "cls long, near array<struct<distance: double, id: long>>"
     if n == 0:
         return points, classes, spark.createDataFrame([], empty), report
@@ -160,9 +188,13 @@ def neighbor_classes(df: DataFrame, vec_col: str, id_col: str, k: int, block_siz
     placed = materialize(placed, "knn-leaves")
     bounds = placed.groupBy("leaf").agg(F.count("*").alias("n"), *[f(F.get("v", c)).alias(f"{name}{c}")
                                         for c in range(d) for name, f in (("l", F.min), ("h", F.max))]).toPandas()
+    seen = set(bounds["leaf"])
+    bounds = bounds.set_index("leaf").loc[[leaf for leaf in splits.in_order() if leaf in seen]].reset_index()
     low, high = (bounds[[f"{name}{c}" for c in range(d)]].to_numpy(float) for name in "lh")
     leaves = bounds["leaf"].to_numpy()
     report["leaves"] = len(leaves)
+    starts = _slabs(bounds["n"].to_numpy())
+    slab_of = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(leaves))))
 
     # first round: a class and the others of its leaf (of its part of a large leaf)
     part = F.pmod(F.xxhash64("cls"), F.greatest(F.lit(1), F.col("n") / TILE).cast("long"))
@@ -189,51 +221,71 @@ def neighbor_classes(df: DataFrame, vec_col: str, id_col: str, k: int, block_siz
                 rows = pdf.iloc[a:a + 512]
                 r = rows["r"].to_numpy()
                 meets = _to_boxes(np.stack(rows["v"].to_numpy()), low, high) <= (r * (1 + 1e-9))[:, None]
-                q, b = np.nonzero(meets & (r > 0)[:, None])  # a class of k + 1 equal points needs no others
-                yield pd.DataFrame({"leaf": leaves[b].astype(np.int32), "v": rows["v"].to_numpy()[q],
-                                    "cls": rows["cls"].to_numpy()[q], "r": rows["most"].to_numpy()[q]})
-
-    queries = materialize(bounded.mapInPandas(sent, "leaf int, v array<double>, cls long, r double"), "knn-queries")
-    # second round: tiles of at most about TILE queries and TILE classes of a leaf
-    asked = queries.groupBy("leaf").agg(F.count("*").alias("q"))
-    report["copies"] = int(asked.agg(F.sum("q")).first()[0] or 0)
-    tiles = asked.join(sizes, "leaf").select("leaf", F.ceil(F.col("q") / TILE).cast("int").alias("qt"),
-                                             F.ceil(F.col("n") / TILE).cast("int").alias("rt"))
+                meets &= (r > 0)[:, None]  # a class of k + 1 equal points needs no others
+                n = np.add.reduceat(meets, starts, axis=1, dtype=np.int64)
+                q, s = np.nonzero(n)
+                yield pd.DataFrame({"slab": s.astype(np.int32), "v": rows["v"].to_numpy()[q], "cls": rows["cls"].to_numpy()[q],
+                                    "r": r[q], "most": rows["most"].to_numpy()[q], "meets": n[q, s]})
+
+    queries = materialize(bounded.mapInPandas(
+        sent, "slab int, v array<double>, cls long, r double, most double, meets long"), "knn-queries")
+    # second round: a slab and a part of its queries
+    asked = {r["slab"]: r for r in queries.groupBy("slab").agg(F.count("*").alias("q"), F.sum("meets").alias("meets")).collect()}
+    report["copies"] = sum(r["meets"] for r in asked.values())
+    report["sent"] = sum(r["q"] for r in asked.values())
+    members = np.add.reduceat(bounds["n"].to_numpy(), starts)
+    spread = -(-4 * spark.sparkContext.defaultParallelism // len(starts))  # few slabs: more, smaller parts
+    tiles = F.broadcast(spark.createDataFrame(
+        [(s, max(-(-r["q"] // SLAB_QUERIES), min(-(-r["q"] // TILE), spread)), -(-int(members[s]) // SLAB)) for s, r in asked.items()],
+        "slab int, qt int, rt int"))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     share = lambda n: F.pmod(F.xxhash64("cls"), F.col(n)).cast("int")
-    none = F.array().cast("array<long>")
-    both = (queries.join(tiles, "leaf").select("leaf", share("qt").alias("q"), every("rt").alias("t"), "v", "cls",
-                                               none.alias("ids"), "r", F.lit(True).alias("asks"))
-            .unionByName(placed.join(tiles, "leaf").select("leaf", every("qt").alias("q"), share("rt").alias("t"), "v", "cls",
-                                                           "ids", F.lit(0.0).alias("r"), F.lit(False).alias("asks"))))
+    none, zero = F.array().cast("array<long>"), F.lit(0.0)
+    held = placed.join(F.broadcast(spark.createDataFrame(
+        [(int(leaf), at, int(s)) for at, (leaf, s) in enumerate(zip(leaves, slab_of))], "leaf int, at int, slab int")), "leaf")
+    both = (queries.join(tiles, "slab").select("slab", share("qt").alias("q"), every("rt").alias("t"), "v", "cls",
+                                               none.alias("ids"), "r", "most", F.lit(-1).alias("at"), F.lit(True).alias("asks"))
+            .unionByName(held.join(tiles, "slab").select("slab", every("qt").alias("q"), share("rt").alias("t"), "v", "cls", "ids",
+                                                         zero.alias("r"), zero.alias("most"), "at", F.lit(False).alias("asks"))))
 
     def tile(pdf: pd.DataFrame) -> pd.DataFrame:
-        qs, rs = pdf[pdf["asks"]], pdf[~pdf["asks"]]
+        qs, rs = pdf[pdf["asks"]], pdf[~pdf["asks"]].sort_values("at", kind="stable")
         out: list[list] = [[np.empty(0, np.int64)], [np.empty(0)], [np.empty(0, np.int64)]]
         if len(qs) and len(rs):
-            b, cls = np.stack(rs["v"].to_numpy()), rs["cls"].to_numpy()
+            b, cls, at = np.stack(rs["v"].to_numpy()), rs["cls"].to_numpy(), rs["at"].to_numpy()
             counts = np.minimum([len(i) for i in rs["ids"]], k)
             first, ids = np.cumsum(counts) - counts, np.concatenate([np.asarray(i)[:k] for i in rs["ids"]])
+            begin = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+            end, here = np.append(begin[1:], len(at)), at[begin]
             for a in range(0, len(qs), 256):
                 part = qs.iloc[a:a + 256]
-                mine = part["cls"].to_numpy()
-                i, j, far = _near_pairs(np.stack(part["v"].to_numpy()), b, part["r"].to_numpy())
-                other = (mine[i] != cls[j]) & np.isfinite(far)
-                i, j, far = i[other], j[other], far[other]
-                n = counts[j]  # members of each class met
-                i, far = np.repeat(i, n), np.repeat(far, n)
-                who = ids[np.repeat(first[j] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-                order = np.lexsort((who, far, i))
-                row = i[order]
-                start = np.flatnonzero(np.append(True, row[1:] != row[:-1])) if len(row) else np.empty(0, int)
-                best = order[np.arange(len(row)) - np.repeat(start, np.diff(np.append(start, len(row)))) < k]
-                out[0].append(mine[i[best]])
-                out[1].append(far[best])
-                out[2].append(who[best])
+                mine, x, r = part["cls"].to_numpy(), np.stack(part["v"].to_numpy()), part["most"].to_numpy().copy()
+                meets = _to_boxes(x, low[here], high[here]) <= (part["r"].to_numpy() * (1 + 1e-9))[:, None]
+                row, far, who = np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64)
+                for leaf, lo, hi in ((c, lo, min(lo + TILE, end[c])) for c in range(len(here)) for lo in range(begin[c], end[c], TILE)):
+                    go = np.flatnonzero(meets[:, leaf])
+                    i, j, d = _near_pairs(x[go], b[lo:hi], r[go])
+                    i, j = go[i], j + lo
+                    other = (mine[i] != cls[j]) & np.isfinite(d)
+                    i, j, d = i[other], j[other], d[other]
+                    n = counts[j]  # members of each class met
+                    whom = ids[np.repeat(first[j] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+                    row, far, who = np.append(row, np.repeat(i, n)), np.append(far, np.repeat(d, n)), np.append(who, whom)
+                    order = np.lexsort((who, far, row))
+                    s = row[order]
+                    start = np.flatnonzero(np.append(True, s[1:] != s[:-1])) if len(s) else np.empty(0, int)
+                    place = np.arange(len(s)) - np.repeat(start, np.diff(np.append(start, len(s))))
+                    full = order[place == k - 1]
+                    r[row[full]] = np.minimum(r[row[full]], far[full])  # a query's k-th distance so far
+                    best = order[place < k]
+                    row, far, who = row[best], far[best], who[best]
+                out[0].append(mine[row])
+                out[1].append(far)
+                out[2].append(who)
         cols = [np.concatenate(c) for c in out]
         return pd.DataFrame({"cls": cols[0].astype(np.int64), "distance": cols[1].astype(float), "id": cols[2].astype(np.int64)})
 
-    found = both.groupBy("leaf", "q", "t").applyInPandas(tile, "cls long, distance double, id long")
+    found = both.groupBy("slab", "q", "t").applyInPandas(tile, "cls long, distance double, id long")
     order = Window.partitionBy("cls").orderBy("distance", "id")
     near = (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .groupBy("cls").agg(F.array_sort(F.collect_list(F.struct("distance", "id"))).alias("near")))

@@ -452,3 +452,26 @@ def test_ids_that_repeat_keep_all_their_neighbours(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(x)] + [(0, x[0])], "id long, v array<double>")
     near = {r["cls"]: len(r["near"]) for r in N.neighbor_classes(df, "v", "id", 5)[2].collect()}
     assert near == {i: 5 for i in range(30)}
+
+
+@pytest.mark.parametrize("slab", [1 << 16, 90])
+def test_neighbors_send_slabs_not_leaves(spark, monkeypatch, slab):
+    from tessera.operators import neighbors as N
+    x = np.random.default_rng(9).normal(size=(400, 24))  # so many dimensions that a point meets every leaf
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "id long, v array<double>")
+    sent, kept = [], N.materialize
+    monkeypatch.setattr(N, "SLAB", slab, raising=False)
+    monkeypatch.setattr(N, "SLAB_QUERIES", 150, raising=False)
+
+    def counted(table, name):
+        out = kept(table, name)
+        if name == "knn-queries":
+            sent.append(out.count())
+        return out
+
+    monkeypatch.setattr(N, "materialize", counted)
+    got = {}
+    for r in N.nearest(df, "v", "id", 6, block_size=40).collect():
+        got.setdefault(r["id"], []).append((r["rank"], r["neighbor"]))
+    assert [[j for _, j in sorted(got[i])] for i in range(400)] == [[j for j, _ in near] for near in _brute_neighbors(x, 6)]
+    assert sent[0] <= 400 * -(-400 // (slab - 40))  # of 10 leaves
