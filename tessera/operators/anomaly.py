@@ -4,6 +4,7 @@ one-class RBF boundary (L9)."""
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -44,7 +45,10 @@ def isolation_draws(seed: int) -> tuple[Column, Column]:
 
 
 #: Records of a node from which one task grows the rest of its tree.
-LOCAL_ROWS = 1 << 17
+LOCAL_ROWS = 1 << 18
+#: Rows that a task holds to send them to nodes, and records of one packed row.
+HELD = 1 << 16
+BLOCK = 1 << 12
 
 
 def _hash_step(value: np.ndarray, seed: np.ndarray, wide: bool) -> np.ndarray:
@@ -75,13 +79,124 @@ def _draws(seed: int, tree: int, node: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return out[0], out[1]
 
 
-def _finish_node(table: pa.Table, level: int, depth: int, seed: int) -> pa.Table:
+def _columns(batches: Iterator[pa.RecordBatch], d: int, rows: int) -> Iterator[tuple]:
+    """ids, x (a row of ``d`` numbers each, NaN for null) and fits (a row a
+    tree, or one for all) of at least ``rows`` rows at a time."""
+    held: list[pa.RecordBatch] = []
+
+    def joined() -> tuple:
+        table = pa.Table.from_batches(held).combine_chunks()
+        n = table.num_rows
+        x = table["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(float).reshape(n, d)
+        fits = table["fits"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(bool).reshape(n, -1).T
+        return table["id"].combine_chunks(), x, fits
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+        if sum(b.num_rows for b in held) >= rows:
+            yield joined()
+            held = []
+    if held:
+        yield joined()
+
+
+def _descend(x: np.ndarray, tops: list[dict], tree: int) -> tuple[np.ndarray, np.ndarray]:
+    """Node and level of every row below the large nodes of a tree; a row of a
+    large leaf stays there. ``tops`` has nodes (sorted), features (-1: leaf),
+    thresholds and sizes of a level's large nodes for each tree."""
+    at, level, live = np.ones(len(x), np.int64), np.zeros(len(x), np.int64), np.arange(len(x))
+    for k, top in enumerate(tops):
+        if tree not in top:
+            break
+        nodes, feature, cut, _ = top[tree]
+        place = np.minimum(np.searchsorted(nodes, at[live]), len(nodes) - 1)
+        go = (nodes[place] == at[live]) & (feature[place] >= 0)
+        live, place = live[go], place[go]
+        at[live] = 2 * at[live] + ~(x[live, feature[place]] <= cut[place])
+        level[live] = k + 1
+    return at, level
+
+
+def _starts(sorted_: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1])) if len(sorted_) else np.empty(0, int)
+
+
+def _node_ranges(batches: Iterator[pa.RecordBatch], d: int, trees: int, tops: list[dict]) -> Iterator[pa.RecordBatch]:
+    """tree, node, size, records, lo, hi (a number a feature) of a partition's
+    rows that have come to the level below ``tops``."""
+    for _, x, fits in _columns(batches, d, 1):
+        for tree in range(trees):
+            if tops and tree not in tops[-1]:
+                continue
+            grows = fits[tree % len(fits)]
+            if tops or not tree or len(fits) > 1:  # otherwise all trees have the same root
+                at, level = _descend(x, tops, tree)
+                rows = np.flatnonzero(level == len(tops))
+                rows = rows[np.argsort(at[rows], kind="stable")]
+                start = _starts(at[rows])
+                if not len(start):
+                    continue
+                seen = np.where(grows[rows][:, None], x[rows], np.nan)
+                lo, hi = np.fmin.reduceat(seen, start, axis=0), np.fmax.reduceat(seen, start, axis=0)
+                size = np.add.reduceat(grows[rows].astype(np.int64), start)
+            ends = np.arange(0, (len(start) + 1) * d, d, dtype=np.int32)
+            lists = [pa.ListArray.from_arrays(ends, pa.array(v.ravel(), mask=np.isnan(v.ravel()))) for v in (lo, hi)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(start), tree, np.int32)), pa.array(at[rows][start]), pa.array(size),
+                 pa.array(np.diff(np.append(start, len(rows)))), *lists], ["tree", "node", "size", "records", "lo", "hi"])
+
+
+def _leaf_sizes(tops: list[dict], tree: int, node: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """Sizes of the large leaves among ``node``; -1 for nodes that are not large."""
+    out = np.full(len(node), -1, np.int64)
+    for k, top in enumerate(tops):
+        if tree in top:
+            nodes, _, _, sizes = top[tree]
+            place = np.minimum(np.searchsorted(nodes, node), len(nodes) - 1)
+            here = (level == k) & (nodes[place] == node)
+            out[here] = sizes[place[here]]
+    return out
+
+
+def _sent_to_nodes(batches: Iterator[pa.RecordBatch], d: int, trees: int, tops: list[dict]) -> Iterator[pa.RecordBatch]:
+    """A partition's records below the large nodes, packed by tree and node: ids, x and fits as bytes."""
+    for ids, x, fits in _columns(batches, d, HELD):
+        for tree in range(trees):
+            grows = fits[tree % len(fits)]
+            at, level = _descend(x, tops, tree)
+            order = np.flatnonzero(_leaf_sizes(tops, tree, at, level) < 0)
+            order = order[np.argsort(at[order], kind="stable")]
+            if not len(order):
+                continue
+            cuts = np.unique(np.append(_starts(at[order]), np.arange(0, len(order), BLOCK)))
+            rows = np.split(order, cuts[1:])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(rows), tree, np.int32)), pa.array(at[order][cuts]), pa.array(level[order][cuts].astype(np.int32)),
+                 pa.ListArray.from_arrays(np.append(cuts, len(order)).astype(np.int32), ids.take(pa.array(order))),
+                 pa.array([x[r].tobytes() for r in rows], pa.binary()), pa.array([grows[r].tobytes() for r in rows], pa.binary())],
+                ["tree", "node", "level", "ids", "x", "fits"])
+
+
+def _in_large_leaves(batches: Iterator[pa.RecordBatch], d: int, trees: int, tops: list[dict]) -> Iterator[pa.RecordBatch]:
+    """id, level, size for a partition's records that end in a large leaf."""
+    for ids, x, fits in _columns(batches, d, HELD):
+        for tree in range(trees):
+            at, level = _descend(x, tops, tree)
+            size = _leaf_sizes(tops, tree, at, level)
+            rows = np.flatnonzero(size >= 0)
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows)), pa.array(level[rows].astype(np.int32)), pa.array(size[rows])],
+                                             ["id", "level", "size"])
+
+
+def _finish_node(table: pa.Table, depth: int, seed: int) -> pa.Table:
     """The part of a tree below one node, from all records in it: a row for
     every node (no id) and one for every record (its leaf's level and size)."""
-    n = table.num_rows
-    x = table["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(float).reshape(n, -1)
-    fits = table["fits"].to_numpy().astype(bool)
-    tree, at = table["tree"][0].as_py(), table["node"].to_numpy().copy()
+    ids = table["ids"].combine_chunks().flatten()
+    n, level = len(ids), table["level"][0].as_py()
+    x = np.frombuffer(b"".join(table["x"].to_pylist())).reshape(n, -1)
+    fits = np.frombuffer(b"".join(table["fits"].to_pylist()), bool)
+    tree, at = table["tree"][0].as_py(), np.full(n, table["node"][0].as_py(), np.int64)
     ended, size_of = np.full(n, -1), np.zeros(n, np.int64)
     live, nodes = np.arange(n), []
     while len(live):
@@ -108,7 +223,6 @@ def _finish_node(table: pa.Table, level: int, depth: int, seed: int) -> pa.Table
     node, size, f, cut = (np.concatenate(c) for c in zip(*nodes))
     m = len(node)
     none = f < 0
-    ids = table["id"].combine_chunks()
     return pa.table({
         "id": pa.concat_arrays([ids, pa.nulls(m, ids.type)]), "is_node": np.arange(n + m) >= n,
         "tree": pa.array(np.full(n + m, tree, np.int32)), "node": np.append(at, node), "size": np.append(size_of, size),
@@ -117,14 +231,17 @@ def _finish_node(table: pa.Table, level: int, depth: int, seed: int) -> pa.Table
         "level": pa.array(np.append(ended, np.zeros(m, int)).astype(np.int32))})
 
 
-def _node_splits(rows: DataFrame, d: int, last: bool, seed: int) -> DataFrame:
-    """tree, node, size, feature (from 0), threshold of every node that holds
-    a row: of its features with two values or more one is drawn, and a
-    threshold between its least and greatest value. A leaf has no feature."""
-    x = [F.when(F.col("fits"), F.col("x")[k]) for k in range(d)]
-    stats = rows.groupBy("tree", "node").agg(
-        F.count_if("fits").alias("size"), F.count("*").alias("records"),
-        F.array(*[F.struct(F.min(c).alias("lo"), F.max(c).alias("hi"), F.lit(k).alias("f")) for k, c in enumerate(x)]).alias("r"))
+def _node_splits(rows: DataFrame, d: int, trees: int, tops: list[dict], last: bool, seed: int) -> DataFrame:
+    """tree, node, size, records, feature (from 0), threshold of every node
+    that holds a row on the level below ``tops``: of its features with two
+    values or more one is drawn, and a threshold between its least and greatest
+    value. A leaf has no feature."""
+    parts = rows.mapInArrow(lambda it: _node_ranges(it, d, trees, tops),
+                            "tree int, node long, size long, records long, lo array<double>, hi array<double>")
+    stats = parts.groupBy("tree", "node").agg(
+        F.sum("size").alias("size"), F.sum("records").alias("records"),
+        F.array(*[F.struct(F.min(F.get("lo", k)).alias("lo"), F.max(F.get("hi", k)).alias("hi"), F.lit(k).alias("f"))
+                  for k in range(d)]).alias("r"))
     which, where = isolation_draws(seed)
     open_ = F.filter("r", lambda r: (r["lo"] < r["hi"]) & F.lit(not last))
     pick = F.get(F.col("open"), F.floor(which * F.size("open")).cast("int"))
@@ -141,12 +258,13 @@ def grow_isolation_trees(df: DataFrame, features: list[str], id_col: str, trees:
     holds (default: all). Returns (id, height: mean path length over the
     trees), (tree, node, size, feature, threshold) and the rows a tree grows from.
 
-    Every row carries the node it is in, one record a tree. A level is one
-    grouping by (tree, node) for counts, minima and maxima, combined before
-    the shuffle, and one join that moves each record to a child or ends it at
-    a leaf. A node of at most ``LOCAL_ROWS`` records is sent to one task, which
-    grows the rest of its tree with the same draws; larger nodes' rows never
-    meet in one task, and no tree reaches the driver. With ``max_samples`` below their number a tree
+    A level is one pass over the rows: a task finds each row's node in every
+    tree from the splits of the large nodes so far, and counts, minima and
+    maxima of the nodes are combined. Nodes of more than ``LOCAL_ROWS`` records
+    are split that way, and only their splits reach the driver (at most
+    trees x rows / ``LOCAL_ROWS`` a level). Then the records of each node below
+    them go, packed, to one task, which grows the rest of its tree with
+    the same draws. With ``max_samples`` below their number a tree
     grows from the rows with the smallest seeded hashes of that tree.
     """
     spark = df.sparkSession
@@ -158,8 +276,9 @@ def grow_isolation_trees(df: DataFrame, features: list[str], id_col: str, trees:
     n = base.where("fits").count()
     psi = n if max_samples is None else min(max_samples, n)
     depth = math.ceil(math.log2(max(psi, 2)))
-    live = base.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn("node", F.lit(1).cast("long"))
     if psi < n:
+        live = (base.withColumn("row", F.monotonically_increasing_id())  # ids may repeat
+                .withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))))
         hashed = live.withColumn("h", uniform_hash("id", seed, F.col("tree")))
         share = min(1.0, (psi + 6 * math.sqrt(psi) + 20) / n)
         near = hashed.where(F.col("fits") & (F.col("h") < share)).select("tree", "h", "id")
@@ -167,44 +286,38 @@ def grow_isolation_trees(df: DataFrame, features: list[str], id_col: str, trees:
             near = hashed.where("fits").select("tree", "h", "id")
         last = _numbered_within(near, ["tree"], [F.col("h"), F.col("id")]).where(F.col("_pos") == psi)
         last = last.select("tree", F.struct("h", "id").alias("last"))
-        live = (hashed.join(last, "tree").withColumn("fits", F.col("fits") & (F.struct("h", "id") <= F.col("last")))
-                .drop("h", "last"))
-    nodes, ended, scratch = [], [], [base]
+        chosen = (hashed.join(F.broadcast(last), "tree")
+                  .select("row", "id", "x", "tree", (F.col("fits") & (F.struct("h", "id") <= F.col("last"))).alias("fits")))
+        rows = chosen.groupBy("row").agg(F.first("id").alias("id"), F.first("x").alias("x"), F.array_sort(F.collect_list(F.struct("tree", "fits"))).alias("f"))
+        rows = materialize(rows.select("id", "x", F.col("f.fits").alias("fits")), "isolation-chosen")
+    else:
+        rows = base.select("id", "x", F.array("fits").alias("fits"))
+    d, nodes, tops = len(features), [], []
     kind = df.schema[id_col].dataType.simpleString()
-    grown = (f"id {kind}, is_node boolean, tree int, node long, size long, feature int, threshold double, level int")
-
-    def finish(level: int):
-        return lambda table: _finish_node(table, level, depth, seed)
-
     for level in range(depth + 1):
-        splits = materialize(_node_splits(live, len(features), level == depth, seed), "isolation-nodes")
-        few = splits.where((F.col("records") <= LOCAL_ROWS) & (level < depth))
-        splits_here = splits.where((F.col("records") > LOCAL_ROWS) | (F.lit(level) == depth))
-        nodes.append(splits_here.select("tree", "node", "size", "feature", "threshold"))
-        if not few.isEmpty():
-            rest = live.join(few.select("tree", "node"), ["tree", "node"]).select("id", "tree", "node", "x", "fits")
-            rest = rest.groupBy("tree", "node").applyInArrow(finish(level), grown)
-            path = scratch_path(spark, "isolation-subtrees")
-            rest.write.partitionBy("is_node").parquet(path)
-            rest = spark.read.schema(rest.schema).parquet(path)
-            nodes.append(rest.where("is_node").select("tree", "node", "size", "feature", "threshold"))
-            ended.append(rest.where("not is_node").select("id", "tree", (F.col("level") + _path_length(F.col("size"))).alias("height")))
-            if splits_here.isEmpty():
-                break
-        right = (~F.coalesce(F.get("x", "feature") <= F.col("threshold"), F.lit(False))).cast("long")
-        leaf = F.col("feature").isNull()
-        moved = live.join(splits_here, ["tree", "node"]).select(
-            "id", "tree", F.when(~leaf, F.col("x")).alias("x"), "fits", (F.col("node") * 2 + right).alias("node"),
-            F.when(leaf, level + _path_length(F.col("size"))).alias("height"), leaf.alias("ended"))
-        path = scratch_path(spark, "isolation-level")
-        moved.write.partitionBy("ended").parquet(path)
-        moved = spark.read.schema(moved.schema).parquet(path)
-        ended.append(moved.where("ended").select("id", "tree", "height"))
-        live = moved.where("not ended").select("id", "tree", "node", "x", "fits")
-        if live.isEmpty():
+        splits = materialize(_node_splits(rows, d, trees, tops, level == depth, seed), "isolation-nodes")
+        large = splits.where((F.col("records") > LOCAL_ROWS) | (F.lit(level) == depth))
+        top: dict[int, list] = {}
+        for r in large.orderBy("tree", "node").collect():
+            top.setdefault(r["tree"], []).append((r["node"], -1 if r["feature"] is None else r["feature"], r["threshold"] or 0.0, r["size"]))
+        if not top:
             break
-    heights = reduce(DataFrame.unionByName, ended).groupBy("id").agg((F.sum("height") / trees).alias("height"))
-    discard(*scratch)
+        nodes.append(large.select("tree", "node", "size", "feature", "threshold"))
+        tops.append({tree: tuple(np.array(c, t) for c, t in zip(zip(*of), (np.int64, np.int64, float, np.int64))) for tree, of in top.items()})
+    grown = (f"id {kind}, is_node boolean, tree int, node long, size long, feature int, threshold double, level int")
+    packed = rows.mapInArrow(lambda it: _sent_to_nodes(it, d, trees, tops),
+                             f"tree int, node long, level int, ids array<{kind}>, x binary, fits binary")
+    rest = packed.groupBy("tree", "node").applyInArrow(lambda table: _finish_node(table, depth, seed), grown)
+    path = scratch_path(spark, "isolation-subtrees")
+    rest.write.partitionBy("is_node").parquet(path)
+    rest = spark.read.schema(rest.schema).parquet(path)
+    nodes.append(rest.where("is_node").select("tree", "node", "size", "feature", "threshold"))
+    ended = rest.where("not is_node").select("id", "level", "size")
+    if any((feature < 0).any() for top in tops for _, feature, _, _ in top.values()):
+        ended = ended.unionByName(materialize(rows.mapInArrow(
+            lambda it: _in_large_leaves(it, d, trees, tops), f"id {kind}, level int, size long"), "isolation-leaves"))
+    heights = ended.groupBy("id").agg((F.sum(F.col("level") + _path_length(F.col("size"))) / trees).alias("height"))
+    discard(base)
     return (heights.withColumnRenamed("id", id_col), reduce(DataFrame.unionByName, nodes), psi)
 
 

@@ -475,3 +475,22 @@ def test_neighbors_send_slabs_not_leaves(spark, monkeypatch, slab):
         got.setdefault(r["id"], []).append((r["rank"], r["neighbor"]))
     assert [[j for _, j in sorted(got[i])] for i in range(400)] == [[j for j, _ in near] for near in _brute_neighbors(x, 6)]
     assert sent[0] <= 400 * -(-400 // (slab - 40))  # of 10 leaves
+
+
+def test_isolation_levels_move_no_record(spark, monkeypatch):
+    df = spark.range(300).selectExpr("id", "cast((id * 37) % 301 as double) a", "cast(id % 5 as double) b")
+    written, kept = {}, AN.scratch_path
+    monkeypatch.setattr(AN, "LOCAL_ROWS", 20)
+    monkeypatch.setattr(AN, "scratch_path", lambda spark, name: written.setdefault(name, kept(spark, name)))
+    heights, nodes, _ = AN.grow_isolation_trees(df, ["a", "b"], "id", trees=6, seed=2)
+    assert set(written) == {"isolation-subtrees"}  # large nodes wrote the records of every level
+    assert heights.count() == 300 and nodes.where("feature is null").groupBy("tree").agg(F.sum("size").alias("s")).where("s <> 300").count() == 0
+
+
+def test_isolation_keeps_rows_whose_ids_repeat(spark):
+    rows = [(i // 2, float(i % 3), float(i // 4)) for i in range(40)] + [(None, 1.0, 2.0), (None, 1.0, 2.0)]
+    df = spark.createDataFrame(rows, "id long, a double, b double")
+    for most in (None, 16):
+        heights, nodes, _ = AN.grow_isolation_trees(df, ["a", "b"], "id", trees=3, max_samples=most, seed=2)
+        leaves = nodes.where("feature is null").agg(F.sum("size")).first()[0]
+        assert heights.count() == 21 and leaves == 3 * (most or 42)
