@@ -494,3 +494,12 @@ def test_isolation_keeps_rows_whose_ids_repeat(spark):
         heights, nodes, _ = AN.grow_isolation_trees(df, ["a", "b"], "id", trees=3, max_samples=most, seed=2)
         leaves = nodes.where("feature is null").agg(F.sum("size")).first()[0]
         assert heights.count() == 21 and leaves == 3 * (most or 42)
+
+
+def test_top_items_do_not_broadcast_who_asks(spark):
+    from tessera.operators import topitems as T
+    rng = np.random.default_rng(4)
+    make = lambda n: spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(rng.normal(size=(n, 3)))], "id int, features array<double>")
+    found, report = T.top_items(make(40), make(200), 2, block=2)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert report["visited"] > 40 and "SortMergeJoin [id" in plan and "BroadcastHashJoin [id" not in plan
